@@ -1,15 +1,15 @@
 """Ordered work on groups of any size.
 
 A window over a whole group puts the group into one task, and one group may hold a third
-of all rows. Here a group is cut into spans of its integer position, the window runs
-inside a span, and only one summary row per span crosses span borders.
+of all rows. So a group is cut into spans of its integer position: windows and ordered
+lists run inside a span, and only one summary row per span crosses span borders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPAN = 16_384
@@ -19,27 +19,6 @@ def span_of(pos: str, span: int = SPAN) -> Column:
     return F.floor(F.col(pos) / F.lit(span)).cast("bigint")
 
 
-def last_known_before(
-    df: DataFrame, keys: Sequence[str], pos: str, value: str, out: str, span: int = SPAN
-) -> DataFrame:
-    """Add ``out``: the last non-null ``value`` at an earlier ``pos`` of the same group.
-
-    ``pos`` is a unique integer per group, so a span holds at most ``span`` rows.
-    """
-    cut = df.withColumn("_span", span_of(pos, span))
-    edges = cut.groupBy(*keys, "_span").agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(pos))).alias("_edge")
-    )
-    over_spans = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    carried = edges.select(*keys, "_span", F.last("_edge", ignorenulls=True).over(over_spans).alias("_carried"))
-    inside = Window.partitionBy(*keys, "_span").orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        cut.join(carried, [*keys, "_span"], "left")
-        .withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("_carried")))
-        .drop("_span", "_carried")
-    )
-
-
 def ordered_text(
     df: DataFrame,
     keys: Sequence[str],
