@@ -1,0 +1,2 @@
+from . import items, tables
+from .registry import CHECKS, QUERIES

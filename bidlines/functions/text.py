@@ -7,10 +7,22 @@ from pyspark.sql import functions as F
 
 from . import patterns as P
 
-_UNIT_CUT = rf"(?iu){P.WS}+(?:{'|'.join(P.UNIT_CUT_WORDS)}){P.WORD_END}[\s\S]*"
-_DESCRIPTION_CUT = rf"(?iu) (?:{'|'.join(P.DESCRIPTION_CUT_WORDS)}){P.WORD_END}[\s\S]*"
+
+def _cut(words: tuple[str, ...]) -> str:
+    """One of ``words`` as a whole word, in any case, and all that follows.
+
+    The look-ahead only saves time: it tests the first letter before the list is tried.
+    """
+    letters = "".join(sorted({w[0].upper() + w[0].lower() for w in words}))
+    return rf"(?=[{letters}ſıİ])(?iu:{'|'.join(words)}){P.WORD_END}(?s:.*)"
+
+
+_UNIT_CUT = rf"{P.WS}++{_cut(P.UNIT_CUT_WORDS)}"
+_DESCRIPTION_CUT = rf" {_cut(P.DESCRIPTION_CUT_WORDS)}"
+# A run of blanks that is not just one space.
+_BLANK_RUN = rf"{P.WS}(?:(?<! )|{P.WS}){P.WS}*+"
 # One regex finds the longest title that is said twice: 2-10 words, else one non-empty word.
-_REPEATED_TITLE = rf"\A([^ ]*(?: [^ ]*){{1,{P.TITLE_WORDS - 1}}}|[^ ]+) \1(?: |\z)"
+_REPEATED_TITLE = rf"\A([^ ]*+(?: [^ ]*+){{1,{P.TITLE_WORDS - 1}}}|[^ ]++) \1(?: |\z)"
 
 
 def strip(c: Column) -> Column:
@@ -20,7 +32,7 @@ def strip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Every run of blanks becomes one space; none at the ends."""
-    return F.btrim(F.regexp_replace(c, P.WS + "+", " "), F.lit(" "))
+    return F.trim(F.regexp_replace(c, _BLANK_RUN, " "))
 
 
 def first_group(c: Column, pattern: str, group: int = 1) -> Column:
@@ -44,7 +56,8 @@ def drop_repeated_title(c: Column) -> Column:
 
     The comparison ignores case and the punctuation ``.,/;-``; the longest title wins.
     """
-    bare = F.translate(F.lower(c), P.STRIPPED_PUNCTUATION, "")
+    head = F.substring_index(c, " ", 2 * P.TITLE_WORDS)
+    bare = F.regexp_replace(F.lower(head), f"[{P.STRIPPED_PUNCTUATION}]", "")
     title = F.regexp_extract(bare, _REPEATED_TITLE, 1)
     tail = F.call_function("substring_index", c, F.lit(" "), _words(title) - _words(c))
     return F.when(title != "", tail).otherwise(c)
@@ -58,25 +71,21 @@ def clean_description(c: Column) -> Column:
     return F.coalesce(bare, F.lit(""))
 
 
-def drop_lines(c: Column, prefixes: tuple[str, ...], *, first: bool = True, digits: bool = False) -> Column:
-    """Blank out lines that start with one of ``prefixes`` (after leading blanks).
+def drop_lines(c: Column, prefixes: tuple[str, ...], *, digits: bool = False) -> Column:
+    """Remove line 1 and the lines that start with one of ``prefixes`` (after leading blanks).
 
-    ``first`` also blanks line 1; ``digits`` also blanks lines of digits only. The
-    line ends stay, as later cleaning collapses them.
+    ``digits`` also removes lines of digits only. A line goes with the line end before it.
     """
     body = rf"(?:{'|'.join(prefixes)}){P.NOT_LB}*"
     if digits:
         body = rf"(?:{body}|{P.DIGIT}+{P.HS}*(?={P.LB}|\z))"
-    rule = rf"(?<={P.LB}){P.HS}*{body}"
-    if first:
-        rule = rf"\A{P.NOT_LB}*|{rule}"
-    return F.regexp_replace(c, rule, "")
+    later_lines = F.regexp_extract(c, rf"(?s){P.LB}.*", 0)
+    return F.regexp_replace(later_lines, rf"{P.LB}{P.HS}*{body}", "")
 
 
 def keep_label_value(c: Column, label: str) -> Column:
-    """Remove ``label`` from every line that starts with it, each time it occurs there."""
-    head = rf"(?<={P.LB}){P.HS}*"
-    return F.regexp_replace(c, rf"(?:{head}|(\G(?!\A){P.NOT_LB}*?)){label}", "$1")
+    """Remove ``label`` from every line but the first that starts with it, each time it occurs there."""
+    return F.regexp_replace(c, rf"(?:({P.LB}){P.HS}*|\G(?!\A)({P.NOT_LB}*?)){label}", "$1$2")
 
 
 def text_similarity(a: Column, b: Column) -> Column:

@@ -128,7 +128,7 @@ def paged_group_mapping(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
     heads = pages.where(ended.rlike(P.GROUP_HEADING)).groupBy(*keys).agg(F.min("page_no").alias("first_page"))
     later = pages.join(heads, list(keys)).where(F.col("page_no") >= F.col("first_page"))
     body = F.when(
-        F.col("page_no") == F.col("first_page"), F.regexp_extract(ended, rf"{P.GROUP_HEADING}([\s\S]*)", 1)
+        F.col("page_no") == F.col("first_page"), F.regexp_extract(ended, rf"{P.GROUP_HEADING}((?s:.*))", 1)
     ).otherwise(F.col("text"))
     ends = later.where(body.rlike(P.GROUP_SECTION_END)).groupBy(*keys).agg(F.min("page_no").alias("last_page"))
     sections = (
