@@ -1,2 +1,2 @@
-from . import items, tables
+from . import items, runs, tables
 from .registry import CHECKS, QUERIES

@@ -125,9 +125,11 @@ def run_batch(
     run: str,
     resume: bool = True,
     bundled: bool = False,
+    files: DataFrame | None = None,
 ) -> None:
     """Process the notices that have no result yet; refused ones are tried again on every run.
 
+    The folders under ``files_root`` are listed unless a file index is given as ``files``.
     ``resume=False`` drops earlier results and failures. So does an earlier result table with
     an invalid row in it, as its notices are then all processed again.
     """
@@ -136,6 +138,6 @@ def run_batch(
     notices = read_notices(spark, notices_path, bundled)
     if not reset:
         notices = pending(notices, done)
-    files = partial(read_file_index, spark, files_root)
-    result = extract(notices, files, pages, answers, files_root, keep=cut_lineage)
+    index = files if files is not None else partial(read_file_index, spark, files_root)
+    result = extract(notices, index, pages, answers, files_root, keep=cut_lineage)
     write_extraction(result, out, run, reset)
