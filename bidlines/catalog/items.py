@@ -26,13 +26,14 @@ from ..operators.items import parse_notice_items
 from ..operators.pages import join_pages, parse_attachment_items, parse_paged_attachments
 from .registry import Tables, big, query, text
 
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
 LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def line_notices(t: Tables) -> DataFrame:
     """One notice per line item: two item blocks and one without a quantity."""
     part = t.part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
-    line = t.lineitem.select(*LINE_KEYS, "l_quantity")
+    line = t.spread("lineitem", *LINE_KEYS, "l_quantity")
     number = F.col("l_linenumber")
     notice = text(
         "----------------------------------------\r\nItens de Material\r\n",
@@ -102,7 +103,7 @@ def order_pages(t: Tables) -> DataFrame:
     )
     last = text("Unidade de Fornecimento: ", _unit(n), "\nValor total\n")
     pages = F.concat(F.array(_composition()), body, F.array(last))
-    return t.orders.select("o_orderkey", F.posexplode(pages).alias("page", "text")).select(
+    return t.spread("orders", *ORDER_COLUMNS).select("o_orderkey", F.posexplode(pages).alias("page", "text")).select(
         "o_orderkey", (F.col("page") + 1).alias("page_no"), "text"
     )
 
@@ -132,7 +133,8 @@ def attachment_items_of_text(t: Tables) -> DataFrame:
     """The same on attachments held as one text per row."""
     units = _per_item(lambda i: text(_item_head(i), "\nUnidade de Fornecimento: ", _unit(i)))
     whole = text(_composition(), "\n", F.array_join(units, "\n"))
-    return parse_attachment_items(t.orders.select("o_orderkey", whole.alias("text")), ["o_orderkey"]).select(
+    return parse_attachment_items(
+        t.spread("orders", *ORDER_COLUMNS).select("o_orderkey", whole.alias("text")), ["o_orderkey"]).select(
         "o_orderkey", *_ITEM
     )
 
@@ -145,7 +147,7 @@ def attachment_items_of_text(t: Tables) -> DataFrame:
 )
 def group_composition(t: Tables) -> DataFrame:
     """IT4, AG6."""
-    return group_mapping(t.orders.select("o_orderkey", _composition().alias("text")), ["o_orderkey"])
+    return group_mapping(t.spread("orders", *ORDER_COLUMNS).select("o_orderkey", _composition().alias("text")), ["o_orderkey"])
 
 
 @query(
@@ -235,7 +237,7 @@ def clean_descriptions(t: Tables) -> DataFrame:
 )
 def clean_documents(t: Tables) -> DataFrame:
     """SF2, SF3 on whole documents."""
-    clean = t.documents.select("doc_id", clean_description(F.col("text")).alias("c"))
+    clean = t.spread("documents", "doc_id", "text").select("doc_id", clean_description(F.col("text")).alias("c"))
     return clean.select("doc_id", F.md5("c").alias("hash"), big(F.length("c")).alias("chars"))
 
 
@@ -342,7 +344,8 @@ def rescue_answers(t: Tables) -> DataFrame:
         .when(F.col("l_returnflag") == "N", text('{"itens": ', listed, "}"))
         .otherwise(listed)
     )
-    answers = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", raw.alias("raw"))
+    answers = t.spread("lineitem", *LINE_KEYS, "l_quantity", "l_returnflag").select(
+        "l_orderkey", "l_linenumber", "l_partkey", raw.alias("raw"))
     return parse_rescue_answers(answers, ["l_orderkey", "l_linenumber", "l_partkey"]).select(
         "l_orderkey", "l_linenumber", "l_partkey", *_ITEM
     )

@@ -11,7 +11,7 @@ from ..operators import nesting, quality, render, scoring
 from ..operators.calls import rate_limit_streaks as streaks
 from ..schemas import ITEM
 from ..sources.results import failure_report_lines
-from .items import CLASS_SQL, ERROR_SQL, call_error
+from .items import CLASS_SQL, ERROR_SQL, ORDER_COLUMNS, call_error
 from .registry import Tables, big, query, text
 
 # --- attachments -------------------------------------------------------------------------
@@ -342,7 +342,7 @@ def _order_list(t: Tables, size: Column, gold: bool) -> DataFrame:
         )
 
     items = F.transform(F.sequence(F.lit(1), size.cast("int")), item)
-    return t.orders.select(key.alias("arquivo_json"), items.alias("itens_extraidos"))
+    return t.spread("orders", *ORDER_COLUMNS).select(key.alias("arquivo_json"), items.alias("itens_extraidos"))
 
 
 def _compared(t: Tables) -> DataFrame:

@@ -63,10 +63,9 @@ AUTH_MARKERS = ("401", "403", "invalid_api_key", "Unauthorized", "Forbidden")
 # Labels match in any case; a plain class on the first letter keeps the search fast.
 ITEM_START = rf"\n(?=\d+{WS}*-)"
 NOTICE_SPLIT = rf"-{{5,}}|{ITEM_START}"
-NOTICE_HEADER = rf"(?dm)^\d+{WS}*-{WS}*[^\n]+"
-ATTACHMENT_HEADER = rf"\A\d+{WS}*-{WS}*[^\n]+"
-HEADER_NUMBER = r"\A(\d+)"
-HEADER_LEAD = rf"\A\d+{WS}*-{WS}*"
+NOTICE_HEADER = rf"(?dm)^(\d+){WS}*-{WS}*([^\n]+)"
+ATTACHMENT_HEADER = rf"\A(\d+){WS}*-{WS}*([^\n]+)"
+POSITIVE = r"\A0*[1-9]\d{0,18}\z"
 NOTICE_QUANTITY = rf"[Qq](?iu:uantidade:){WS}*(\d+)"
 ATTACHMENT_QUANTITY = rf"[Qq](?iu:uantidade)(?:{WS}*(?iu:Total))?:{WS}*(\d+)"
 SUPPLY_UNIT = rf"[Uu](?iu:nidade de fornecimento:){WS}*([^\n]+)"

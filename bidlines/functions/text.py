@@ -22,7 +22,7 @@ _DESCRIPTION_CUT = rf" {_cut(P.DESCRIPTION_CUT_WORDS)}"
 # A run of blanks that is not just one space.
 _BLANK_RUN = rf"{P.WS}(?:(?<! )|{P.WS}){P.WS}*+"
 # One regex finds the longest title that is said twice: 2-10 words, else one non-empty word.
-_REPEATED_TITLE = rf"\A([^ ]*+(?: [^ ]*+){{1,{P.TITLE_WORDS - 1}}}|[^ ]++) \1(?: |\z)"
+_REPEATED_TITLE = rf"\A([^ ]*+(?: [^ ]*+){{1,{P.TITLE_WORDS - 1}}}|[^ ]++) (?iu:\1)(?: |\z)"
 
 
 def strip(c: Column) -> Column:
@@ -40,10 +40,6 @@ def first_group(c: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
-def _words(c: Column) -> Column:
-    return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit(""))) + F.lit(1)
-
-
 def clean_unit(c: Column) -> Column:
     """Unit of supply: cut trailing metadata, trim, strip '.' then ','; never empty."""
     cut = strip(F.regexp_replace(c, _UNIT_CUT, ""))
@@ -57,10 +53,11 @@ def drop_repeated_title(c: Column) -> Column:
     The comparison ignores case and the punctuation ``.,/;-``; the longest title wins.
     """
     head = F.substring_index(c, " ", 2 * P.TITLE_WORDS)
-    bare = F.regexp_replace(F.lower(head), f"[{P.STRIPPED_PUNCTUATION}]", "")
+    bare = F.regexp_replace(head, f"[{P.STRIPPED_PUNCTUATION}]", "")
     title = F.regexp_extract(bare, _REPEATED_TITLE, 1)
-    tail = F.call_function("substring_index", c, F.lit(" "), _words(title) - _words(c))
-    return F.when(title != "", tail).otherwise(c)
+    words = F.length(title) - F.length(F.replace(title, F.lit(" "), F.lit(""))) + F.lit(1)
+    dropped = F.call_function("substring_index", c, F.lit(" "), words)
+    return F.when(title != "", F.substr(c, F.length(dropped) + F.lit(2))).otherwise(c)
 
 
 def clean_description(c: Column) -> Column:

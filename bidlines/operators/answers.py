@@ -18,7 +18,9 @@ _WHOLE_NUMBER = rf"\A{P.WS}*([+-]?\d+)(?:\.0*)?{P.WS}*\z"
 
 def strip_fences(c: Column) -> Column:
     """Answer text without Markdown code fences."""
-    return strip(F.regexp_replace(F.regexp_replace(strip(c), _FENCE_START, ""), _FENCE_END, ""))
+    bare = strip(c)
+    unfenced = strip(F.regexp_replace(F.regexp_replace(bare, _FENCE_START, ""), _FENCE_END, ""))
+    return F.when(bare.contains("```"), unfenced).otherwise(bare)
 
 
 def _kind(v: Column) -> Column:
@@ -54,31 +56,25 @@ def _item(v: Column) -> Column:
     )
 
 
-def answer_items(raw: Column) -> Column:
-    """Array of item structs of one answer; null if the answer is void.
+def parse_rescue_answers(df: DataFrame, keys: Sequence[str], raw_col: str = "raw") -> DataFrame:
+    """Items of the answers that are sound, in order.
 
-    The answer is a list of items or an object with ``itens``; one bad item voids it all.
+    An answer is a list of items or an object with ``itens``; one bad item voids it all. Each
+    step is a column of its own, and there is no filter before the last one: filters are pushed
+    down, and an answer would be parsed again for each.
     """
-    answer = F.try_parse_json(strip_fences(raw))
-    listed = F.coalesce(
-        F.try_variant_get(answer, "$", "array<variant>"), F.try_variant_get(answer, "$.itens", "array<variant>")
-    )
-    items = F.transform(listed, _item)
-    sound = F.forall(items, lambda i: valid_item(i) & F.coalesce(i["lote_ok"], F.lit(False)))
-    return F.when(sound, items)
-
-
-def parse_rescue_answers(df: DataFrame, keys: Sequence[str], raw_col: str = "raw") -> DataFrame:
-    """Items of the answers that are sound, in order."""
-    return (
-        df.select(*keys, F.posexplode(answer_items(F.col(raw_col))).alias("block_pos", "i"))
-        .select(
-            *keys,
-            F.col("block_pos").cast("bigint").alias("block_pos"),
-            "i.lote",
-            "i.item",
-            "i.objeto",
-            "i.quantidade",
-            "i.unidade_fornecimento",
-        )
+    parsed = df.select(*keys, F.try_parse_json(strip_fences(F.col(raw_col))).alias("answer"))
+    is_list = F.schema_of_variant("answer").startswith("ARRAY")
+    listed = F.when(is_list, F.col("answer")).otherwise(F.try_variant_get("answer", "$.itens", "variant"))
+    items = parsed.select(*keys, F.transform(F.try_variant_get(listed, "$", "array<variant>"), _item).alias("items"))
+    sound = F.forall("items", lambda i: valid_item(i) & F.coalesce(i["lote_ok"], F.lit(False)))
+    kept = items.select(*keys, F.when(sound, F.col("items")).alias("items"))
+    return kept.select(*keys, F.posexplode_outer("items").alias("block_pos", "i")).where("i IS NOT NULL").select(
+        *keys,
+        F.col("block_pos").cast("bigint").alias("block_pos"),
+        "i.lote",
+        "i.item",
+        "i.objeto",
+        "i.quantidade",
+        "i.unidade_fornecimento",
     )

@@ -28,7 +28,7 @@ def group_entries(section: Column) -> Column:
 
 def group_mapping_of_sections(sections: DataFrame, keys: Sequence[str], section_col: str = "section") -> DataFrame:
     """``keys``, ``item``, ``lote``: the last group that names an item wins."""
-    named = sections.select(*keys, F.explode(group_entries(F.col(section_col))).alias("e")).where("e.item IS NOT NULL")
+    named = sections.select(*keys, F.explode_outer(group_entries(F.col(section_col))).alias("e")).where("e.item IS NOT NULL")
     return named.groupBy(*keys, F.col("e.item").alias("item")).agg(F.max_by("e.lote", "e.pos").alias("lote"))
 
 

@@ -13,17 +13,20 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import clean_description, clean_unit, drop_lines, first_group, keep_label_value, strip
-from .quality import valid_item
 
 ITEM_COLUMNS = ("block_pos", "lote", "item", "objeto", "quantidade", "unidade_fornecimento")
 
 
 def split_blocks(df: DataFrame, keys: Sequence[str], text: Column, pattern: str) -> DataFrame:
-    """One row per non-blank block of ``text``: ``keys``, ``block_pos``, ``block`` (trimmed)."""
-    return (
-        df.select(*keys, F.posexplode(F.split(text, pattern, -1)).alias("block_pos", "block"))
-        .select(*keys, F.col("block_pos").cast("bigint").alias("block_pos"), strip(F.col("block")).alias("block"))
-        .where(F.col("block") != "")
+    """One row per block of ``text``: ``keys``, ``block_pos``, ``block`` (without leading blanks).
+
+    Blank blocks go later with all others that have no item header. (The outer form of the
+    generator keeps the planner from adding a filter that would split each text once more.)
+    """
+    return df.select(*keys, F.posexplode_outer(F.split(text, pattern, -1)).alias("block_pos", "block")).select(
+        *keys,
+        F.col("block_pos").cast("bigint").alias("block_pos"),
+        F.ltrim(F.col("block"), F.lit(P.BLANKS)).alias("block"),
     )
 
 
@@ -40,25 +43,27 @@ def attachment_blocks(df: DataFrame, keys: Sequence[str], text_col: str = "text"
 def _block_items(
     blocks: DataFrame, keys: Sequence[str], header: str, quantity: str, description: Column, lote: Column
 ) -> DataFrame:
+    """Blocks with a header and a quantity, both at least 1, as items; other blocks are dropped."""
     block = F.col("block")
+    # Numbers are tested as text first: a failing cast costs far more than a pattern.
     found = blocks.select(
         *keys,
         "block_pos",
         "block",
-        first_group(block, header, 0).alias("header"),
-        first_group(block, quantity).alias("quantity"),
-    ).where(F.col("header").isNotNull() & F.col("quantity").isNotNull())
-    title = strip(F.regexp_replace("header", P.HEADER_LEAD, ""))
+        F.regexp_extract(block, header, 1).alias("number"),
+        F.regexp_extract(block, quantity, 1).alias("quantity"),
+    ).where(F.col("number").rlike(P.POSITIVE) & F.col("quantity").rlike(P.POSITIVE))
     items = found.select(
         *keys,
         "block_pos",
         lote.alias("lote"),
-        F.regexp_extract("header", P.HEADER_NUMBER, 1).try_cast("bigint").alias("item"),
-        clean_description(F.concat(title, F.lit(" "), description)).alias("objeto"),
+        F.col("number").try_cast("bigint").alias("item"),
+        clean_description(F.concat(F.regexp_extract(block, header, 2), F.lit(" "), description)).alias("objeto"),
         F.col("quantity").try_cast("bigint").alias("quantidade"),
-        clean_unit(strip(first_group(block, P.SUPPLY_UNIT))).alias("unidade_fornecimento"),
+        clean_unit(strip(F.regexp_extract(block, P.SUPPLY_UNIT, 1))).alias("unidade_fornecimento"),
     )
-    return items.where(valid_item())
+    # Only numbers too large for bigint are left to refuse here.
+    return items.where(F.col("item").isNotNull() & F.col("quantidade").isNotNull())
 
 
 def items_of_notice_blocks(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:

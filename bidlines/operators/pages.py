@@ -99,7 +99,7 @@ def paged_blocks(pages: DataFrame, keys: Sequence[str], span: int = SPAN) -> Dat
     cut = F.when(F.col("crosses"), F.split(lead, rf"{P.ITEM_START}|\n(?=\d+{P.WS}*\z)", -1)).otherwise(
         F.split(lead, P.ITEM_START, -1)
     )
-    fragments = owned.select(*keys, "page_no", "owner", F.posexplode(cut).alias("no", "fragment"))
+    fragments = owned.select(*keys, "page_no", "owner", F.posexplode_outer(cut).alias("no", "fragment"))
     own = F.col("no") > 0
     fragments = fragments.select(
         *keys,

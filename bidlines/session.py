@@ -19,6 +19,8 @@ def build_session(app: str = "bidlines", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # HotSpot does not compile larger methods; Spark then splits the stage instead.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.session.timeZone": "UTC",
         **conf,
     }

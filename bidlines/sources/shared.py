@@ -27,6 +27,12 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: parsed once, read by every later branch, safe when executors go."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write a frame to the shared folder and go on from there.
+
+    It is computed once, later branches read only the columns they need, and nothing of it is
+    lost with an executor.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, "kept")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
