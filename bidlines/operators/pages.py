@@ -94,7 +94,8 @@ def paged_blocks(pages: DataFrame, keys: Sequence[str], span: int = SPAN) -> Dat
     # Blanks at the very start of a document do not hide an item number.
     text = F.when(F.col("page_no") == 1, F.ltrim(text, F.lit(P.BLANKS))).otherwise(text)
     pages = pages.select(*keys, "page_no", text.alias("text"))
-    owned = pages.join(_page_owners(pages, keys, span), [*keys, "page_no"])
+    # Both sides have a row per page, so neither is ever the small one.
+    owned = pages.join(_page_owners(pages, keys, span).hint("merge"), [*keys, "page_no"])
     lead = F.concat(F.lit("\n"), F.col("text"))
     cut = F.when(F.col("crosses"), F.split(lead, rf"{P.ITEM_START}|\n(?=\d+{P.WS}*\z)", -1)).otherwise(
         F.split(lead, P.ITEM_START, -1)

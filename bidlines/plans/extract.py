@@ -73,7 +73,9 @@ def extract(
     pdf = opened.where(F.lower("file_name").rlike(r".\.pdf\z"))
 
     wanted = writable.select("arquivo_json")
-    pdf_pages = pages.join(pdf.select(*REF), list(REF), "left_semi").join(wanted, "arquivo_json", "left_semi")
+    # The parser reads the pages several times; this way they are picked and moved only once.
+    pdf_refs = pdf.select(*REF).join(wanted, "arquivo_json", "left_semi")
+    pdf_pages = keep(pages.join(pdf_refs, list(REF), "left_semi"))
     fields = ("arquivo_json", "att_pos", "block_pos", *ITEM_FIELDS)
     tier1 = keep(clean_items(parse_paged_attachments(pdf_pages, REF)).select(*fields))
 
