@@ -43,9 +43,11 @@ def _page_owners(pages: DataFrame, keys: Sequence[str], span: int) -> DataFrame:
         F.nullif(F.substring(strip(F.col("text")), 1, 1), F.lit("")).alias("head"),
     )
     by_span = Window.partitionBy(*keys, "span").orderBy("page_no")
-    before, after = (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)
+    before = (Window.unboundedPreceding, -1)
+    # What follows is looked up backwards: a frame that is open at its end is quadratic.
+    from_end = Window.partitionBy(*keys, "span").orderBy(F.desc("page_no")).rowsBetween(*before)
 
-    near = facts.withColumn("next_in", F.first("head", ignorenulls=True).over(by_span.rowsBetween(*after)))
+    near = facts.withColumn("next_in", F.last("head", ignorenulls=True).over(from_end))
     known = F.col("starts") + F.when(F.col("open_end") & (F.col("next_in") == "-"), 1).otherwise(0)
     near = near.withColumn("known", known)
     owner = F.struct(F.col("page_no").alias("page"), F.col("known").alias("block"))
@@ -56,7 +58,8 @@ def _page_owners(pages: DataFrame, keys: Sequence[str], span: int) -> DataFrame:
         F.max(F.when(pending, owner)).alias("pending"),
     )
     over_spans = Window.partitionBy(*keys).orderBy("span")
-    spans = spans.withColumn("next_head", F.first("first_head", ignorenulls=True).over(over_spans.rowsBetween(*after)))
+    last_spans = Window.partitionBy(*keys).orderBy(F.desc("span")).rowsBetween(*before)
+    spans = spans.withColumn("next_head", F.last("first_head", ignorenulls=True).over(last_spans))
     crossed = F.struct(F.col("pending.page").alias("page"), (F.col("pending.block") + 1).alias("block"))
     spans = spans.withColumn(
         "end_owner",
