@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,15 @@ _DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a fresh local one only where that is unset (tests)."""
+    """Folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a session whose tasks all run in the driver gets a fresh local folder; any
+    other is refused, since its executors would each write to a disk of their own.
+    """
     configured = spark.conf.get(_DIR, None) or spark.sparkContext.getConf().get(_DIR, None)
     if not configured:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError(f"{_DIR} is not set: name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="bidlines-")
         spark.conf.set(_DIR, configured)
     if not spark.sparkContext.getCheckpointDir():
