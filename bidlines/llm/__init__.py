@@ -2,9 +2,9 @@
 
 from pyspark import cloudpickle
 
-from . import chat, common, mixing, simhash, tokens, xxh64
+from . import chat, common, decontamination, embeddings, mixing, simhash, tokens, toxicity, xxh64
 from .common import CHECKS, QUERIES
 
 # Tasks get these functions by value, so executors need no copy of the package.
-for _module in (common, chat, simhash, tokens, xxh64):
+for _module in (common, chat, embeddings, simhash, tokens, toxicity, xxh64):
     cloudpickle.register_pickle_by_value(_module)
