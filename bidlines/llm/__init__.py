@@ -2,7 +2,7 @@
 
 from pyspark import cloudpickle
 
-from . import chat, common, decontamination, embeddings, mixing, simhash, tokens, toxicity, xxh64
+from . import chat, common, decontamination, embeddings, licences, mixing, secrets, simhash, tokens, toxicity, xxh64
 from .common import CHECKS, QUERIES
 
 # Tasks get these functions by value, so executors need no copy of the package.
