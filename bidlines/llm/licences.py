@@ -63,6 +63,7 @@ TEMPLATES = {
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     ),
     "Proprietary": (
+        "All rights reserved.",
         "Copyright. All rights reserved.",
         "All rights reserved. No part of this work may be reproduced without written permission of the publisher.",
     ),
