@@ -16,7 +16,7 @@ PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{
 SPECIAL = "<|endoftext|>"
 CONTEXT = 1024
 #: Bytes of pre-tokens that make up a block at most (a longer document is a block of its own).
-BLOCK = 32 << 20
+BLOCK = 16 << 20
 
 def pre_tokens(text: Column, special: str = SPECIAL) -> Column:
     """The pre-tokens of a text, those of the stretches between special strings; the strings themselves are left out."""
@@ -42,25 +42,50 @@ def _blocks(batches):
             owner = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
             pair, freq = np.unique(owner * max(1, len(words)) + codes, return_counts=True)
             doc, code = np.divmod(pair, max(1, len(words)))
-            own = [pa.array(x.astype(np.int32)) for x in (doc, code, freq)]
-            lists = [*own, words, *(c.slice(0, n) for c in batch.columns[1:])]
+            step = np.where(np.diff(doc, prepend=-1) > 0, code, np.diff(code, prepend=0))
+            packed = _pack(np.bincount(doc, minlength=n), step, freq)
+            lists = [words, *(c.slice(0, n) for c in batch.columns[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists],
-                names=["_doc", "_code", "_freq", "_words", *batch.schema.names[1:]],
+                [pa.array([packed]), pa.array([len(pair)], pa.int32()), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)],
+                names=["_packed", "_pairs", "_words", *batch.schema.names[1:]],
             )
             batch = batch.slice(n)
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    """Numbers of four bytes, compressed by byte place."""
+    planes = [np.ascontiguousarray(c.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for c in columns]
+    return pa.Codec("zstd").compress(b"".join(planes), asbytes=True)
+
+
+def _unpack(packed: bytes, *sizes: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.Codec("zstd").decompress(packed, 4 * sum(sizes), asbytes=True), np.uint8)
+    out = []
+    for n in sizes:
+        out.append(np.ascontiguousarray(raw[: 4 * n].reshape(4, n).T).view("<u4").ravel().astype(np.int64))
+        raw = raw[4 * n :]
+    return out
+
+
 def _count_pieces(path):
     def run(batches):
+        """Uses of pre-tokens, sorted, to their numbers of pieces; each pre-token is encoded where its run begins."""
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # a pre-token is never a special token
+        last, count = None, 0
         for batch in batches:
-            words = batch.column(0)
-            pieces = [len(e.ids) for e in tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([words, pa.array(pieces, pa.int32())], names=["_word", "_pieces"])
+            if not batch.num_rows:
+                continue
+            runs = pc.run_end_encode(batch.column(0))
+            words = runs.values.to_pylist()
+            known = words[0] == last
+            pieces = [len(e.ids) for e in tokenizer.encode_batch_fast(words[known:], add_special_tokens=False)]
+            pieces = [count, *pieces] if known else pieces
+            last, count = words[-1], pieces[-1]
+            each = np.repeat(np.array(pieces, np.int32), np.diff(np.r_[0, runs.run_ends.to_numpy()]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(each)], names=[*batch.schema.names[1:], "_pieces"])
 
     return run
 
@@ -70,12 +95,18 @@ def _sum_blocks(names):
         """Blocks with the pieces of their pre-tokens to their documents with tokens."""
         for batch in batches:
             for k in range(batch.num_rows):
-                get = {name: batch.column(name)[k].values for name in batch.schema.names if name != "_block"}
-                doc, code, freq, at, n = (np.zeros(0, np.int64) if get[c] is None else get[c].to_numpy() for c in ("_doc", "_code", "_freq", "_at", "_pieces"))
+                get = {name: batch.column(name)[k].values for name in ("_at", "_pieces", "_special", *names)}
+                at, n = (np.zeros(0, np.int64) if get[c] is None else get[c].to_numpy() for c in ("_at", "_pieces"))
+                pairs, n_docs = batch.column("_pairs")[k].as_py(), len(get["_special"])
+                counts, step, freq = _unpack(batch.column("_packed")[k].as_py(), n_docs, pairs, pairs)
+                doc = np.repeat(np.arange(n_docs), counts)
+                first = (np.cumsum(counts) - counts)[doc]
+                run = np.cumsum(step)
+                code = run - np.r_[0, run][first]
                 pieces = np.zeros(len(at), np.int64)
                 pieces[at] = n
                 rows = [get[c] for c in names]
-                total = np.bincount(doc, freq * pieces[code], minlength=len(get["_special"])).astype(np.int64)
+                total = np.bincount(doc, freq * pieces[code], minlength=n_docs).astype(np.int64)
                 total += get["_special"].to_numpy()
                 yield pa.RecordBatch.from_arrays([*rows, pa.array(total)], names=[*names, "_tokens"])
 
@@ -87,9 +118,9 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", name: str = "n_
 
     Pre-tokens are found in the JVM. A task turns a batch of documents into one block: its distinct
     pre-tokens, and numbers for how often each document has each. The blocks are written once. The
-    distinct pre-tokens of all blocks are encoded once each by the tokenizers library with the
-    vocabulary file at ``path``, the numbers of pieces are joined back, and each block sums up its
-    documents; ids are never kept. A common pre-token has one row for each block, not for each
+    pre-tokens of all blocks meet by their text, each is encoded once by the tokenizers library with
+    the vocabulary file at ``path``, the numbers of pieces are joined back to the blocks, and each
+    block sums up its documents; ids are never kept. A common pre-token has one row for each block, not for each
     document.
 
     Null and empty texts have 0 tokens. A special string inside a text is one token, as is the
@@ -103,11 +134,11 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", name: str = "n_
     raw = docs.select(pre_tokens(t).alias("_words"), (F.size(F.split(t, rf"\Q{SPECIAL}\E")) - 1).alias("_special"), *keep)
     types = {f.name: f.dataType.simpleString() for f in raw.schema.fields}
     lists = ", ".join(f"`{c}` array<{types[c]}>" for c in ("_special", *keep))
-    blocks = raw.mapInArrow(_blocks, f"_doc array<int>, _code array<int>, _freq array<int>, _words array<string>, {lists}")
+    blocks = raw.mapInArrow(_blocks, f"_packed binary, _pairs int, _words array<string>, {lists}")
     blocks = cut_lineage(blocks.withColumn("_block", F.monotonically_increasing_id()))
-    uses = blocks.select("_block", F.posexplode("_words").alias("_at", "_word"))
-    pieces = uses.select("_word").distinct().mapInArrow(_count_pieces(path), "_word string, _pieces int")
-    known = uses.join(pieces, "_word").groupBy("_block").agg(F.collect_list(F.struct("_at", "_pieces")).alias("k"))
+    uses = blocks.select(F.posexplode("_words").alias("_at", "_word"), "_block").select("_word", "_block", "_at")
+    pieces = uses.repartition("_word").sortWithinPartitions("_word").mapInArrow(_count_pieces(path), "_block bigint, _at int, _pieces int")
+    known = pieces.groupBy("_block").agg(F.collect_list(F.struct("_at", "_pieces")).alias("k"))
     known = known.select("_block", F.col("k._at").alias("_at"), F.col("k._pieces").alias("_pieces"))
     filled = blocks.drop("_words").join(known, "_block", "left")
     kept = ", ".join(f"`{c}` {types[c]}" for c in keep)
