@@ -16,7 +16,9 @@ PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{
 SPECIAL = "<|endoftext|>"
 CONTEXT = 1024
 #: Bytes of pre-tokens that make up a block at most (a longer document is a block of its own).
-BLOCK = 16 << 20
+BLOCK = 64 << 20
+#: Pre-tokens of a block that are counted at once.
+STRETCH = 1 << 19
 
 def pre_tokens(text: Column, special: str = SPECIAL) -> Column:
     """The pre-tokens of a text, those of the stretches between special strings; the strings themselves are left out."""
@@ -34,19 +36,24 @@ def _blocks(batches):
             lists = batch.column(0)
             offsets = lists.offsets.to_numpy().astype(np.int64)
             tokens = lists.values
-            size = np.r_[0, np.cumsum(pc.binary_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64))]
-            n = max(1, int(np.searchsorted(size[offsets[1:]] - size[offsets[0]], BLOCK)))
+            size = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset :][offsets] if len(tokens) else offsets
+            n = max(1, int(np.searchsorted(size[1:] - size[0], BLOCK)))
             offsets = offsets[: n + 1]
             coded = tokens.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-            words, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-            owner = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
-            pair, freq = np.unique(owner * max(1, len(words)) + codes, return_counts=True)
-            doc, code = np.divmod(pair, max(1, len(words)))
+            words, codes = coded.dictionary, coded.indices.to_numpy()
+            found, row = [], 0
+            while row < n:
+                end = min(n, max(row + 1, int(np.searchsorted(offsets, offsets[row] + STRETCH, side="right")) - 1))
+                owner = np.repeat(np.arange(row, end, dtype=np.int64), np.diff(offsets[row : end + 1]))
+                pair, freq = np.unique(owner * len(words) + codes[offsets[row] - offsets[0] : offsets[end] - offsets[0]], return_counts=True)
+                found.append((*(x.astype(np.int32) for x in np.divmod(pair, max(1, len(words)))), freq.astype(np.int32)))
+                row = end
+            doc, code, freq = (np.concatenate(c) for c in zip(*found))
             step = np.where(np.diff(doc, prepend=-1) > 0, code, np.diff(code, prepend=0))
             packed = _pack(np.bincount(doc, minlength=n), step, freq)
             lists = [words, *(c.slice(0, n) for c in batch.columns[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([packed]), pa.array([len(pair)], pa.int32()), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)],
+                [pa.array([packed]), pa.array([len(doc)], pa.int32()), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)],
                 names=["_packed", "_pairs", "_words", *batch.schema.names[1:]],
             )
             batch = batch.slice(n)
@@ -95,16 +102,16 @@ def _sum_blocks(names):
         """Blocks with the pieces of their pre-tokens to their documents with tokens."""
         for batch in batches:
             for k in range(batch.num_rows):
-                get = {name: batch.column(name)[k].values for name in ("_at", "_pieces", "_special", *names)}
-                at, n = (np.zeros(0, np.int64) if get[c] is None else get[c].to_numpy() for c in ("_at", "_pieces"))
+                get = {name: batch.column(name)[k].values for name in ("_known", "_special", *names)}
+                known = np.zeros(0, np.int64) if get["_known"] is None else get["_known"].to_numpy()
                 pairs, n_docs = batch.column("_pairs")[k].as_py(), len(get["_special"])
                 counts, step, freq = _unpack(batch.column("_packed")[k].as_py(), n_docs, pairs, pairs)
                 doc = np.repeat(np.arange(n_docs), counts)
                 first = (np.cumsum(counts) - counts)[doc]
                 run = np.cumsum(step)
                 code = run - np.r_[0, run][first]
-                pieces = np.zeros(len(at), np.int64)
-                pieces[at] = n
+                pieces = np.ones(int(code.max(initial=-1)) + 1, np.int64)
+                pieces[known >> 32] = known & 0xFFFFFFFF
                 rows = [get[c] for c in names]
                 total = np.bincount(doc, freq * pieces[code], minlength=n_docs).astype(np.int64)
                 total += get["_special"].to_numpy()
@@ -138,8 +145,9 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", name: str = "n_
     blocks = cut_lineage(blocks.withColumn("_block", F.monotonically_increasing_id()))
     uses = blocks.select(F.posexplode("_words").alias("_at", "_word"), "_block").select("_word", "_block", "_at")
     pieces = uses.repartition("_word").sortWithinPartitions("_word").mapInArrow(_count_pieces(path), "_block bigint, _at int, _pieces int")
-    known = pieces.groupBy("_block").agg(F.collect_list(F.struct("_at", "_pieces")).alias("k"))
-    known = known.select("_block", F.col("k._at").alias("_at"), F.col("k._pieces").alias("_pieces"))
+    # Place and pieces in one number; a pre-token of one piece, the usual case, needs none.
+    both = F.shiftleft(F.col("_at").cast("bigint"), 32) + F.col("_pieces")
+    known = pieces.where("_pieces > 1").groupBy("_block").agg(F.collect_list(both).alias("_known"))
     filled = blocks.drop("_words").join(known, "_block", "left")
     kept = ", ".join(f"`{c}` {types[c]}" for c in keep)
     return filled.mapInArrow(_sum_blocks(keep), f"{kept}, _tokens bigint").withColumnRenamed("_tokens", name)
