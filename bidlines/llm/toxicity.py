@@ -16,6 +16,8 @@ from .common import cut_lineage, query, table
 LENGTH, SKIP, DECAY = 3, 2, 0.5
 #: Bounds of what the model is fitted on: labelled texts, words of them, and landmarks.
 MAX_TEXTS, MAX_WORDS, LANDMARKS = 20_000, 20_000, 256
+#: Texts and words worked on at once, and words whose scores a task remembers.
+TEXTS_AT_ONCE, WORDS_AT_ONCE, WORDS_KEPT = 500, 8192, 1 << 18
 #: Characters that stand for letters in disguised words (fixed by habit of writing).
 DISGUISE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 #: Classes of characters: boundary, a-z, the rest folded into a fixed number.
@@ -191,7 +193,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _word_lists(batches):
-    for batch in batches:
+    for batch in (b.slice(k, TEXTS_AT_ONCE) for b in batches for k in range(0, b.num_rows, TEXTS_AT_ONCE)):
         words = [words_of(t.as_py()) for t in batch.column(2)]
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(words, pa.list_(pa.string()))], names=["y", "words"])
 
@@ -205,10 +207,10 @@ def word_scores(words: list[str], model: dict) -> np.ndarray:
 
 def _tops(model):
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(k, TEXTS_AT_ONCE) for b in batches for k in range(0, b.num_rows, TEXTS_AT_ONCE)):
             lists = batch.column(1).to_pylist()
             all_words = list({w for ws in lists for w in ws})
-            score = dict(zip(all_words, word_scores(all_words, model)))
+            score = {w: s for k in range(0, len(all_words), WORDS_AT_ONCE) for part in [all_words[k : k + WORDS_AT_ONCE]] for w, s in zip(part, word_scores(part, model))}
             tops = [max((score[w] for w in ws), default=-2.0) for ws in lists]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tops, pa.float64())], names=["y", "top"])
 
@@ -218,15 +220,15 @@ def _tops(model):
 def _score_texts(model):
     def run(batches):
         known: dict[str, float] = {}
-        for batch in batches:
+        for batch in (b.slice(k, TEXTS_AT_ONCE) for b in batches for k in range(0, b.num_rows, TEXTS_AT_ONCE)):
             lists = [words_of(t or "") for t in batch.column(0).to_pylist()]
             new = list({w for ws in lists for w in ws if w not in known})
-            for k in range(0, len(new), 1 << 16):
-                part = new[k : k + (1 << 16)]
+            for k in range(0, len(new), WORDS_AT_ONCE):
+                part = new[k : k + WORDS_AT_ONCE]
                 known.update(zip(part, word_scores(part, model).tolist()))
             top = np.array([max((known[w] for w in ws), default=-2.0) for ws in lists])
             score = 1 / (1 + np.exp(-np.clip(model["a"] * top + model["b"], -30, 30)))
-            if len(known) > 1 << 19:
+            if len(known) > WORDS_KEPT:
                 known.clear()
             yield pa.RecordBatch.from_arrays([pa.array(score), *batch.columns[1:]], names=["_score", *batch.schema.names[1:]])
 
