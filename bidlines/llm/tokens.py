@@ -16,9 +16,9 @@ PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{
 SPECIAL = "<|endoftext|>"
 CONTEXT = 1024
 #: Bytes of pre-tokens that make up a block at most (a longer document is a block of its own).
-BLOCK = 64 << 20
+BLOCK = 24 << 20
 #: Pre-tokens of a block that are counted at once.
-STRETCH = 1 << 19
+STRETCH = 1 << 18
 
 def pre_tokens(text: Column, special: str = SPECIAL) -> Column:
     """The pre-tokens of a text, those of the stretches between special strings; the strings themselves are left out."""
@@ -57,6 +57,8 @@ def _blocks(batches):
                 names=["_packed", "_pairs", "_words", *batch.schema.names[1:]],
             )
             batch = batch.slice(n)
+            del lists, tokens, coded, words, codes, found, doc, code, freq, step, packed
+            pa.default_memory_pool().release_unused()
 
 
 def _pack(*columns: np.ndarray) -> bytes:
