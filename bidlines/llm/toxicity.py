@@ -106,8 +106,8 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> np
     return beta
 
 
-def train(texts: DataFrame, label: str = "toxic", text: str = "text", max_texts: int = MAX_TEXTS) -> dict:
-    """A model from labelled texts: a bounded sample of them, chosen by hash of the text.
+def train(texts: DataFrame, label: str = "toxic", text: str = "text") -> dict:
+    """A model from labelled texts, as many as one wants to fit it on (``labelled`` gives MAX_TEXTS at most).
 
     Words are labelled by where they stand: a word of toxic texts only, and of more of them than
     chance explains, is an example for; words of clean texts are examples against. The machine is
@@ -116,7 +116,6 @@ def train(texts: DataFrame, label: str = "toxic", text: str = "text", max_texts:
     its highest word, put on the scale of probabilities by the labelled texts.
     """
     sample = texts.where(F.col(label).isNotNull() & F.col(text).isNotNull()).groupBy(F.xxhash64(text).alias("h"), F.col(text).alias("t")).agg(F.max(label).alias("y"))
-    sample = sample.orderBy("h", "t").limit(max_texts)
     sample = cut_lineage(sample.select("h", F.col("y").cast("int"), "t").mapInArrow(_word_lists, "y int, words array<string>"))
     n, n_toxic = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not 0 < n_toxic < n:
@@ -255,11 +254,12 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
 
 
-def labelled(spark, sf_dir) -> DataFrame:
-    """Texts with labels that may be learned from."""
-    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where("toxic is not null")
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return docs.join(labels.where(~held_out()), "doc_id")
+def labelled(spark, sf_dir, max_texts: int = MAX_TEXTS) -> DataFrame:
+    """Texts with labels that may be learned from: all, or a sample of ``max_texts`` labels by hash of the key."""
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(F.col("toxic").isNotNull() & ~held_out())
+    sample = cut_lineage(labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_texts))
+    # As few rows as the sample has: the texts stay where they are.
+    return table(spark, sf_dir, "documents", "doc_id", "text").join(F.broadcast(sample), "doc_id")
 
 
 @query()
