@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +48,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+@contextlib.contextmanager
+def rows_per_batch(spark: SparkSession, n: int):
+    """What is run inside gets n rows at most in one Arrow batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, query, table
+from .common import cut_lineage, query, rows_per_batch, table
 
 #: White space, letters and digits as the byte-level tokenizer's own pattern takes them.
 _S = r"\x09-\x0D\x20\x85\xA0  -     　"
@@ -16,7 +16,9 @@ PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{
 SPECIAL = "<|endoftext|>"
 CONTEXT = 1024
 #: Bytes of pre-tokens that make up a block at most (a longer document is a block of its own).
-BLOCK = 24 << 20
+BLOCK = 40 << 20
+#: Documents that cross to Python at once.
+ROWS = 1000
 #: Pre-tokens of a block that are counted at once.
 STRETCH = 1 << 18
 
@@ -29,9 +31,23 @@ def pre_tokens(text: Column, special: str = SPECIAL) -> Column:
     return F.when(F.contains(text, F.lit(special)), F.flatten(F.transform(stretches, of))).otherwise(of(text))
 
 
+def _gathered(batches):
+    """Batches put together up to the size of a block."""
+    held, size = [], 0
+    for batch in batches:
+        if size + batch.nbytes > BLOCK and held:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _blocks(batches):
     """Batches of (pre-tokens, ...) to blocks: the other columns as lists, the distinct pre-tokens, and how often each document has each."""
-    for batch in batches:
+    for batch in _gathered(batches):
         while batch.num_rows:
             lists = batch.column(0)
             offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -144,7 +160,8 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", name: str = "n_
     types = {f.name: f.dataType.simpleString() for f in raw.schema.fields}
     lists = ", ".join(f"`{c}` array<{types[c]}>" for c in ("_special", *keep))
     blocks = raw.mapInArrow(_blocks, f"_packed binary, _pairs int, _words array<string>, {lists}")
-    blocks = cut_lineage(blocks.withColumn("_block", F.monotonically_increasing_id()))
+    with rows_per_batch(docs.sparkSession, ROWS):
+        blocks = cut_lineage(blocks.withColumn("_block", F.monotonically_increasing_id()))
     uses = blocks.select(F.posexplode("_words").alias("_at", "_word"), "_block").select("_word", "_block", "_at")
     pieces = uses.repartition("_word").sortWithinPartitions("_word").mapInArrow(_count_pieces(path), "_block bigint, _at int, _pieces int")
     # Place and pieces in one number; a pre-token of one piece, the usual case, needs none.
