@@ -10,8 +10,8 @@ from .common import cut_lineage, fresh, query, table
 
 SIMILAR = 0.8
 #: Counters of token frequency: a token's rarity is that of its counter. Their number is fixed.
-COUNTERS = 1 << 16
-_HASH_BITS = 47
+COUNTERS = 1 << 18
+_HASH_BITS = 45
 
 
 def _tokens(line: Column) -> Column:
@@ -30,7 +30,7 @@ def token_ranks(docs: DataFrame, text: str = "text") -> list[int]:
 
 
 def _keys(tokens: Column, ranks: Column) -> Column:
-    """Different tokens as numbers, the rarest first: the counter's rank above 47 bits of the token's hash."""
+    """Different tokens as numbers, the rarest first: the counter's rank above 45 bits of the token's hash."""
     def key(t: Column) -> Column:
         h = F.xxhash64(t)
         return F.shiftleft(F.element_at(ranks, F.pmod(h, F.lit(COUNTERS)).cast("int") + 1).cast("bigint"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
@@ -38,6 +38,11 @@ def _keys(tokens: Column, ranks: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(tokens, key)))
 
 
+def _parity(keys: Column, shift: int) -> Column:
+    """64 bits, each the parity of the words that fall on it; sets that differ in d words differ in d bits at most."""
+    return F.aggregate(keys, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(k, shift).bitwiseAND(63).cast("int"))))
+
+
 def _least_overlap(n: Column, m: Column, similar: float) -> Column:
     return F.ceil((n + m) * (similar / (1 + similar)) - 1e-9)
 
@@ -49,7 +54,8 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     ``similar`` or more; earlier means a smaller (key, hash of the text, line). Lines of the same
     set are one from the start, at their first place. Words are ordered by rarity over all
     documents; matching sets share a word among their rarest few (prefix), differ little in size
-    (length), and have enough words left behind the shared one (position). Each set is first
+    (length), have enough words left behind the shared one (position), and differ in few bits of a
+    parity code of their words, which can never be more than the words they differ in. Each set is first
     compared with the earliest one of each of its rare words, and only those without a match there
     with the rest, so a large group of like lines does not meet in pairs. Every candidate is
     verified on the whole sets.
@@ -61,13 +67,13 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     n = F.size("keys")
     reach = n - F.ceil(n * similar - 1e-9).cast("int") + 1
     place = F.struct(F.col("k").isNull().alias("z"), "k", "h", "line")
-    sets = sets.select(F.xxhash64("keys").alias("s"), place.alias("at"), n.alias("n"), F.slice("keys", 1, reach).alias("prefix"))
+    sets = sets.select(F.xxhash64("keys").alias("s"), F.struct(place.alias("p"), _parity(F.col("keys"), 0).alias("u"), _parity(F.col("keys"), 6).alias("v")).alias("at"), n.alias("n"), F.slice("keys", 1, reach).alias("prefix"))
     # One pass over the texts: for each line its place (position -1) and its rarest words.
     marks = F.concat(F.array(F.lit(None).cast("bigint")), "prefix")
     spread = cut_lineage(
         sets.select("s", "at", "n", F.posexplode(marks).alias("pos", "key")).select("s", F.when(F.col("pos") == 0, F.col("at")).alias("at"), "n", (F.col("pos") - 1).alias("pos"), "key")
     )
-    first = cut_lineage(spread.where("pos = -1").groupBy("s").agg(F.min("at").alias("at")))
+    first = cut_lineage(spread.where("pos = -1").groupBy("s").agg(F.min("at").alias("at")).select("s", F.col("at.p").alias("at"), F.col("at.u").alias("u"), F.col("at.v").alias("v")))
     # Equal rows fall together where they land; a key is shared if sets of two kinds have it.
     landed = spread.where("pos >= 0").select("key", "s", "n", "pos").repartition("key").groupBy("key", "s", "n", "pos").agg(F.count("*").alias("c"))
     several = landed.withColumn("m", F.count("*").over(W.partitionBy("key"))).where("m > 1").select("key", "s", "n", "pos")
@@ -76,9 +82,11 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     def may(a: str, b: str) -> Column:
         x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
         left = F.least(x - F.col(f"{a}.pos"), y - F.col(f"{b}.pos"))
-        return (F.col(f"{b}.at") < F.col(f"{a}.at")) & (F.least(x, y) >= F.greatest(x, y) * similar - 1e-9) & (left >= _least_overlap(x, y, similar))
+        differ = x + y - 2 * _least_overlap(x, y, similar)
+        apart = [F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in "uv"]
+        return (F.col(f"{b}.at") < F.col(f"{a}.at")) & (apart[0] <= differ) & (apart[1] <= differ) & (F.least(x, y) >= F.greatest(x, y) * similar - 1e-9) & (left >= _least_overlap(x, y, similar))
 
-    head = shared.groupBy("key").agg(F.min(F.struct("at", "s", "n", "pos")).alias("e")).select("key", "e.*")
+    head = shared.groupBy("key").agg(F.min(F.struct("at", "s", "n", "pos", "u", "v")).alias("e")).select("key", "e.*")
     pair = [F.col("a.s").alias("s"), F.col("b.s").alias("o"), F.col("a.n").alias("n"), F.col("b.n").alias("m"), F.col("a.at").alias("at"), F.col("b.at").alias("oat")]
     one = cut_lineage(shared.alias("a").join(head.alias("b"), "key").where(may("a", "b")).select(*pair).distinct())
     matched = cut_lineage(_verified(rows, one, similar, ranks))
