@@ -41,18 +41,18 @@ def term_counts(docs: DataFrame, vocabulary: DataFrame, text: str = "text") -> D
 
 
 def positional_index(docs: DataFrame, vocabulary: DataFrame, reach: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Postings (k, h, pos, term, lead, near) of the given terms, and one row of term '' for each document.
+    """Postings (k, h, pos, term, lead, near) of the terms of (term, around), and one row of term '' for each document.
 
     ``pos`` is the word's place from 0, ``near`` the lower-cased words up to ``reach`` to either
-    side and ``lead`` the word's place among them. The row of term '' has the number of words as
+    side, for terms marked ``around``, and ``lead`` the word's place among them. The row of term '' has the number of words as
     its place. The index is written once.
     """
     # The row of a document is a word of its own that stands behind the others.
     tokens = _docs(docs, key, text).select("k", "h", "w", F.posexplode(F.array_append("w", F.lit(""))).alias("pos", "t"))
-    lookup = vocabulary.select("term").union(docs.sparkSession.range(1).select(F.lit("").alias("term")))
+    lookup = vocabulary.select("term", "around").union(docs.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(False)))
     found = tokens.join(lookup.withColumn("coarse", F.lower("term")), F.lower("t") == F.col("coarse")).where(ascii_lower(F.col("t")) == F.col("term"))
     lead = F.least("pos", F.lit(reach))
-    near = F.when(F.col("term") == "", F.array().cast("array<string>")).otherwise(
+    near = F.when(~F.col("around"), F.array().cast("array<string>")).otherwise(
         F.transform(F.slice("w", F.col("pos") - lead + 1, lead + reach + 1), ascii_lower)
     )
     return cut_lineage(found.select("k", "h", "pos", "term", lead.alias("lead"), near.alias("near")))
@@ -76,11 +76,12 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, key:
     ranked = spots.withColumn("rank", rank).withColumn("alive", alive).where("alive = len and rank <= 2")
     probes = cut_lineage(ranked.select("item_id", "at", "len", "place", "term", "rank"))
 
-    index = positional_index(docs, probes.select("term").distinct(), window - 1, key, text)
+    index = positional_index(docs, probes.groupBy("term").agg((F.min("rank") == 1).alias("around")), window - 1, key, text)
     n_words = index.where("term = ''").select("k", "h", F.col("pos").cast("bigint").alias("n_words"))
     places = probes.select("item_id", "place", "term").distinct()
     moved = index.join(places, "term").select("k", "h", "item_id", (F.col("pos") - F.col("place")).alias("base"), "place", "lead", "near")
-    aligned = moved.groupBy("k", "h", "item_id", "base").agg(F.collect_set("place").alias("places"), F.collect_list(F.struct("place", "lead", "near")).alias("lists"))
+    lists = F.collect_list(F.when(F.size("near") > 0, F.struct("place", "lead", "near"))).alias("lists")
+    aligned = moved.groupBy("k", "h", "item_id", "base").agg(F.collect_set("place").alias("places"), lists)
     both = probes.groupBy("item_id", "at", "len").agg(F.max(F.when(F.col("rank") == 1, F.col("place"))).alias("p1"), F.max(F.when(F.col("rank") == 2, F.col("place"))).alias("p2"))
     plans = both.join(windows.select("item_id", "at", F.slice("item", F.col("at") + 1, F.col("len")).alias("phrase")), ["item_id", "at"])
     plans = cut_lineage(plans.groupBy("item_id").agg(F.collect_list(F.struct("at", "len", "p1", "p2", "phrase")).alias("plans")))
@@ -106,7 +107,7 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slack: int, key: str =
     spots = w.select("item_id", F.posexplode("item").alias("place", "term")).join(term_counts(docs, vocabulary, text), "term")
     spots = spots.withColumn("rank", F.row_number().over(W.partitionBy("item_id").orderBy("n", "place"))).where("rank <= 2")
     pair = spots.groupBy("item_id").agg(F.min(F.struct("place", "term")).alias("a"), F.max(F.struct("place", "term")).alias("b")).where("a.place < b.place")
-    index = positional_index(docs, spots.select("term").distinct(), 0, key, text).select("k", "h", "pos", "term")
+    index = positional_index(docs, spots.select("term", F.lit(False).alias("around")).distinct(), 0, key, text).select("k", "h", "pos", "term")
     one = pair.join(index, F.col("a.term") == F.col("term")).select("k", "h", "item_id", "a", "b", F.col("pos").alias("first"))
     two = index.select(F.col("k").alias("k2"), F.col("h").alias("h2"), F.col("pos").alias("last"), F.col("term").alias("t2"))
     close = F.abs(F.col("last") - F.col("first") - (F.col("b.place") - F.col("a.place"))) <= slack
