@@ -60,17 +60,17 @@ REASON_EMPTY_FILE = "Arquivo corrompido ou vazio (0 bytes): "
 AUTH_MARKERS = ("401", "403", "invalid_api_key", "Unauthorized", "Forbidden")
 
 # --- item text ---------------------------------------------------------------------------
-# Labels match in any case; a plain class on the first letter keeps the search fast.
+# Fixed labels, matched in any case.
 ITEM_START = rf"\n(?=\d+{WS}*-)"
 NOTICE_SPLIT = rf"-{{5,}}|{ITEM_START}"
 NOTICE_HEADER = rf"(?dm)^(\d+){WS}*-{WS}*([^\n]+)"
 ATTACHMENT_HEADER = rf"\A(\d+){WS}*-{WS}*([^\n]+)"
 POSITIVE = r"\A0*[1-9]\d{0,18}\z"
-NOTICE_QUANTITY = rf"[Qq](?iu:uantidade:){WS}*(\d+)"
-ATTACHMENT_QUANTITY = rf"[Qq](?iu:uantidade)(?:{WS}*(?iu:Total))?:{WS}*(\d+)"
-SUPPLY_UNIT = rf"[Uu](?iu:nidade de fornecimento:){WS}*([^\n]+)"
+NOTICE_QUANTITY = rf"(?iu:Quantidade:){WS}*(\d+)"
+ATTACHMENT_QUANTITY = rf"(?iu:Quantidade)(?:{WS}*(?iu:Total))?:{WS}*(\d+)"
+SUPPLY_UNIT = rf"(?iu:Unidade de fornecimento:){WS}*([^\n]+)"
 INLINE_GROUP = rf"(?=[GgLl])(?iu:Grupo|Lote):{WS}*([Gg]?\d+)"
-GROUP_HEADING = rf"[Cc](?iu:omposição dos Grupos){WS}*\n"
+GROUP_HEADING = rf"(?iu:Composição dos Grupos){WS}*\n"
 GROUP_SECTION_END = rf"\n{WS}*\d+{WS}*-"
 GROUP_SECTION = rf"{GROUP_HEADING}((?s:.*?))(?={GROUP_SECTION_END}|\z)"
 GROUP_BLOCK = rf"G\d+{WS}*\n(?s:.*?)(?=\n{WS}*G\d+|\z)"
