@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, cut_lineage, fresh, query, table, terms
 
 WINDOW, SHARE = 13, 20
+#: Terms of test items up to this size in all are broadcast; more are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
 #: What lies between words before A-Z are lower-cased.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -33,6 +35,12 @@ def _docs(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"), _words(F.col(text)).alias("w"))
 
 
+def _looked_up(terms_of: DataFrame) -> DataFrame:
+    """The frame of ``term`` rows, marked for broadcast if its measured size is under the bound; beyond it the join shuffles."""
+    size = terms_of.agg(F.sum(F.octet_length("term") + 48)).first()[0] or 0
+    return F.broadcast(terms_of) if size <= BROADCAST_BYTES else terms_of
+
+
 def term_counts(docs: DataFrame, vocabulary: DataFrame, text: str = "text") -> DataFrame:
     """(term, n): how often each of the terms stands in all documents, letters of either case taken as one."""
     tokens = docs.select(F.explode(_words(F.col(text))).alias("t")).select(F.lower("t").alias("coarse"))
@@ -40,22 +48,17 @@ def term_counts(docs: DataFrame, vocabulary: DataFrame, text: str = "text") -> D
     return vocabulary.join(counts, F.lower("term") == F.col("coarse")).select("term", "n")
 
 
-def positional_index(docs: DataFrame, vocabulary: DataFrame, reach: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Postings (k, h, pos, term, lead, near) of the terms of (term, around), and one row of term '' for each document.
+def positional_index(docs: DataFrame, vocabulary: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Postings (k, h, pos, term) of the terms, and one row of term '' for each document.
 
-    ``pos`` is the word's place from 0, ``near`` the lower-cased words up to ``reach`` to either
-    side, for terms marked ``around``, and ``lead`` the word's place among them. The row of term '' has the number of words as
-    its place. The index is written once.
+    ``pos`` is the word's place from 0; the row of term '' has the number of words as its place.
+    The index is written once, and no posting carries its text.
     """
     # The row of a document is a word of its own that stands behind the others.
-    tokens = _docs(docs, key, text).select("k", "h", "w", F.posexplode(F.array_append("w", F.lit(""))).alias("pos", "t"))
-    lookup = vocabulary.select("term", "around").union(docs.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(False)))
-    found = tokens.join(lookup.withColumn("coarse", F.lower("term")), F.lower("t") == F.col("coarse")).where(ascii_lower(F.col("t")) == F.col("term"))
-    lead = F.least("pos", F.lit(reach))
-    near = F.when(~F.col("around"), F.array().cast("array<string>")).otherwise(
-        F.transform(F.slice("w", F.col("pos") - lead + 1, lead + reach + 1), ascii_lower)
-    )
-    return cut_lineage(found.select("k", "h", "pos", "term", lead.alias("lead"), near.alias("near")))
+    tokens = _docs(docs, key, text).select("k", "h", F.posexplode(F.array_append("w", F.lit(""))).alias("pos", "t"))
+    lookup = vocabulary.select("term").union(docs.sparkSession.range(1).select(F.lit("").alias("term")))
+    found = tokens.join(_looked_up(lookup.withColumn("coarse", F.lower("term"))), F.lower("t") == F.col("coarse")).where(ascii_lower(F.col("t")) == F.col("term"))
+    return cut_lineage(found.select("k", "h", "pos", "term"))
 
 
 def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -63,11 +66,11 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, key:
 
     Window ``at`` of an item stands at word ``base + at`` of the document. For each window its two
     rarest terms are looked up; their posting lists, each moved back by the term's place in the
-    item, are intersected, and only where both agree are the words around compared exactly.
+    item, are intersected, and only where both agree are the words of the document compared exactly.
     """
     windows = cut_lineage(item_windows(items, window))
     vocabulary = cut_lineage(windows.select(F.explode("item").alias("term")).distinct())
-    counts = cut_lineage(term_counts(docs, vocabulary, text))
+    counts = cut_lineage(term_counts(docs, _looked_up(vocabulary), text))
     # Windows with a term that no document has drop out here: not all their places have a count.
     spots = windows.select("item_id", "at", "len", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("len") - 1)).alias("place"), "item")
     spots = spots.withColumn("term", F.element_at("item", F.col("place") + 1)).drop("item").join(counts, "term")
@@ -76,28 +79,32 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, key:
     ranked = spots.withColumn("rank", rank).withColumn("alive", alive).where("alive = len and rank <= 2")
     probes = cut_lineage(ranked.select("item_id", "at", "len", "place", "term", "rank"))
 
-    index = positional_index(docs, probes.groupBy("term").agg((F.min("rank") == 1).alias("around")), window - 1, key, text)
+    index = positional_index(docs, probes.select("term").distinct(), key, text)
     n_words = index.where("term = ''").select("k", "h", F.col("pos").cast("bigint").alias("n_words"))
     places = probes.select("item_id", "place", "term").distinct()
-    moved = index.join(places, "term").select("k", "h", "item_id", (F.col("pos") - F.col("place")).alias("base"), "place", "lead", "near")
-    lists = F.collect_list(F.when(F.size("near") > 0, F.struct("place", "lead", "near"))).alias("lists")
-    aligned = moved.groupBy("k", "h", "item_id", "base").agg(F.collect_set("place").alias("places"), lists)
+    moved = index.join(places, "term").select("k", "h", "item_id", (F.col("pos") - F.col("place")).alias("base"), "place")
+    aligned = moved.groupBy("k", "h", "item_id", "base").agg(F.collect_set("place").alias("places"))
     both = probes.groupBy("item_id", "at", "len").agg(F.max(F.when(F.col("rank") == 1, F.col("place"))).alias("p1"), F.max(F.when(F.col("rank") == 2, F.col("place"))).alias("p2"))
-    plans = both.join(windows.select("item_id", "at", F.slice("item", F.col("at") + 1, F.col("len")).alias("phrase")), ["item_id", "at"])
-    plans = cut_lineage(plans.groupBy("item_id").agg(F.collect_list(F.struct("at", "len", "p1", "p2", "phrase")).alias("plans")))
-
-    def stands(p: Column) -> Column:
-        """The rarest term's neighbourhood holds the phrase in its place."""
-        one = F.element_at(F.filter("lists", lambda x: x.place == p.p1), 1)
-        start = one.lead - (p.p1 - p.at)
-        return F.when(start >= 0, F.slice(one.near, start + 1, p.len) == p.phrase).otherwise(F.lit(False))
+    plans = cut_lineage(both.groupBy("item_id").agg(F.collect_list(F.struct("at", "len", "p1", "p2")).alias("plans")))
 
     def agree(p: Column) -> Column:
-        return F.array_contains("places", p.p1) & (p.p2.isNull() | F.array_contains("places", p.p2))
-
-    hits = aligned.join(plans, "item_id").select("k", "h", "item_id", "base", F.filter("plans", lambda p: agree(p)).alias("plans"), "lists").where(F.size("plans") > 0)
-    hits = hits.select("k", "h", "item_id", "base", F.explode(F.transform(F.filter("plans", stands), lambda p: F.struct(p.at.alias("at"), p.len.alias("len")))).alias("o"))
-    return n_words, cut_lineage(hits.select("k", "h", "item_id", "base", "o.at", "o.len"))
+        return (F.col("base") + p.at >= 0) & F.array_contains("places", p.p1) & (p.p2.isNull() | F.array_contains("places", p.p2))
+
+    met = aligned.join(plans, "item_id").select("k", "h", "item_id", "base", F.explode(F.filter("plans", agree)).alias("o"))
+    met = cut_lineage(met.select("k", "h", "item_id", "base", "o.at", "o.len", (F.col("base") + F.col("o.at")).alias("start")))
+    # A text is split once, whatever the number of places to be compared in it.
+    at = met.groupBy("k", "h").agg(F.collect_set(F.struct("start", "len")).alias("spans")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "spans")
+    rows = docs.select(F.col(key).alias("k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"), F.col(text).alias("t"))
+    rows = rows.join(at, (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
+    cut = F.transform(
+        F.array(F.struct(terms(F.col("t")).alias("w"), F.col("spans").alias("s"))),
+        lambda d: F.transform(d.s, lambda x: F.struct(x.start.alias("start"), x.len.alias("len"), F.slice(d.w, x.start + 1, x.len).alias("words"))),
+    )
+    stands = rows.select("k", "h", F.explode(F.flatten(cut)).alias("x")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), F.col("x.start").alias("_start"), F.col("x.len").alias("_len"), "x.words").distinct()
+    same = (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")) & (F.col("start") == F.col("_start")) & (F.col("len") == F.col("_len"))
+    phrases = windows.select("item_id", "at", F.slice("item", F.col("at") + 1, F.col("len")).alias("phrase"))
+    hits = met.join(stands, same).join(phrases, ["item_id", "at"]).where("words = phrase")
+    return n_words, cut_lineage(hits.select("k", "h", "item_id", "base", "at", "len"))
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, slack: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -107,7 +114,7 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slack: int, key: str =
     spots = w.select("item_id", F.posexplode("item").alias("place", "term")).join(term_counts(docs, vocabulary, text), "term")
     spots = spots.withColumn("rank", F.row_number().over(W.partitionBy("item_id").orderBy("n", "place"))).where("rank <= 2")
     pair = spots.groupBy("item_id").agg(F.min(F.struct("place", "term")).alias("a"), F.max(F.struct("place", "term")).alias("b")).where("a.place < b.place")
-    index = positional_index(docs, spots.select("term", F.lit(False).alias("around")).distinct(), 0, key, text).select("k", "h", "pos", "term")
+    index = positional_index(docs, spots.select("term").distinct(), key, text)
     one = pair.join(index, F.col("a.term") == F.col("term")).select("k", "h", "item_id", "a", "b", F.col("pos").alias("first"))
     two = index.select(F.col("k").alias("k2"), F.col("h").alias("h2"), F.col("pos").alias("last"), F.col("term").alias("t2"))
     close = F.abs(F.col("last") - F.col("first") - (F.col("b.place") - F.col("a.place"))) <= slack
