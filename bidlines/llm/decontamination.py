@@ -95,7 +95,8 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, key:
     # A text is split once, whatever the number of places to be compared in it.
     at = met.groupBy("k", "h").agg(F.collect_set(F.struct("start", "len")).alias("spans")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "spans")
     rows = docs.select(F.col(key).alias("k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"), F.col(text).alias("t"))
-    rows = rows.join(at, (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
+    # The same plan at every size: texts move once, to the places asked for in them.
+    rows = rows.hint("merge").join(at, (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
     cut = F.transform(
         F.array(F.struct(terms(F.col("t")).alias("w"), F.col("spans").alias("s"))),
         lambda d: F.transform(d.s, lambda x: F.struct(x.start.alias("start"), x.len.alias("len"), F.slice(d.w, x.start + 1, x.len).alias("words"))),
