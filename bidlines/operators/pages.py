@@ -133,7 +133,7 @@ def paged_group_mapping(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
     later = pages.join(heads, list(keys)).where(F.col("page_no") >= F.col("first_page"))
     body = F.when(
         F.col("page_no") == F.col("first_page"), F.regexp_extract(ended, rf"{P.GROUP_HEADING}((?s:.*))", 1)
-    ).otherwise(F.col("text"))
+    ).otherwise(F.concat(F.lit("\n"), F.col("text")))  # the line break that joins it to the page before
     ends = later.where(body.rlike(P.GROUP_SECTION_END)).groupBy(*keys).agg(F.min("page_no").alias("last_page"))
     sections = (
         later.join(ends, list(keys), "left")

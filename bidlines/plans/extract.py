@@ -26,7 +26,7 @@ from ..operators.quality import reject_reasons, valid_notice
 from ..schemas import ITEM_FIELDS, NOTICE_FIELDS
 from ..sources.files import read_file_index
 from ..sources.notices import explode_attachments, notice_header, read_notices
-from ..sources.results import read_checkpoint, read_table, write_failures, write_results
+from ..sources.results import RUN, read_checkpoint, read_table, write_failures, write_results
 from ..sources.shared import cut_lineage
 
 ITEMS, NOTICES, FAILURES, REJECTS = "itens", "licitacoes", "falhas", "rejeitados"
@@ -100,11 +100,14 @@ def extract(
     )
 
 
-def write_extraction(result: Extraction, out: str, run: str, reset: bool = False) -> None:
-    """Write the four tables of a run. The notice table comes last: it is what marks notices as done."""
+def write_extraction(result: Extraction, out: str, run: str, reset: bool = False, anew: bool = False) -> None:
+    """Write the four tables of a run. The notice table comes last: it is what marks notices as done.
+
+    ``reset`` drops earlier results; earlier failures and refusals go only with ``anew``.
+    """
     write_results(result.items, f"{out}/{ITEMS}", run, reset)
-    write_failures(result.failures, f"{out}/{FAILURES}", run, reset)
-    write_results(result.rejects, f"{out}/{REJECTS}", run, reset)
+    write_failures(result.failures, f"{out}/{FAILURES}", run, anew)
+    write_results(result.rejects, f"{out}/{REJECTS}", run, anew)
     write_results(result.notices, f"{out}/{NOTICES}", run, reset)
 
 
@@ -132,14 +135,15 @@ def run_batch(
     """Process the notices that have no result yet; refused ones are tried again on every run.
 
     The folders under ``files_root`` are listed unless a file index is given as ``files``.
-    ``resume=False`` drops earlier results and failures. So does an earlier result table with
-    an invalid row in it, as its notices are then all processed again.
+    ``resume=False`` drops earlier results, failures and refusals. An earlier result table with an
+    invalid row in it drops the results only, as its notices are then all processed again. A run
+    name used before does that run's notices again together with new ones.
     """
-    done = read_checkpoint(spark, f"{out}/{NOTICES}")
+    done = read_checkpoint(spark, f"{out}/{NOTICES}", run_column=True)
     reset = not resume or done.isEmpty()
     notices = read_notices(spark, notices_path, bundled)
     if not reset:
-        notices = pending(notices, done)
+        notices = pending(notices, done.where(F.col(RUN) != run))
     index = files if files is not None else partial(read_file_index, spark, files_root)
     result = extract(notices, index, pages, answers, files_root, keep=cut_lineage)
-    write_extraction(result, out, run, reset)
+    write_extraction(result, out, run, reset, anew=not resume)

@@ -1,15 +1,9 @@
 """Column types of the tables that go in and out."""
 
-# One notice file. The header fields that are read stay VARIANT so that an absent
-# field, a JSON null and a value of another type can be told apart.
+# The fields of a notice file that are read; others may hold anything. The header fields stay
+# VARIANT so that an absent field, a JSON null and a value of another type can be told apart.
 NOTICE_SCHEMA = """
-type string, source string, channel string,
-data struct<
-  hash_id string, boletim_id bigint, id_origem bigint, numero_pregao variant, objeto string,
-  numero_processo string, valor_estimado double, data_abertura string, data_fechamento_boletim string,
-  modalidade string, orgao variant, orgao_endereco string, orgao_codigo string, orgao_sites array<string>,
-  itens array<string>, cidade variant, estado variant, numero_habitantes bigint,
-  anexos variant, hash_content string>
+data struct<numero_pregao variant, orgao variant, itens array<string>, cidade variant, estado variant, anexos variant>
 """
 
 # Only the parts of an attachment reference that are used or passed through.

@@ -11,6 +11,7 @@ from ..schemas import ATTACHMENT_REF, NOTICE_SCHEMA
 _CORRUPT = "_corrupt"
 REASON_BAD_JSON = "arquivo: JSON inválido"
 REASON_NULL_REFS = "anexos: nulo"
+REASON_BAD_REFS = "anexos: inválido"
 REASON_NULL_NAME = "anexos.nome: nulo"
 
 
@@ -21,7 +22,7 @@ def notice_schema(bundled: bool = False) -> str:
 
 def _named(df: DataFrame, bundled: bool) -> DataFrame:
     name = F.col("arquivo_json") if bundled else F.col("_metadata.file_name")
-    return df.select(name.alias("arquivo_json"), "type", "source", "channel", "data", _CORRUPT)
+    return df.select(name.alias("arquivo_json"), "data", _CORRUPT)
 
 
 def _reader_options(bundled: bool) -> dict[str, str]:
@@ -65,6 +66,15 @@ def _refs() -> Column:
     return F.try_variant_get(F.col("data.anexos"), "$", ATTACHMENT_REF)
 
 
+def _malformed_refs() -> Column:
+    """References that are no list of objects; an empty text or object counts as an empty list."""
+    refs = F.col("data.anexos")
+    each = F.try_variant_get(refs, "$", "array<variant>")
+    odd = F.exists(each, lambda a: a.isNull() | F.try_variant_get(a, "$", "map<string,variant>").isNull())
+    none = F.to_json(refs).isin("{}", '""')
+    return F.when(refs.isNull() | F.is_variant_null(refs) | none, F.lit(False)).otherwise(F.coalesce(odd, F.lit(True)))
+
+
 def unreadable_reasons() -> Column:
     """Why a notice cannot be processed at all; empty for a readable one."""
     null_refs = F.coalesce(F.is_variant_null("data.anexos"), F.lit(False))
@@ -73,6 +83,7 @@ def unreadable_reasons() -> Column:
         F.array(
             F.when(F.col(_CORRUPT).isNotNull(), F.lit(REASON_BAD_JSON)),
             F.when(null_refs, F.lit(REASON_NULL_REFS)),
+            F.when(_malformed_refs(), F.lit(REASON_BAD_REFS)),
             F.when(null_name, F.lit(REASON_NULL_NAME)),
         )
     )

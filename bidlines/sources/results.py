@@ -68,12 +68,14 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet"
         raise
 
 
-def read_checkpoint(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_checkpoint(spark: SparkSession, path: str, fmt: str = "parquet", run_column: bool = False) -> DataFrame:
     """Previous results, or no rows at all if there are none or if any row is invalid.
 
     Looking for one invalid row stops at the first; only that answer comes to the driver.
+    ``run_column`` adds the run that wrote each row.
     """
-    previous = read_table(spark, path, PROCESSED_NOTICE, fmt)
+    schema = f"{PROCESSED_NOTICE}, {RUN} string" if run_column else PROCESSED_NOTICE
+    previous = read_table(spark, path, schema, fmt)
     if previous is None or not previous.where(~valid_notice()).isEmpty():
-        return spark.createDataFrame([], PROCESSED_NOTICE)
+        return spark.createDataFrame([], schema)
     return previous

@@ -154,6 +154,44 @@ def test_batch_run(spark, rows, folder, pages, answers, tmp_path):
     assert {r["execucao"] for r in spark.read.parquet(f"{out}/licitacoes").select("execucao").distinct().collect()} == {"r4"}
 
 
+def test_used_run_name_keeps_its_notices(spark, folder, pages, answers, tmp_path):
+    out = str(tmp_path / "out")
+    later = {name: (folder / name).read_text(encoding="utf-8") for name in ("c.json", "h.json")}
+    kept = tmp_path / "first"
+    kept.mkdir()
+    (kept / "a.json").write_text((folder / "a.json").read_text(encoding="utf-8"), encoding="utf-8")
+    run_batch(spark, str(kept), str(folder), pages, answers, out, "r1")
+    for name, text in later.items():
+        (kept / name).write_text(text, encoding="utf-8")
+    run_batch(spark, str(kept), str(folder), pages, answers, out, "r1")
+    done = spark.read.parquet(f"{out}/licitacoes")
+    assert sorted(r["arquivo_json"] for r in done.collect()) == ["a.json", "c.json"]
+
+
+def test_void_checkpoint_keeps_failures_and_refusals(spark, folder, pages, answers, tmp_path):
+    out = str(tmp_path / "out")
+    run_batch(spark, str(folder), str(folder), pages, answers, out, "r1")
+    before = {t: spark.read.parquet(f"{out}/{t}").count() for t in ("falhas", "rejeitados")}
+    bad = spark.createDataFrame([(None, "1", "o", "c", "PR", [], [])], PROCESSED_NOTICE)
+    write_results(bad, f"{out}/licitacoes", "bad")
+    run_batch(spark, str(folder), str(folder), pages, answers, out, "r2")
+    assert min(before.values()) > 0
+    for t, n in before.items():
+        assert spark.read.parquet(f"{out}/{t}").where("execucao = 'r1'").count() == n
+    assert spark.read.parquet(f"{out}/licitacoes").where("execucao <> 'r2'").isEmpty()
+
+
+def test_unread_fields_may_hold_anything(spark, rows, tmp_path):
+    odd = {"numero_habitantes": "1000", "orgao_sites": "www.x", "boletim_id": "7"}
+    notices = {"a": data(**odd), "b": data(anexos={"nome": "x.pdf"}), "c": data(anexos=[None]), "d": data(anexos=["x.pdf"]), "e": data(anexos={}), "f": data(anexos=3)}
+    for name, notice in notices.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(notice), encoding="utf-8")
+    header = notice_header(read_notices(spark, str(tmp_path)))
+    assert {r["arquivo_json"][0]: r["ilegivel"] for r in header.collect()} == {
+        "a": [], "e": [], **{k: ["anexos: inválido"] for k in "bcdf"}
+    }
+
+
 def test_stream_run(spark, rows, folder, pages, answers, tmp_path):
     out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
 
@@ -194,20 +232,20 @@ def test_checkpoint_is_void_with_one_bad_row(spark, tmp_path):
 
 def test_failure_report(spark, tmp_path):
     rows = spark.createDataFrame(
-        [("test_origem.json", "anexo_corrompido.pdf", "Arquivo corrompido (0 bytes)")], "arquivo_json string, anexo string, motivo string"
+        [("pregao-77.json", "planilha.pdf", "Sem texto (3 páginas)")], "arquivo_json string, anexo string, motivo string"
     )
     write_failures(rows, str(tmp_path / "f"), "r1")
     stamped = read_table(spark, str(tmp_path / "f"), FAILURE)
     block = failure_report_lines(stamped).first()["value"].split("\n")
     assert len(block) == 5 and block[0].startswith("- **Data/Hora:** 20") and block[4] == ""
     assert block[1:4] == [
-        "- **Arquivo JSON Origem:** test_origem.json",
-        "- **Anexo Falho:** anexo_corrompido.pdf",
-        "- **Motivo:** Arquivo corrompido (0 bytes)",
+        "- **Arquivo JSON Origem:** pregao-77.json",
+        "- **Anexo Falho:** planilha.pdf",
+        "- **Motivo:** Sem texto (3 páginas)",
     ]
     write_failure_report(stamped, str(tmp_path / "report"))
     report = "".join(p.read_text() for p in (tmp_path / "report").glob("part*"))
-    assert report.endswith("(0 bytes)\n\n")
+    assert report.endswith("(3 páginas)\n\n")
 
 
 def test_shared_folder(spark):
