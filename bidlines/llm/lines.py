@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, fresh, query, table
@@ -38,9 +37,9 @@ def _keys(tokens: Column, ranks: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(tokens, key)))
 
 
-def _parity(keys: Column, shift: int) -> Column:
+def _parity(keys: Column) -> Column:
     """64 bits, each the parity of the words that fall on it; sets that differ in d words differ in d bits at most."""
-    return F.aggregate(keys, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(k, shift).bitwiseAND(63).cast("int"))))
+    return F.aggregate(keys, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(63).cast("int"))))
 
 
 def _least_overlap(n: Column, m: Column, similar: float) -> Column:
@@ -67,47 +66,46 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     n = F.size("keys")
     reach = n - F.ceil(n * similar - 1e-9).cast("int") + 1
     place = F.struct(F.col("k").isNull().alias("z"), "k", "h", "line")
-    sets = sets.select(F.xxhash64("keys").alias("s"), F.struct(place.alias("p"), _parity(F.col("keys"), 0).alias("u"), _parity(F.col("keys"), 6).alias("v")).alias("at"), n.alias("n"), F.slice("keys", 1, reach).alias("prefix"))
-    # One pass over the texts: for each line its place (position -1) and its rarest words.
-    marks = F.concat(F.array(F.lit(None).cast("bigint")), "prefix")
-    spread = cut_lineage(
-        sets.select("s", "at", "n", F.posexplode(marks).alias("pos", "key")).select("s", F.when(F.col("pos") == 0, F.col("at")).alias("at"), "n", (F.col("pos") - 1).alias("pos"), "key")
-    )
-    first = cut_lineage(spread.where("pos = -1").groupBy("s").agg(F.min("at").alias("at")).select("s", F.col("at.p").alias("at"), F.col("at.u").alias("u"), F.col("at.v").alias("v")))
-    # Equal rows fall together where they land; a key is shared if sets of two kinds have it.
-    landed = spread.where("pos >= 0").select("key", "s", "n", "pos").repartition("key").groupBy("key", "s", "n", "pos").agg(F.count("*").alias("c"))
-    several = landed.withColumn("m", F.count("*").over(W.partitionBy("key"))).where("m > 1").select("key", "s", "n", "pos")
-    shared = cut_lineage(several.join(first, "s"))
+    each = sets.select(F.xxhash64("keys").alias("s"), place.alias("at"), n.alias("n"), _parity(F.col("keys")).alias("u"), F.slice("keys", 1, reach).alias("prefix"))
+    # A set is known by a number that follows the order of the first places.
+    first = each.groupBy("s").agg(F.min(F.struct("at", "n", "u", "prefix")).alias("e")).select("e.at.*", "e.n", "e.u", "e.prefix")
+    first = cut_lineage(first.orderBy("z", "k", "h", "line").drop("z").withColumn("id", F.monotonically_increasing_id()))
+
+    def spread(of: DataFrame) -> DataFrame:
+        return of.select("id", "n", "u", F.posexplode("prefix").alias("pos", "key"))
 
     def may(a: str, b: str) -> Column:
         x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
         left = F.least(x - F.col(f"{a}.pos"), y - F.col(f"{b}.pos"))
-        differ = x + y - 2 * _least_overlap(x, y, similar)
-        apart = [F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in "uv"]
-        return (F.col(f"{b}.at") < F.col(f"{a}.at")) & (apart[0] <= differ) & (apart[1] <= differ) & (F.least(x, y) >= F.greatest(x, y) * similar - 1e-9) & (left >= _least_overlap(x, y, similar))
-
-    head = shared.groupBy("key").agg(F.min(F.struct("at", "s", "n", "pos", "u", "v")).alias("e")).select("key", "e.*")
-    pair = [F.col("a.s").alias("s"), F.col("b.s").alias("o"), F.col("a.n").alias("n"), F.col("b.n").alias("m"), F.col("a.at").alias("at"), F.col("b.at").alias("oat")]
-    one = cut_lineage(shared.alias("a").join(head.alias("b"), "key").where(may("a", "b")).select(*pair).distinct())
-    matched = cut_lineage(_verified(rows, one, similar, ranks))
-    rest = shared.join(matched, "s", "left_anti")
-    two = rest.alias("a").join(shared.alias("b"), "key").where(may("a", "b")).select(*pair).distinct()
-    two = cut_lineage(two.join(one.select("s", "o"), ["s", "o"], "left_anti"))
-    matched = matched.unionByName(_verified(rows, two, similar, ranks)).distinct()
-    kept = first.join(matched, "s", "left_anti")
-    return kept.groupBy(F.col("at.k").alias("k"), F.col("at.h").alias("h")).agg(F.collect_set("at.line").alias("kept"))
-
-
-def _verified(rows: DataFrame, pairs: DataFrame, similar: float, ranks: Column) -> DataFrame:
-    """Sets ``s`` of the candidate pairs (s, o, ...) that are as similar as asked, by their whole words."""
-    wanted = pairs.select("s", "at").union(pairs.select("o", "oat")).distinct().select("s", "at.k", "at.h", "at.line")
-    of = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("s", "line")).alias("lines")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "lines")
+        least = _least_overlap(x, y, similar)
+        apart = F.bit_count(F.col(f"{a}.u").bitwiseXOR(F.col(f"{b}.u")))
+        return (F.col(f"{b}.id") < F.col(f"{a}.id")) & (apart <= x + y - 2 * least) & (F.least(x, y) >= F.greatest(x, y) * similar - 1e-9) & (left >= least)
+
+    words = spread(first)
+    head = words.groupBy("key").agg(F.min(F.struct("id", "n", "pos", "u")).alias("e"), F.count("*").alias("c")).where("c > 1").select("key", "e.*")
+    pair = [F.col("a.id").alias("id"), F.col("b.id").alias("o"), F.col("a.n").alias("n"), F.col("b.n").alias("m")]
+    # The same plan at every size.
+    one = cut_lineage(words.alias("a").hint("merge").join(head.alias("b"), "key").where(may("a", "b")).select(*pair).distinct())
+    matched = cut_lineage(_verified(rows, first, one, similar, ranks))
+    rest = spread(first.join(matched, "id", "left_anti"))
+    two = rest.alias("a").hint("merge").join(words.alias("b"), "key").where(may("a", "b")).select(*pair).distinct()
+    two = cut_lineage(two.join(one.select("id", "o"), ["id", "o"], "left_anti"))
+    matched = matched.unionByName(_verified(rows, first, two, similar, ranks)).distinct()
+    kept = first.join(matched, "id", "left_anti")
+    return kept.groupBy("k", "h").agg(F.collect_set("line").alias("kept"))
+
+
+def _verified(rows: DataFrame, first: DataFrame, pairs: DataFrame, similar: float, ranks: Column) -> DataFrame:
+    """Sets ``id`` of the candidate pairs (id, o, n, m) that are as similar as asked, by their whole words."""
+    wanted = first.select("id", "k", "h", "line").join(pairs.select("id").union(pairs.select("o")).distinct(), "id")
+    of = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("id", "line")).alias("lines")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "lines")
+    # Rows that repeat key and text are one document here.
     texts = rows.join(of, (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
-    each = texts.select(F.split("t", "\n").alias("all"), F.explode("lines").alias("x")).select("x.s", F.element_at("all", F.col("x.line") + 1).alias("l"))
-    whole = cut_lineage(each.select("s", _keys(_tokens(F.col("l")), ranks).alias("keys")).dropDuplicates(["s"]))
-    left, right = whole.withColumnRenamed("keys", "x"), whole.select(F.col("s").alias("o"), F.col("keys").alias("y"))
-    both = pairs.select("s", "o", "n", "m").join(left, "s").join(right, "o")
-    return both.where(F.size(F.array_intersect("x", "y")) >= _least_overlap(F.col("n"), F.col("m"), similar)).select("s").distinct()
+    each = texts.select(F.split("t", "\n").alias("all"), F.explode("lines").alias("x")).select("x.id", F.element_at("all", F.col("x.line") + 1).alias("l"))
+    whole = cut_lineage(each.select("id", _keys(_tokens(F.col("l")), ranks).alias("keys")).dropDuplicates(["id"]))
+    left, right = whole.withColumnRenamed("keys", "x"), whole.select(F.col("id").alias("o"), F.col("keys").alias("y"))
+    both = pairs.join(left, "id").join(right, "o")
+    return both.where(F.size(F.array_intersect("x", "y")) >= _least_overlap(F.col("n"), F.col("m"), similar)).select("id").distinct()
 
 
 def dedup_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", text: str = "text") -> DataFrame:
