@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,29 +12,27 @@ from .common import cut_lineage, fresh, query, table
 SIMILAR = 0.8
 #: Counters of token frequency: a token's rarity is that of its counter. Their number is fixed.
 COUNTERS = 1 << 18
-_HASH_BITS = 45
+_HASH_BITS = 56
 
 
 def _tokens(line: Column) -> Column:
     return F.filter(F.split(line, " "), lambda t: t != "")
 
 
-def token_ranks(docs: DataFrame, text: str = "text") -> list[int]:
-    """Rank of each counter by the tokens it has counted in all documents, the rarest 0."""
+def token_levels(docs: DataFrame, text: str = "text") -> bytes:
+    """Rarity of each counter by the tokens it has counted in all documents: quarters of the count's binary logarithm, 127 at most."""
     tokens = docs.select(F.explode(F.split(F.col(text), "[ \n]")).alias("t")).where("t != ''")
     counted = tokens.groupBy(F.pmod(F.xxhash64("t"), F.lit(COUNTERS)).cast("int").alias("c")).count()
     n = {r["c"]: r["count"] for r in counted.collect()}  # as many rows as counters at most
-    ranks = [0] * COUNTERS
-    for i, c in enumerate(sorted(range(COUNTERS), key=lambda c: (n.get(c, 0), c))):
-        ranks[c] = i
-    return ranks
+    return bytes(min(127, int(4 * math.log2(1 + n.get(c, 0)))) for c in range(COUNTERS))
 
 
-def _keys(tokens: Column, ranks: Column) -> Column:
-    """Different tokens as numbers, the rarest first: the counter's rank above 45 bits of the token's hash."""
+def _keys(tokens: Column, levels: Column) -> Column:
+    """Different tokens as numbers, the rarest first: the counter's level above 56 bits of the token's hash."""
     def key(t: Column) -> Column:
         h = F.xxhash64(t)
-        return F.shiftleft(F.element_at(ranks, F.pmod(h, F.lit(COUNTERS)).cast("int") + 1).cast("bigint"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
+        level = F.ascii(F.substring(levels, F.pmod(h, F.lit(COUNTERS)).cast("int") + 1, 1).cast("string"))
+        return F.shiftleft(level.cast("bigint"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
     return F.sort_array(F.array_distinct(F.transform(tokens, key)))
 
@@ -59,10 +59,10 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     with the rest, so a large group of like lines does not meet in pairs. Every candidate is
     verified on the whole sets.
     """
-    ranks = F.split(F.lit(",".join(map(str, token_ranks(docs, text)))), ",").cast("array<int>")
+    levels = F.lit(token_levels(docs, text))
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
     lines = rows.select("k", "h", F.posexplode(F.split("t", "\n")).alias("line", "l"))
-    sets = lines.select("k", "h", "line", _keys(_tokens(F.col("l")), ranks).alias("keys")).where(F.size("keys") > 0)
+    sets = lines.select("k", "h", "line", _keys(_tokens(F.col("l")), levels).alias("keys")).where(F.size("keys") > 0)
     n = F.size("keys")
     reach = n - F.ceil(n * similar - 1e-9).cast("int") + 1
     place = F.struct(F.col("k").isNull().alias("z"), "k", "h", "line")
@@ -86,23 +86,23 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     pair = [F.col("a.id").alias("id"), F.col("b.id").alias("o"), F.col("a.n").alias("n"), F.col("b.n").alias("m")]
     # The same plan at every size.
     one = cut_lineage(words.alias("a").hint("merge").join(head.alias("b"), "key").where(may("a", "b")).select(*pair).distinct())
-    matched = cut_lineage(_verified(rows, first, one, similar, ranks))
+    matched = cut_lineage(_verified(rows, first, one, similar, levels))
     rest = spread(first.join(matched, "id", "left_anti"))
     two = rest.alias("a").hint("merge").join(words.alias("b"), "key").where(may("a", "b")).select(*pair).distinct()
     two = cut_lineage(two.join(one.select("id", "o"), ["id", "o"], "left_anti"))
-    matched = matched.unionByName(_verified(rows, first, two, similar, ranks)).distinct()
+    matched = matched.unionByName(_verified(rows, first, two, similar, levels)).distinct()
     kept = first.join(matched, "id", "left_anti")
     return kept.groupBy("k", "h").agg(F.collect_set("line").alias("kept"))
 
 
-def _verified(rows: DataFrame, first: DataFrame, pairs: DataFrame, similar: float, ranks: Column) -> DataFrame:
+def _verified(rows: DataFrame, first: DataFrame, pairs: DataFrame, similar: float, levels: Column) -> DataFrame:
     """Sets ``id`` of the candidate pairs (id, o, n, m) that are as similar as asked, by their whole words."""
     wanted = first.select("id", "k", "h", "line").join(pairs.select("id").union(pairs.select("o")).distinct(), "id")
     of = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("id", "line")).alias("lines")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "lines")
     # Rows that repeat key and text are one document here.
     texts = rows.join(of, (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
     each = texts.select(F.split("t", "\n").alias("all"), F.explode("lines").alias("x")).select("x.id", F.element_at("all", F.col("x.line") + 1).alias("l"))
-    whole = cut_lineage(each.select("id", _keys(_tokens(F.col("l")), ranks).alias("keys")).dropDuplicates(["id"]))
+    whole = cut_lineage(each.select("id", _keys(_tokens(F.col("l")), levels).alias("keys")).dropDuplicates(["id"]))
     left, right = whole.withColumnRenamed("keys", "x"), whole.select(F.col("id").alias("o"), F.col("keys").alias("y"))
     both = pairs.join(left, "id").join(right, "o")
     return both.where(F.size(F.array_intersect("x", "y")) >= _least_overlap(F.col("n"), F.col("m"), similar)).select("id").distinct()
