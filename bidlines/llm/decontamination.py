@@ -20,14 +20,21 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
 
 
-def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, item, at, len) for every window of every item; ``item`` is its words, ``at`` counts from 0.
+def numbered_items(items: DataFrame) -> DataFrame:
+    """(no, item_id, item) for every different id and words; ``item`` is the words, ``no`` a number of this frame.
 
-    Items of the same words but other ids are items of their own; items without words have no window.
+    Repeated rows are one item; other words under the same id, or the same words under other ids,
+    are items of their own, also where the id is null. Items without words are left out. The
+    numbers hold once the frame is written.
     """
-    w = items.select("item_id", terms(F.col("text")).alias("item")).where(F.size("item") > 0)
+    w = items.select("item_id", terms(F.col("text")).alias("item")).where(F.size("item") > 0).distinct()
+    return w.select(F.monotonically_increasing_id().alias("no"), "item_id", "item")
+
+
+def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(no, item_id, item, at, len) for every window of every numbered item; ``at`` counts from 0."""
     n = F.least(F.size("item"), F.lit(window)).alias("len")
-    return w.select("item_id", "item", n).withColumn("at", F.explode(F.sequence(F.lit(0), F.size("item") - F.col("len"))))
+    return numbered_items(items).select("no", "item_id", "item", n).withColumn("at", F.explode(F.sequence(F.lit(0), F.size("item") - F.col("len"))))
 
 
 def _docs(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -72,26 +79,26 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, key:
     vocabulary = cut_lineage(windows.select(F.explode("item").alias("term")).distinct())
     counts = cut_lineage(term_counts(docs, _looked_up(vocabulary), text))
     # Windows with a term that no document has drop out here: not all their places have a count.
-    spots = windows.select("item_id", "at", "len", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("len") - 1)).alias("place"), "item")
+    spots = windows.select("no", "at", "len", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("len") - 1)).alias("place"), "item")
     spots = spots.withColumn("term", F.element_at("item", F.col("place") + 1)).drop("item").join(counts, "term")
-    rank = F.row_number().over(W.partitionBy("item_id", "at").orderBy("n", "place"))
-    alive = F.count("*").over(W.partitionBy("item_id", "at"))
+    rank = F.row_number().over(W.partitionBy("no", "at").orderBy("n", "place"))
+    alive = F.count("*").over(W.partitionBy("no", "at"))
     ranked = spots.withColumn("rank", rank).withColumn("alive", alive).where("alive = len and rank <= 2")
-    probes = cut_lineage(ranked.select("item_id", "at", "len", "place", "term", "rank"))
+    probes = cut_lineage(ranked.select("no", "at", "len", "place", "term", "rank"))
 
     index = positional_index(docs, probes.select("term").distinct(), key, text)
     n_words = index.where("term = ''").select("k", "h", F.col("pos").cast("bigint").alias("n_words"))
-    places = probes.select("item_id", "place", "term").distinct()
-    moved = index.join(places, "term").select("k", "h", "item_id", (F.col("pos") - F.col("place")).alias("base"), "place")
-    aligned = moved.groupBy("k", "h", "item_id", "base").agg(F.collect_set("place").alias("places"))
-    both = probes.groupBy("item_id", "at", "len").agg(F.max(F.when(F.col("rank") == 1, F.col("place"))).alias("p1"), F.max(F.when(F.col("rank") == 2, F.col("place"))).alias("p2"))
-    plans = cut_lineage(both.groupBy("item_id").agg(F.collect_list(F.struct("at", "len", "p1", "p2")).alias("plans")))
+    places = probes.select("no", "place", "term").distinct()
+    moved = index.join(places, "term").select("k", "h", "no", (F.col("pos") - F.col("place")).alias("base"), "place")
+    aligned = moved.groupBy("k", "h", "no", "base").agg(F.collect_set("place").alias("places"))
+    both = probes.groupBy("no", "at", "len").agg(F.max(F.when(F.col("rank") == 1, F.col("place"))).alias("p1"), F.max(F.when(F.col("rank") == 2, F.col("place"))).alias("p2"))
+    plans = cut_lineage(both.groupBy("no").agg(F.collect_list(F.struct("at", "len", "p1", "p2")).alias("plans")))
 
     def agree(p: Column) -> Column:
         return (F.col("base") + p.at >= 0) & F.array_contains("places", p.p1) & (p.p2.isNull() | F.array_contains("places", p.p2))
 
-    met = aligned.join(plans, "item_id").select("k", "h", "item_id", "base", F.explode(F.filter("plans", agree)).alias("o"))
-    met = cut_lineage(met.select("k", "h", "item_id", "base", "o.at", "o.len", (F.col("base") + F.col("o.at")).alias("start")))
+    met = aligned.join(plans, "no").select("k", "h", "no", "base", F.explode(F.filter("plans", agree)).alias("o"))
+    met = cut_lineage(met.select("k", "h", "no", "base", "o.at", "o.len", (F.col("base") + F.col("o.at")).alias("start")))
     # A text is split once, whatever the number of places to be compared in it.
     at = met.groupBy("k", "h").agg(F.collect_set(F.struct("start", "len")).alias("spans")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "spans")
     rows = docs.select(F.col(key).alias("k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"), F.col(text).alias("t"))
@@ -103,18 +110,18 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, key:
     )
     stands = rows.select("k", "h", F.explode(F.flatten(cut)).alias("x")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), F.col("x.start").alias("_start"), F.col("x.len").alias("_len"), "x.words").distinct()
     same = (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")) & (F.col("start") == F.col("_start")) & (F.col("len") == F.col("_len"))
-    phrases = windows.select("item_id", "at", F.slice("item", F.col("at") + 1, F.col("len")).alias("phrase"))
-    hits = met.join(stands, same).join(phrases, ["item_id", "at"]).where("words = phrase")
+    phrases = windows.select("no", "item_id", "at", F.slice("item", F.col("at") + 1, F.col("len")).alias("phrase"))
+    hits = met.join(stands, same).join(phrases, ["no", "at"]).where("words = phrase")
     return n_words, cut_lineage(hits.select("k", "h", "item_id", "base", "at", "len"))
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, slack: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(k, h, item_id, first, last): stretches that hold an item's two rarest terms in order, at most ``slack`` words off their distance."""
-    w = items.select("item_id", terms(F.col("text")).alias("item")).where(F.size("item") > 1)
+    w = cut_lineage(numbered_items(items).where(F.size("item") > 1))
     vocabulary = cut_lineage(w.select(F.explode("item").alias("term")).distinct())
-    spots = w.select("item_id", F.posexplode("item").alias("place", "term")).join(term_counts(docs, vocabulary, text), "term")
-    spots = spots.withColumn("rank", F.row_number().over(W.partitionBy("item_id").orderBy("n", "place"))).where("rank <= 2")
-    pair = spots.groupBy("item_id").agg(F.min(F.struct("place", "term")).alias("a"), F.max(F.struct("place", "term")).alias("b")).where("a.place < b.place")
+    spots = w.select("no", "item_id", F.posexplode("item").alias("place", "term")).join(term_counts(docs, vocabulary, text), "term")
+    spots = spots.withColumn("rank", F.row_number().over(W.partitionBy("no").orderBy("n", "place"))).where("rank <= 2")
+    pair = spots.groupBy("no", "item_id").agg(F.min(F.struct("place", "term")).alias("a"), F.max(F.struct("place", "term")).alias("b")).where("a.place < b.place")
     index = positional_index(docs, spots.select("term").distinct(), key, text)
     one = pair.join(index, F.col("a.term") == F.col("term")).select("k", "h", "item_id", "a", "b", F.col("pos").alias("first"))
     two = index.select(F.col("k").alias("k2"), F.col("h").alias("h2"), F.col("pos").alias("last"), F.col("term").alias("t2"))
@@ -128,13 +135,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
 
     A word inside an occurrence of a window is hit; a document is contaminated if it has hit words
     and they are at least 1 in ``share``. Null texts have no words, items without words hit
-    nothing, repeated rows stay, empty tables give no hits or no rows. Text in ``items`` and
-    documents is compared with A-Z lower-cased.
+    nothing, repeated rows stay, empty tables give no hits or no rows. Repeated rows of ``items``
+    are one item, all texts of an id count, and a null id is an id like others, listed last. Text in
+    ``items`` and documents is compared with A-Z lower-cased.
     """
     n_words, found = phrase_matches(docs, items, window, key, text)
     at = F.col("base") + F.col("at")
     covered = found.select("k", "h", F.explode(F.sequence(at, at + F.col("len") - 1)).alias("p")).distinct().groupBy("k", "h").agg(F.count("*").alias("n_hit"))
-    ids = found.select("k", "h", "item_id").distinct().groupBy("k", "h").agg(F.array_sort(F.collect_list(F.col("item_id").cast("string"))).alias("item_ids"))
+    # In a struct, as lists leave nulls out.
+    listed = F.array_sort(F.transform(F.collect_list(F.struct("item_id")), lambda x: x["item_id"]))
+    ids = found.select("k", "h", F.col("item_id").cast("string").alias("item_id")).distinct().groupBy("k", "h").agg(listed.alias("item_ids"))
     hit = covered.join(ids, (covered["h"] == ids["h"]) & covered["k"].eqNullSafe(ids["k"])).select(covered["k"].alias("hk"), covered["h"].alias("hh"), "n_hit", "item_ids")
     whole = n_words
     out = whole.join(hit, (F.col("h") == F.col("hh")) & F.col("k").eqNullSafe(F.col("hk")), "left")
