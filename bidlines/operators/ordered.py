@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut_lineage
+
 SPAN = 16_384
 
 
@@ -40,3 +42,44 @@ def ordered_text(
         .agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
         .select(*keys, "part_no", F.array_join(F.col("_pieces.t"), sep).alias(out))
     )
+
+
+def same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Equality of the named columns of two frames, null being equal to null."""
+    on = F.lit(True)
+    for c in columns:
+        on = on & left[c].eqNullSafe(right[c])
+    return on
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str], row: str = "_row") -> DataFrame:
+    """The rows by range of ``order``, sorted, with ``row``: task number (from bit 33 on) and place in the task.
+
+    ``row`` orders all rows. They are written once, so that every reader sees the same numbers.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return cut_lineage(ranged.withColumn(row, F.monotonically_increasing_id()))
+
+
+def task_of(row: str = "_row") -> Column:
+    return F.shiftright(F.col(row), 33)
+
+
+def dense_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "pos") -> DataFrame:
+    """Adds ``name``: 0, 1, 2, ... along ``order`` in each group of ``keys`` (in the whole frame without keys).
+
+    Rows are dealt out by range of keys and order, each task numbers its own, and one summary row
+    per group and task shifts them by what lies in earlier tasks. So a group may be all of the
+    data and values may have gaps of any width. Equal rows get different numbers; null keys are a
+    group, and ``df`` must not have the columns ``_row``, ``_task`` and ``_shift``.
+    """
+    rows = numbered(df, [*keys, *order]).withColumn("_task", task_of())
+    at = [*keys, "_task"]
+    pieces = rows.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first"))
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    pieces = pieces.select(*at, shift.alias("_shift"))
+    # Without keys there is one summary row per task.
+    pieces = pieces if keys else F.broadcast(pieces)
+    placed = rows.join(pieces, same(rows, pieces, at))
+    return placed.select(*[rows[c] for c in df.columns], (F.col("_row") + F.col("_shift")).alias(name))
