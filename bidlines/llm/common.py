@@ -60,6 +60,19 @@ def rows_per_batch(spark: SparkSession, n: int):
         spark.conf.set(name, before)
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int, size: int):
+    """What is run inside gets so many rows at most in one Arrow batch, and about so many bytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        with rows_per_batch(spark, rows):
+            yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

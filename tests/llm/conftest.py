@@ -23,3 +23,16 @@ def docs_of(spark):
         return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
 
     return make
+
+
+@pytest.fixture
+def sf_small(spark, tmp_path):
+    """A folder with the smallest tables of which documents are the first n by doc_id; gives its path."""
+
+    def make(n):
+        for name in ("documents", "labels", "benchmark"):
+            df = spark.read.parquet(str(SF / f"{name}.parquet"))
+            (df.orderBy("doc_id").limit(n) if name == "documents" else df).write.mode("overwrite").parquet(str(tmp_path / f"{name}.parquet"))
+        return str(tmp_path)
+
+    return make
