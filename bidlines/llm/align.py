@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +16,9 @@ from .common import batches_of, cut_lineage, query, table
 from .tokens import _pack, _unpack, vocabulary
 
 #: Bytes of text that make up a block at most (a longer document is a block of its own).
-BLOCK = 8 << 20
-#: Units that are encoded at once, and links that are spread out at once.
-ENCODED, SPREAD = 1 << 14, 1 << 20
+BLOCK = 4 << 20
+#: Units that are encoded at once, aligned units a task keeps from block to block, and links that are spread out at once.
+ENCODED, KEPT, SPREAD = 1 << 13, 1 << 17, 1 << 20
 #: A single blank between other characters. No pre-token of A and no piece of B goes on over it, so
 #: both end a token there, and the units between such blanks can be encoded one by one.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -113,22 +114,66 @@ class _Tokenizers:
 
     def encode(self, units: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         """[A ids, B ids, tokens of each unit by A and by B] of units that begin with a blank, and which units' bytes come back."""
-        ids: tuple[list, list] = ([], [])
-        counts: tuple[list, list] = ([], [])
         good = np.ones(len(units), bool)
-        for k in range(0, len(units), ENCODED):
-            part = units[k : k + ENCODED]
-            both = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)], self.b.encode([u[1:] for u in part], num_threads=1)
-            for n, (unit, a, b) in enumerate(zip(part, *both)):
-                raw = unit.encode()
-                if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-                    good[k + n] = False
-                    both[0][n], both[1][n] = [], []
-            for side in (0, 1):
-                counts[side].append(np.fromiter(map(len, both[side]), np.int64, len(part)))
-                ids[side].append(np.fromiter((x for t in both[side] for x in t), np.int64, int(counts[side][-1].sum())))
-        joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (*ids, *counts)]
-        return joined, good
+        both = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)], self.b.encode([u[1:] for u in units], num_threads=1)
+        for n, (unit, a, b) in enumerate(zip(units, *both)):
+            raw = unit.encode()
+            if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+                good[n] = False
+                both[0][n], both[1][n] = [], []
+        counts = [np.fromiter(map(len, ids), np.int64, len(ids)) for ids in both]
+        return [np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in zip(both, counts)] + counts, good
+
+
+class _Codes(dict):
+    """A number for each unit, in order of first use."""
+
+    def __missing__(self, unit):
+        self[unit] = n = len(self)
+        return n
+
+
+class _Units:
+    """The alignment of all units met so far."""
+
+    def __init__(self, tokenizers: _Tokenizers):
+        self.tokenizers = tokenizers
+        self.codes = _Codes()
+        self.said: list[str] = []
+        self.good = np.zeros(0, bool)
+        self.figures = {name: np.zeros(0, np.int64) for name in _DOC}
+        self.sizes = self.pairs = self.links = np.zeros(0, np.int64)
+        self.first = np.zeros(1, np.int64)
+
+    def look_up(self, text: str) -> np.ndarray:
+        units = CUT.split(text)
+        return np.fromiter(map(self.codes.__getitem__, units), np.int64, len(units))
+
+    def align(self) -> None:
+        """Align the units that were met since the last time."""
+        new = list(islice(self.codes, len(self.said), None))
+        made = [self._aligned([f" {u}" for u in new[k : k + ENCODED]]) for k in range(0, len(new), ENCODED)]
+        if made:
+            good, figures, sizes, pairs, links = zip(*made)
+            self.good = np.concatenate([self.good, *good])
+            self.figures = {name: np.concatenate([self.figures[name], *(f[name] for f in figures)]) for name in _DOC}
+            self.sizes, self.pairs, self.links = (np.concatenate([old, *more]) for old, more in ((self.sizes, sizes), (self.pairs, pairs), (self.links, links)))
+            self.first = np.r_[0, np.cumsum(self.sizes)]
+
+    def _aligned(self, units: list[str]) -> tuple:
+        (ids_a, ids_b, n_a, n_b), good = self.tokenizers.encode(units)
+        first_a, first_b = np.r_[0, np.cumsum(n_a)], np.r_[0, np.cumsum(n_b)]
+        groups = cuts(np.cumsum(self.tokenizers.size_a[ids_a]), np.cumsum(self.tokenizers.size_b[ids_b]), first_a, first_b)
+        unit_of = np.searchsorted(first_a, groups[:, 0], side="right") - 1
+        n_groups = np.bincount(unit_of, minlength=len(units))
+        n_links = _sums((groups[:, 1] - groups[:, 0]) * (groups[:, 3] - groups[:, 2]), unit_of, len(units))
+        owner, pairs, links = _group_pairs(ids_a, ids_b, groups)
+        said_a, said_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
+        said = [f"{','.join(said_a[a:b])}|{','.join(said_b[c:d])}" for a, b, c, d in groups.tolist()]
+        at = [0, *np.cumsum(n_groups).tolist()]
+        self.said += [";".join(said[a:b]) for a, b in zip(at, at[1:])]
+        sizes = np.bincount(unit_of[owner], minlength=len(units))
+        return good, dict(zip(_DOC, (n_a, n_b, n_groups, n_links))), sizes, pairs, links
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -143,81 +188,58 @@ def _sums(values: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def _align_block(tokenizers: _Tokenizers, texts: list[str | None]) -> dict[str, object]:
+def _align_block(units: _Units, texts: list[str | None]) -> dict[str, object]:
     """Alignment of some documents: their figures, and how often each has each pair of ids."""
-    code: dict[str, int] = {}
-    docs = []
-    for text in texts:
-        if not text:
-            docs.append(np.zeros(0, np.int64))
-            continue
-        units = CUT.split(text)
-        docs.append(np.fromiter((code.setdefault(u, len(code)) for u in units), np.int64, len(units)))
-    # Every unit gets back the blank before it, the first one of a text the blank that goes before the text.
-    units = [f" {u}" for u in code]
-    (ids_a, ids_b, n_a, n_b), good = tokenizers.encode(units)
-    first_a, first_b = np.r_[0, np.cumsum(n_a)], np.r_[0, np.cumsum(n_b)]
-    ends_a, ends_b = np.cumsum(tokenizers.size_a[ids_a]), np.cumsum(tokenizers.size_b[ids_b])
-    groups = cuts(ends_a, ends_b, first_a, first_b)
-    unit_of = np.searchsorted(first_a, groups[:, 0], side="right") - 1
-    n_groups = np.bincount(unit_of, minlength=len(units))
-    n_links = _sums((groups[:, 1] - groups[:, 0]) * (groups[:, 3] - groups[:, 2]), unit_of, len(units))
-    owner, pair, links = _group_pairs(ids_a, ids_b, groups)
-    pair_first = np.r_[0, np.cumsum(np.bincount(unit_of[owner], minlength=len(units)))] if len(owner) else np.zeros(len(units) + 1, np.int64)
-    keys, pair = np.unique(pair, return_inverse=True)
-
-    said_a, said_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-    said = [f"{','.join(said_a[a:b])}|{','.join(said_b[c:d])}" for a, b, c, d in groups.tolist()]
-    first_group = np.r_[0, np.cumsum(n_groups)].tolist()
-    said = [";".join(said[first_group[k] : first_group[k + 1]]) for k in range(len(units))]
-
+    docs = [units.look_up(t) if t else np.zeros(0, np.int64) for t in texts]
+    units.align()
     figures = {name: np.zeros(len(docs), np.int64) for name in _DOC}
-    digests, counts, found_pairs, found_links = [], [], [], []
-    holders = np.zeros(len(keys), np.int64)
+    digests = [""] * len(docs)
+    counts = np.zeros(len(docs), np.int64)
+    pairs, links = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k, codes in enumerate(docs):
-        if not len(codes) or not good[codes].all():
-            digests.append("")
-            counts.append(0)
+        if not len(codes) or not units.good[codes].all():
             continue
-        for name, of in zip(_DOC, (n_a, n_b, n_groups, n_links)):
-            figures[name][k] = of[codes].sum()
+        for name in _DOC:
+            figures[name][k] = units.figures[name][codes].sum()
         digest = hashlib.sha256()
         for at in range(0, len(codes), SPREAD):
             digest.update((";" if at else "").encode())
-            digest.update(";".join(map(said.__getitem__, codes[at : at + SPREAD].tolist())).encode())
-        digests.append(digest.hexdigest())
+            digest.update(";".join(map(units.said.__getitem__, codes[at : at + SPREAD].tolist())).encode())
+        digests[k] = digest.hexdigest()
         own, times = np.unique(codes, return_counts=True)
-        sizes = pair_first[own + 1] - pair_first[own]
-        at = _ranges(pair_first[own], sizes)
-        held, back = np.unique(pair[at], return_inverse=True)
+        sizes = units.sizes[own]
+        at = _ranges(units.first[own], sizes)
+        held, back = np.unique(units.pairs[at], return_inverse=True)
         total = np.zeros(len(held), np.int64)
-        np.add.at(total, back, links[at] * np.repeat(times, sizes))
-        holders[held] += 1
-        counts.append(len(held))
-        found_pairs.append(np.diff(held, prepend=0))
-        found_links.append(total)
-    used = np.flatnonzero(holders)
-    none = [np.zeros(0, np.int64)]
-    step, total = np.concatenate(found_pairs or none), np.concatenate(found_links or none)
+        np.add.at(total, back, units.links[at] * np.repeat(times, sizes))
+        counts[k] = len(held)
+        pairs.append(held)
+        links.append(total)
+    keys, code = np.unique(np.concatenate(pairs), return_inverse=True)
+    total = np.concatenate(links)
+    step = np.diff(code, prepend=0)
+    begins = (np.cumsum(counts) - counts)[counts > 0]
+    step[begins] = code[begins]
     return figures | {
         "groups_sha256": digests,
-        "_packed": _pack(np.array(counts, np.int64), step, total & 0xFFFFFFFF, total >> 32),
-        "_entries": len(step),
-        "_keys": keys[used], "_holders": holders[used], "_at": used,
+        "_packed": _pack(counts, step, total & 0xFFFFFFFF, total >> 32),
+        "_entries": len(code),
+        "_keys": keys, "_holders": np.bincount(code, minlength=len(keys)), "_at": np.arange(len(keys)),
     }
 
 
 def _align_blocks(paths, text, names):
     def run(batches):
-        tokenizers = None
+        units = None
         for batch in batches:
             sizes = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64))]
             row = 0
             while row < batch.num_rows:
-                tokenizers = tokenizers or _Tokenizers(*paths)
+                if units is None or len(units.said) > KEPT:
+                    units = _Units(units.tokenizers if units else _Tokenizers(*paths))
                 end = max(row + 1, int(np.searchsorted(sizes, sizes[row] + BLOCK, side="right")) - 1)
                 part = batch.slice(row, end - row)
-                out = _align_block(tokenizers, part.column(text).to_pylist())
+                out = _align_block(units, part.column(text).to_pylist())
                 n = part.num_rows
                 each = [pa.array(out[c]) for c in _DOC] + [pa.array(out["groups_sha256"])] + [part.column(c) for c in names]
                 listed = [*each, pa.array(out["_keys"]), pa.array(out["_holders"]), pa.array(out["_at"])]
@@ -263,11 +285,11 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, text: str = "text",
     """The columns ``keep`` (all but the text, by default) with how the tokens of A and B meet in each text.
 
     A is a byte-level vocabulary of the tokenizers library, B a sentencepiece model. A task turns
-    its documents into blocks: each distinct unit of a block is encoded once by both, its tokens
-    are grouped at shared ends (see ``cuts``), and a document is the sum of its units. A block
-    keeps how often each document links each pair of ids. How many documents hold a pair is added
-    up over blocks, one row per block and pair, and joined back to the blocks, so a pair in every
-    document is one row for each block.
+    its documents into blocks. Each different unit is encoded once by both, its tokens are grouped
+    at shared ends (see ``cuts``), and a document is the sum of its units; a task keeps a bounded
+    number of aligned units from block to block. A block keeps how often each document links each
+    pair of ids. How many documents hold a pair is added up over blocks, one row per block and
+    pair, and joined back to the blocks, so a pair in every document is one row for each block.
 
     Null and empty texts, and texts whose tokens do not give back their bytes, have no tokens:
     all figures are 0 and the digest is ''. Repeated rows are documents of their own. An empty
