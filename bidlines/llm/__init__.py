@@ -2,7 +2,7 @@
 
 from pyspark import cloudpickle
 
-from . import align, audit, chat, common, decontamination, embeddings, licences, lines, mixing, secrets, simhash, tokens, toxicity, xxh64
+from . import align, audit, chat, common, decontamination, embeddings, licences, lines, merkle, mixing, secrets, simhash, tokens, toxicity, xxh64
 from .common import CHECKS, QUERIES
 
 # Tasks get these functions by value, so executors need no copy of the package.
