@@ -92,13 +92,22 @@ def _unpack(packed: bytes, *sizes: int) -> list[np.ndarray]:
     return out
 
 
+def load(path: str):
+    """The tokenizer of a file, working in the thread that calls it: a task has one core."""
+    import os
+
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # a special string inside a text is plain text
+    return tokenizer
+
+
 def _count_pieces(path):
     def run(batches):
         """Uses of pre-tokens, sorted, to their numbers of pieces; each pre-token is encoded where its run begins."""
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # a pre-token is never a special token
+        tokenizer = load(path)  # a pre-token is never a special token
         last, count = None, 0
         for batch in batches:
             if not batch.num_rows:
