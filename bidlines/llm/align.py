@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches_of, cut_lineage, query, table
-from .tokens import _pack, _unpack, vocabulary
+from .tokens import _pack, _unpack, load, vocabulary
 
 #: Bytes of text that make up a block at most (a longer document is a block of its own).
 BLOCK = 4 << 20
 #: Units that are encoded at once, aligned units a task keeps from block to block, and links that are spread out at once.
-ENCODED, KEPT, SPREAD = 1 << 13, 1 << 17, 1 << 20
+ENCODED, KEPT, SPREAD = 1 << 13, 1 << 16, 1 << 20
 #: A single blank between other characters. No pre-token of A and no piece of B goes on over it, so
 #: both end a token there, and the units between such blanks can be encoded one by one.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -96,10 +96,8 @@ class _Tokenizers:
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        self.a = load(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = byte_level()
         size = self.a.get_vocab_size()
