@@ -152,15 +152,15 @@ def group_composition(t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT source, CAST(doc_id // 16384 AS BIGINT) AS part_no, md5(string_agg(text, chr(10) ORDER BY doc_id)) AS hash,
-           CAST(sum(length(text)) + count(*) - 1 AS BIGINT) AS chars
-    FROM documents GROUP BY source, doc_id // 16384
+    WITH joined AS (SELECT source, string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) AS t FROM documents GROUP BY source)
+    , parts AS (SELECT source, k, substr(t, k * 50000 + 1, 50000) AS part FROM joined, unnest(range(greatest(1, (length(t) + 49999) // 50000))) AS u(k))
+    SELECT source, CAST(k AS BIGINT) AS part_no, md5(part) AS hash, CAST(length(part) AS BIGINT) AS chars FROM parts
     """
 )
 def joined_pages(t: Tables) -> DataFrame:
-    """IT3: the documents of a source as the pages of one text."""
+    """IT3: the documents of a source as the pages of one text, in parts of 50,000 characters."""
     pages = t.documents.select("source", F.col("doc_id").alias("page_no"), "text")
-    return join_pages(pages, ["source"]).select(
+    return join_pages(pages, ["source"], part_chars=50_000).select(
         "source", "part_no", F.md5("text").alias("hash"), big(F.length("text")).alias("chars")
     )
 

@@ -24,14 +24,9 @@ class Tables:
         return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
 
     def spread(self, name: str, *columns: str) -> DataFrame:
-        """Columns of a table for work that is heavy per row.
-
-        A table of fewer splits than cores is dealt out to all cores first; one of enough
-        splits, as any large table is, stays where it is.
-        """
-        df = getattr(self, name).select(*columns)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+        """Columns of a table for work that is heavy per row, dealt out evenly whatever the files are like."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return getattr(self, name).select(*columns).repartition(n, columns[0])
 
 
 def query(sql: str | None = None):

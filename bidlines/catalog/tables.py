@@ -9,6 +9,7 @@ from ..operators import attachments as A
 from ..operators import cascade as C
 from ..operators import nesting, quality, render, scoring
 from ..operators.calls import rate_limit_streaks as streaks
+from ..plans.evaluate import evaluate
 from ..schemas import ITEM
 from ..sources.results import failure_report_lines
 from .items import CLASS_SQL, ERROR_SQL, ORDER_COLUMNS, call_error
@@ -273,9 +274,9 @@ def rejects(t: Tables) -> DataFrame:
     return quality.rejects(customer_notices(t)).select("arquivo_json", F.array_join("motivos", "; ").alias("motivos"))
 
 
-def _line_items(t: Tables) -> DataFrame:
+def _line_items(t: Tables, notice: str = "l_orderkey") -> DataFrame:
     return t.lineitem.select(
-        F.col("l_orderkey").alias("arquivo_json"),
+        F.col(notice).alias("arquivo_json"),
         F.col("l_linenumber").alias("att_pos"),
         (F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("block_pos"),
         F.lit(None).cast("string").alias("lote"),
@@ -292,31 +293,29 @@ def _items_text() -> Column:
 
 @query(
     """
-    SELECT l_orderkey AS arquivo_json,
+    SELECT l_orderkey AS arquivo_json, CAST(0 AS BIGINT) AS parte,
            string_agg(l_partkey || 'x' || CAST(l_quantity AS BIGINT), ',' ORDER BY l_linenumber, l_partkey * 1000000 + l_suppkey, CAST(l_quantity AS BIGINT)) AS itens
     FROM lineitem GROUP BY l_orderkey
     """
 )
 def nested_items(t: Tables) -> DataFrame:
     """AG3."""
-    return nesting.nest_items(_line_items(t)).select("arquivo_json", _items_text())
+    return nesting.nest_items(_line_items(t)).select("arquivo_json", "parte", _items_text())
 
 
 @query(
     """
-    WITH sized AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)
-    , cut AS (
-      SELECT *, CASE WHEN n > 5 THEN l_linenumber || ':' || (l_partkey * 1000000 + l_suppkey) // 5 END AS parte FROM sized)
-    SELECT l_orderkey AS arquivo_json, parte,
-           string_agg(l_partkey || 'x' || CAST(l_quantity AS BIGINT), ',' ORDER BY l_linenumber, l_partkey * 1000000 + l_suppkey, CAST(l_quantity AS BIGINT)) AS itens
-    FROM cut GROUP BY l_orderkey, parte
+    WITH placed AS (
+      SELECT l_suppkey, l_partkey || 'x' || CAST(l_quantity AS BIGINT) AS t,
+             row_number() OVER (PARTITION BY l_suppkey ORDER BY l_linenumber, l_partkey * 1000000 + l_suppkey, l_partkey, CAST(l_quantity AS BIGINT)) - 1 AS pos
+      FROM lineitem)
+    SELECT l_suppkey AS arquivo_json, CAST(pos // 50 AS BIGINT) AS parte, string_agg(t, ',' ORDER BY pos) AS itens FROM placed GROUP BY l_suppkey, pos // 50
     """
 )
 def nested_items_in_parts(t: Tables) -> DataFrame:
-    """AG3 where notices of more than five items come in parts."""
-    parts = nesting.nest_items(_line_items(t), limit=5)
-    parte = text(F.col("parte.externa"), ":", F.col("parte.interna"))
-    return parts.select("arquivo_json", parte.alias("parte"), _items_text())
+    """AG3 where notices of hundreds of items, one per supplier, come in parts of fifty."""
+    items = _line_items(t, "l_suppkey")
+    return nesting.nest_items(items, part_rows=50).select("arquivo_json", "parte", _items_text())
 
 
 # --- scoring ---------------------------------------------------------------------------------
@@ -394,6 +393,47 @@ def accuracy_summary(t: Tables) -> DataFrame:
     return scoring.accuracy_summary(_compared(t)).withColumn("pct", F.round("pct", 6))
 
 
+@query(
+    SCORE_SQL
+    + """
+    , flags AS (SELECT arquivo_json, """
+    + ", ".join(_OK)
+    + """ FROM scored)
+    , totals AS (SELECT count(*) AS n, """
+    + ", ".join(f"count(*) FILTER ({c}) AS {c}" for c in _OK)
+    + """ FROM flags)
+    , fields AS (SELECT replace(campo, 'ok_', '') AS campo, acertos, n FROM (UNPIVOT totals ON """
+    + ", ".join(_OK)
+    + """ INTO NAME campo VALUE acertos))
+    , notices AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 6 > 0) AS validas, sum(o_orderkey % 3 + 1) FILTER (o_orderkey % 6 > 0) AS itens,
+             sum(CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE o_orderkey % 3 + 1 END) FILTER (o_orderkey % 6 > 0) AS com_lote FROM orders)
+    SELECT campo, CAST(acertos AS BIGINT) AS acertos, CAST(n AS BIGINT) AS total FROM (
+      SELECT * FROM fields UNION ALL SELECT 'licitacoes válidas', validas, n FROM notices UNION ALL SELECT 'itens com lote', com_lote, itens FROM notices)
+    """
+)
+def evaluation(t: Tables) -> DataFrame:
+    """The scoring plan (AG1, AG2, AG5, JO4, EV1): results in parts of two items against an answer set whose last row per file wins."""
+    key = F.col("o_orderkey")
+    fields = {"numero_pregao": text("PE/", F.col("arquivo_json")), "orgao": F.lit("o"), "cidade": F.lit("c"),
+              "estado": F.when(F.col("arquivo_json") % 6 > 0, "PR").otherwise("pr"), "anexos_processados": F.array().cast("array<string>")}
+
+    def in_parts(lists: DataFrame, n: int) -> DataFrame:
+        parts = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size("itens_extraidos") - 1) / n).cast("int")),
+            lambda k: F.struct(k.cast("bigint").alias("parte"), F.slice("itens_extraidos", k * n + 1, F.lit(n)).alias("itens_extraidos")),
+        )
+        return lists.select(*[c for c in lists.columns if c != "itens_extraidos"], F.inline(parts))
+
+    pred = in_parts(_order_list(t, key % 3 + 1, False).withColumns(fields), 2)
+    last = _order_list(t, key % 2 + 2, True).withColumn("pos", F.lit(7))
+    earlier = last.withColumns({"pos": F.lit(3), "itens_extraidos": F.slice("itens_extraidos", 1, 1)})
+    result = evaluate(pred, in_parts(last.unionByName(earlier), 2))
+    counts = (("licitacoes válidas", "licitacoes_validas", "licitacoes"), ("itens com lote", "itens_com_lote", "itens"))
+    lines = [F.struct(F.lit(name).alias("campo"), F.col(hits).alias("acertos"), F.col(total).alias("total")) for name, hits, total in counts]
+    summary = result.summary.select(F.inline(F.array(*[line.cast("struct<campo:string,acertos:bigint,total:bigint>") for line in lines])))
+    return result.accuracy.select("campo", "acertos", F.col("comparados").alias("total")).unionByName(summary)
+
+
 @query(
     """
     SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value, max(event_id) AS event_id
@@ -449,6 +489,15 @@ def failure_report(t: Tables) -> DataFrame:
 # --- rendering -------------------------------------------------------------------------------
 
 
+def parts_sql(doc: str, size: int, out: str, of: str = "") -> str:
+    """The texts ``t`` of ``joined (doc, t)`` in parts of ``size`` characters."""
+    return f"""
+    SELECT {doc}, CAST(k AS BIGINT) AS part_no, {of}(substr(t, k * {size} + 1, {size})) AS {out}
+    FROM joined, unnest(range(greatest(1, (length(t) + {size - 1}) // {size}))) AS u(k)
+    """
+
+
+
 @query(
     """
     WITH rows AS (
@@ -461,9 +510,9 @@ def failure_report(t: Tables) -> DataFrame:
       SELECT *, '| ' || array_to_string(list_resize(cells, width, ''), ' | ') || ' |'
              || CASE WHEN row_no = head THEN chr(10) || '| ' || array_to_string(list_resize(['---'], width, '---'), ' | ') || ' |' ELSE '' END AS line
       FROM kept)
-    SELECT CAST(doc AS BIGINT) AS doc, CAST(row_no // 16384 AS BIGINT) AS part_no, string_agg(line, chr(10) ORDER BY row_no) AS markdown
-    FROM lines GROUP BY doc, row_no // 16384
+    , joined AS (SELECT doc, string_agg(line, chr(10) ORDER BY row_no) AS t FROM lines GROUP BY doc)
     """
+    + parts_sql("CAST(doc AS BIGINT) AS doc", 2000, "markdown")
 )
 def markdown_tables(t: Tables) -> DataFrame:
     """MD1, SF6: the customers of a nation as one table; rows are ragged, some all blank."""
@@ -476,7 +525,7 @@ def markdown_tables(t: Tables) -> DataFrame:
     df = t.customer.select(
         F.col("c_nationkey").cast("bigint").alias("doc"), key.alias("row_no"), F.posexplode(cells).alias("col_no", "text")
     )
-    return render.table_to_markdown(df, ["doc"])
+    return render.table_to_markdown(df, ["doc"], part_chars=2000)
 
 
 @query(
@@ -489,9 +538,9 @@ def markdown_tables(t: Tables) -> DataFrame:
         ELSE '### Página ' || page_no || CASE WHEN quality = 1 THEN chr(10) || chr(10) || '| 1 |' || chr(10) || chr(10) || '| q |' ELSE '' END
              || CASE WHEN txt <> '' THEN chr(10) || chr(10) || '**Contexto da Página ' || page_no || ':**' || chr(10) || txt ELSE '' END END AS section
       FROM pages)
-    SELECT doc, CAST(page_no // 16384 AS BIGINT) AS part_no, md5(string_agg(section, chr(10) || chr(10) ORDER BY page_no)) AS hash
-    FROM sections WHERE section IS NOT NULL GROUP BY doc, page_no // 16384
+    , joined AS (SELECT doc, string_agg(section, chr(10) || chr(10) ORDER BY page_no) AS t FROM sections WHERE section IS NOT NULL GROUP BY doc)
     """
+    + parts_sql("doc", 50000, "hash", "md5")
 )
 def page_markdown(t: Tables) -> DataFrame:
     """MD2: the documents of a source as pages; labelled ones hold tables."""
@@ -501,21 +550,22 @@ def page_markdown(t: Tables) -> DataFrame:
         F.col("source").alias("doc"), F.col("doc_id").alias("page_no"), F.posexplode(drawn).alias("n", "markdown")
     )
     tables = tables.withColumn("table_no", -F.col("n"))
-    return render.assemble_pages(pages, tables).select("doc", "part_no", F.md5("markdown").alias("hash"))
+    return render.assemble_pages(pages, tables, part_chars=50_000).select("doc", "part_no", F.md5("markdown").alias("hash"))
 
 
 @query(
     """
-    SELECT conv_id AS doc, CAST(turn // 16384 AS BIGINT) AS part_no,
-           string_agg(trim(text, E' \\t\\n\\r'), chr(10) || chr(10) ORDER BY turn) AS markdown
-    FROM conversations WHERE regexp_matches(text, '\\S') AND role <> 'system' GROUP BY conv_id, turn // 16384
+    WITH joined AS (
+      SELECT conv_id AS doc, string_agg(trim(text, E' \\t\\n\\r'), chr(10) || chr(10) ORDER BY turn) AS t
+      FROM conversations WHERE regexp_matches(text, '\\S') AND role <> 'system' GROUP BY conv_id)
     """
+    + parts_sql("doc", 300, "markdown")
 )
 def block_markdown(t: Tables) -> DataFrame:
     """MD3: turns as blocks; system turns stand for blank paragraphs."""
     body = F.when(F.col("role") == "system", F.lit(" \n")).otherwise(F.col("text"))
     blocks = t.conversations.select(F.col("conv_id").alias("doc"), F.col("turn").alias("block_no"), body.alias("text"))
-    return render.assemble_blocks(blocks)
+    return render.assemble_blocks(blocks, part_chars=300)
 
 
 def _sheets(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -550,10 +600,14 @@ def sheet_lines(t: Tables) -> DataFrame:
     return render.sheet_lines(*_sheets(t)).select("doc", big("table_no").alias("table_no"), big("row_no").alias("row_no"), "line")
 
 
-@query(SHEET_SQL + "SELECT doc, string_agg(line, chr(10) ORDER BY table_no, row_no) AS text FROM lines GROUP BY doc")
+@query(
+    SHEET_SQL
+    + ", joined AS (SELECT doc, string_agg(line, chr(10) ORDER BY table_no, row_no) AS t FROM lines GROUP BY doc)"
+    + parts_sql("doc", 500, "text")
+)
 def sheet_texts(t: Tables) -> DataFrame:
     """MD4: the parts of a brand as one spreadsheet."""
-    return render.sheets_to_text(*_sheets(t)).select("doc", "text")
+    return render.sheets_to_text(*_sheets(t), part_chars=500)
 
 
 @query(
@@ -561,8 +615,9 @@ def sheet_texts(t: Tables) -> DataFrame:
     WITH lines AS (
       SELECT conv_id AS doc, 2 * turn AS block_no, -1 AS row_no, trim(text, E' \\t\\n\\r') AS line FROM conversations WHERE regexp_matches(text, '\\S')
       UNION ALL SELECT conv_id, 2 * turn + 1, 0, '| ' || role || ' | ' || turn || ' |' FROM conversations)
-    SELECT doc, string_agg(line, chr(10) ORDER BY block_no, row_no) AS text FROM lines GROUP BY doc
+    , joined AS (SELECT doc, string_agg(line, chr(10) ORDER BY block_no, row_no) AS t FROM lines GROUP BY doc)
     """
+    + parts_sql("doc", 300, "text")
 )
 def text_doc_lines(t: Tables) -> DataFrame:
     """MD5: turns as paragraphs, each followed by a table of its role and number."""
@@ -572,4 +627,4 @@ def text_doc_lines(t: Tables) -> DataFrame:
     cells = t.conversations.select(
         doc, (F.col("turn") * 2 + 1).alias("block_no"), F.lit(0).alias("row_no"), F.posexplode(row).alias("col_no", "text")
     )
-    return render.text_docs_to_text(blocks, cells).select("doc", "text")
+    return render.text_docs_to_text(blocks, cells, part_chars=300)

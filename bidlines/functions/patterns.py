@@ -68,6 +68,7 @@ ATTACHMENT_HEADER = rf"\A(\d+){WS}*-{WS}*([^\n]+)"
 POSITIVE = r"\A0*[1-9]\d{0,18}\z"
 NOTICE_QUANTITY = rf"(?iu:Quantidade:){WS}*(\d+)"
 ATTACHMENT_QUANTITY = rf"(?iu:Quantidade)(?:{WS}*(?iu:Total))?:{WS}*(\d+)"
+QUANTITY_WORD = r"(?iu:Quantidade)"  # in every block that is an item
 SUPPLY_UNIT = rf"(?iu:Unidade de fornecimento:){WS}*([^\n]+)"
 INLINE_GROUP = rf"(?=[GgLl])(?iu:Grupo|Lote):{WS}*([Gg]?\d+)"
 GROUP_HEADING = rf"(?iu:Composição dos Grupos){WS}*\n"
@@ -76,3 +77,5 @@ GROUP_SECTION = rf"{GROUP_HEADING}((?s:.*?))(?={GROUP_SECTION_END}|\z)"
 GROUP_BLOCK = rf"G\d+{WS}*\n(?s:.*?)(?=\n{WS}*G\d+|\z)"
 GROUP_NAME = r"\A(G\d+)"
 GROUP_ITEM = rf"(?=[Iiıİ])(?iu:Item){WS}*(\d+)"
+# Lines that neither name a group nor an item, are not blank, and don't begin with a number or dash, which may go on with the line before.
+GROUP_IDLE_LINES = rf"(?:\n(?!{WS}*(?:[\d-]|\z))(?![^\n]*G\d)(?![^\n]*(?iu:Item))[^\n]*)+"

@@ -8,46 +8,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ITEM_FIELDS, NOTICE_FIELDS
+from .ordered import dense_positions
 
-GROUP_LIMIT = 100_000
+#: Items of one nested row; a notice of more has several rows.
+PART_ROWS = 10_000
 
 
-def split_oversized(
-    df: DataFrame, keys: Sequence[str], outer: str, inner: str, limit: int = GROUP_LIMIT
-) -> DataFrame:
-    """Add ``parte``: null where a group has at most ``limit`` rows, else a cut of it by order.
+def nest_items(items: DataFrame, keys: Sequence[str] = ("arquivo_json",), part_rows: int = PART_ROWS) -> DataFrame:
+    """Items of a notice as ordered arrays: ``keys``, ``parte``, ``itens_extraidos``.
 
-    ``(outer, inner)`` is the integer order of the rows, unique in a group. A cut is one ``outer``
-    value and ``limit`` positions of ``inner``, so no task gathers more than ``limit`` rows
-    whatever the size of a group. Only the keys of oversized groups are joined.
+    Items are numbered along ``att_pos, block_pos`` and part k holds the numbers from
+    ``k * part_rows`` on. Every notice has a part 0; the arrays in the order of ``parte`` are
+    the whole list.
     """
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    cut = F.struct(
-        F.col(outer).cast("bigint").alias("externa"), F.floor(F.col(inner) / F.lit(limit)).cast("bigint").alias("interna")
-    )
-    return df.join(large, list(keys), "left").withColumn("parte", F.when(F.col("_n").isNotNull(), cut)).drop("_n")
-
-
-def nest_items(items: DataFrame, keys: Sequence[str] = ("arquivo_json",), limit: int = GROUP_LIMIT) -> DataFrame:
-    """Items of a notice as one ordered array: ``keys``, ``parte``, ``itens_extraidos``.
-
-    A notice of more than ``limit`` items gives several rows told apart by ``parte``; their
-    arrays, in the order of ``parte``, are the whole list.
-    """
-    entry = F.struct("att_pos", "block_pos", F.struct(*ITEM_FIELDS).alias("item"))
+    placed = dense_positions(items.select(*keys, "att_pos", "block_pos", *ITEM_FIELDS), keys, ["att_pos", "block_pos", *ITEM_FIELDS])
+    entry = F.struct("pos", F.struct(*ITEM_FIELDS).alias("item"))
     return (
-        split_oversized(items, keys, "att_pos", "block_pos", limit)
-        .groupBy(*keys, "parte")
+        placed.groupBy(*keys, F.floor(F.col("pos") / part_rows).alias("parte"))
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
         .select(*keys, "parte", F.col("_entries.item").alias("itens_extraidos"))
     )
 
 
-def nest_notices(
-    headers: DataFrame, attachments: DataFrame, items: DataFrame, limit: int = GROUP_LIMIT
-) -> DataFrame:
-    """Result rows: header, processed attachment names, item array. Notices without items stay."""
-    nested = nest_items(items, limit=limit)
+def nest_notices(headers: DataFrame, attachments: DataFrame, items: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """Result rows: header, processed attachment names, item array, ``parte``. Notices without items stay."""
+    nested = nest_items(items, part_rows=part_rows)
     empty_names = F.array().cast("array<string>")
     empty_items = F.array().cast(nested.schema["itens_extraidos"].dataType)
     return (
@@ -58,6 +43,6 @@ def nest_notices(
             *NOTICE_FIELDS,
             F.coalesce("anexos_processados", empty_names).alias("anexos_processados"),
             F.coalesce("itens_extraidos", empty_items).alias("itens_extraidos"),
-            "parte",
+            F.coalesce("parte", F.lit(0).cast("bigint")).alias("parte"),
         )
     )

@@ -1,117 +1,177 @@
 """Attachments held page by page.
 
-An attachment may have any number of pages, so its text is never put together as a whole
-to be parsed: pages are cut into fragments, each fragment learns in which page its block
-began, and only the fragments of one block (or of one composition section) meet.
+An attachment may have any number of pages, so its text is never put together as a whole to be
+parsed. One pass leaves a few facts of each page; a scan over the facts tells in which page each
+page's first block began and which blocks can be items at all; then only the fragments of one
+such block, or of one composition section, meet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import first_group, strip
 from .groups import group_mapping, group_mapping_of_sections, with_group_mapping
 from .items import attachment_blocks, items_of_attachment_blocks
-from .ordered import SPAN, ordered_text, span_of
+from .ordered import PART_CHARS, numbered, ordered_text, task_of, with_summary
 
 
 def join_pages(
-    pages: DataFrame, keys: Sequence[str], page_col: str = "page_no", text_col: str = "text", part_pages: int = SPAN
+    pages: DataFrame, keys: Sequence[str], page_col: str = "page_no", text_col: str = "text", part_chars: int = PART_CHARS
 ) -> DataFrame:
     """Page texts in page order, joined by a newline; null text is ''. See ``ordered_text`` for parts."""
-    return ordered_text(pages, keys, page_col, text_col, "\n", part_rows=part_pages)
+    return ordered_text(pages, keys, [page_col], text_col, "\n", part_chars=part_chars)
 
 
-def _page_owners(pages: DataFrame, keys: Sequence[str], span: int) -> DataFrame:
-    """For each page: does an item number at its end go on with the dash of a later page, and
-    which page and block of it own the text at the start of this page.
+def _fragments(text: Column, crosses: Column | None = None) -> Column:
+    """A page cut where items start. Fragment 0 belongs to what began on an earlier page.
 
-    Works on a few small facts per page, without the text. A span of pages is one window
-    partition; what crosses span borders is one summary row per span.
+    ``crosses`` tells that the number at the page's end goes on with a dash on a later page.
     """
-    text = F.concat(F.lit("\n"), F.col("text"))
+    lead = F.concat(F.lit("\n"), text)
+    plain = F.split(lead, P.ITEM_START, -1)
+    if crosses is None:
+        return plain
+    return F.when(crosses, F.split(lead, rf"{P.ITEM_START}|\n(?=\d+{P.WS}*\z)", -1)).otherwise(plain)
+
+
+def page_facts(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The few facts of each page that tell how it hangs together with other pages; one pass, without text.
+
+    ``starts``: item starts; ``open_end``: it ends with a number; ``head``: first character that is
+    no blank; ``first_counts``, ``last_counts``: its first and last fragment say "quantidade";
+    ``first_filled``, ``first_number``: the first fragment is not blank, and begins with a number;
+    ``heads``: a group composition begins; ``ends_own``, ``ends_any``: a composition that begins
+    here, or went on from before, ends here.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    ended = F.concat(text, F.lit("\n"))
+    heading = ended.rlike(P.GROUP_HEADING)
+    body = F.regexp_extract(ended, rf"{P.GROUP_HEADING}((?s:.*))", 1)
+
+    def of_fragments(f: Column) -> Column:
+        bare = F.ltrim(f[0], F.lit(P.BLANKS))
+        return F.struct(
+            (F.size(f) - 1).alias("starts"),
+            f[0].rlike(P.QUANTITY_WORD).alias("first_counts"),
+            F.element_at(f, -1).rlike(P.QUANTITY_WORD).alias("last_counts"),
+            (bare != "").alias("first_filled"),
+            bare.rlike(rf"\A\d+{P.WS}*(?:-|\z)").alias("first_number"),
+        )
+
+    # The fragments are bound once: five facts read them.
+    cut = F.transform(F.array(_fragments(text)), of_fragments)[0]
     facts = pages.select(
         *keys,
         "page_no",
-        span_of("page_no", span).alias("span"),
-        (F.size(F.split(text, P.ITEM_START, -1)) - 1).alias("starts"),
-        text.rlike(rf"\n\d+{P.WS}*\z").alias("open_end"),
-        F.nullif(F.substring(strip(F.col("text")), 1, 1), F.lit("")).alias("head"),
+        cut.alias("cut"),
+        F.concat(F.lit("\n"), text).rlike(rf"\n\d+{P.WS}*\z").alias("open_end"),
+        F.nullif(F.substring(strip(text), 1, 1), F.lit("")).alias("head"),
+        heading.alias("heads"),
+        (heading & body.rlike(P.GROUP_SECTION_END)).alias("ends_own"),
+        F.concat(F.lit("\n"), text).rlike(P.GROUP_SECTION_END).alias("ends_any"),
     )
-    by_span = Window.partitionBy(*keys, "span").orderBy("page_no")
+    return facts.select(*keys, "page_no", "cut.*", "open_end", "head", "heads", "ends_own", "ends_any")
+
+
+def page_owners(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Page facts with ``crosses`` (the number at the page's end goes on with the dash of a later page),
+    ``own_no`` (blocks that begin on the page) and ``owner``, the page and block of the text at its start.
+
+    Each task reads its pages forwards and backwards; what it hands on is one row per text. Before
+    the first item start the owner is page 0, block 0.
+    """
+    facts = facts.withColumn("_task", task_of())
+    here = Window.partitionBy(*keys, "_task")
     before = (Window.unboundedPreceding, -1)
     # What follows is looked up backwards: a frame that is open at its end is quadratic.
-    from_end = Window.partitionBy(*keys, "span").orderBy(F.desc("page_no")).rowsBetween(*before)
-
-    near = facts.withColumn("next_in", F.last("head", ignorenulls=True).over(from_end))
-    known = F.col("starts") + F.when(F.col("open_end") & (F.col("next_in") == "-"), 1).otherwise(0)
-    near = near.withColumn("known", known)
-    owner = F.struct(F.col("page_no").alias("page"), F.col("known").alias("block"))
-    pending = F.col("open_end") & F.col("next_in").isNull()
-    spans = near.groupBy(*keys, "span").agg(
-        F.min_by("head", F.when(F.col("head").isNotNull(), F.col("page_no"))).alias("first_head"),
-        F.max(F.when(F.col("known") > 0, owner)).alias("last_owner"),
-        F.max(F.when(pending, owner)).alias("pending"),
+    from_end = here.orderBy(F.desc("_row")).rowsBetween(*before)
+    near = facts.withColumn("_next_in", F.last("head", ignorenulls=True).over(from_end))
+    known = F.col("starts") + F.when(F.col("open_end") & (F.col("_next_in") == "-"), 1).otherwise(0)
+    near = near.withColumn("_known", known)
+    owner = F.struct(F.col("page_no").alias("page"), F.col("_known").alias("block"))
+    pending = F.col("open_end") & F.col("_next_in").isNull()
+    pieces = near.groupBy(*keys, "_task").agg(
+        F.min_by("head", F.when(F.col("head").isNotNull(), F.col("_row"))).alias("first_head"),
+        F.max(F.when(F.col("_known") > 0, F.struct("_row", owner.alias("o")))).alias("last_owner"),
+        F.max(F.when(pending, F.struct("_row", owner.alias("o")))).alias("pending"),
     )
-    over_spans = Window.partitionBy(*keys).orderBy("span")
-    last_spans = Window.partitionBy(*keys).orderBy(F.desc("span")).rowsBetween(*before)
-    spans = spans.withColumn("next_head", F.last("first_head", ignorenulls=True).over(last_spans))
-    crossed = F.struct(F.col("pending.page").alias("page"), (F.col("pending.block") + 1).alias("block"))
-    spans = spans.withColumn(
-        "end_owner",
-        F.when(F.col("pending").isNotNull() & (F.col("next_head") == "-"), crossed).otherwise(F.col("last_owner")),
-    ).select(
-        *keys,
-        "span",
-        "next_head",
-        F.last("end_owner", ignorenulls=True).over(over_spans.rowsBetween(*before)).alias("carried"),
+    over = Window.partitionBy(*keys).orderBy("_task")
+    backwards = Window.partitionBy(*keys).orderBy(F.desc("_task")).rowsBetween(*before)
+    pieces = pieces.withColumn("_next_head", F.last("first_head", ignorenulls=True).over(backwards))
+    crossed = F.struct(F.col("pending.o.page").alias("page"), (F.col("pending.o.block") + 1).alias("block"))
+    last = F.when(F.col("pending").isNotNull() & (F.col("_next_head") == "-"), crossed).otherwise(F.col("last_owner.o"))
+    pieces = pieces.withColumn("_last", last).select(
+        *keys, "_task", "_next_head", F.last("_last", ignorenulls=True).over(over.rowsBetween(*before)).alias("_carried")
     )
-    crosses = F.col("open_end") & F.coalesce(F.coalesce(F.col("next_in"), F.col("next_head")) == "-", F.lit(False))
-    own = F.struct(F.col("page_no").alias("page"), (F.col("starts") + F.col("crosses").cast("int")).alias("block"))
-    return (
-        near.join(spans, [*keys, "span"], "left")
-        .withColumn("crosses", crosses)
-        .withColumn("own", F.when(own["block"] > 0, own))
-        .select(
-            *keys,
-            "page_no",
-            "crosses",
-            F.coalesce(
-                F.last("own", ignorenulls=True).over(by_span.rowsBetween(*before)), F.col("carried")
-            ).alias("owner"),
-        )
+    met = with_summary(near, pieces, keys)
+    crosses = F.col("open_end") & F.coalesce(F.coalesce(F.col("_next_in"), F.col("_next_head")) == "-", F.lit(False))
+    met = met.withColumn("crosses", crosses)
+    met = met.withColumn("own_no", F.col("starts") + F.col("crosses").cast("int"))
+    own = F.when(F.col("own_no") > 0, F.struct(F.col("page_no").alias("page"), F.col("own_no").alias("block")))
+    found = F.coalesce(F.last(own, ignorenulls=True).over(here.orderBy("_row").rowsBetween(*before)), F.col("_carried"))
+    none = F.struct(F.lit(0).cast(met.schema["page_no"].dataType).alias("page"), F.lit(0).alias("block"))
+    columns = [c for c in met.columns if not c.startswith("_")]
+    return met.select(*columns, F.coalesce(found, none).alias("owner"))
+
+
+def _wanted_ends(owned: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, page_no, crosses, own_no, owner, want_first, want_last``: whether the first and the last fragment
+    of a page belong to blocks that can be items.
+
+    A block can be one if any of its fragments says "quantidade"; the text before the first start
+    must also begin with a number. Decided on the facts, so no text of other blocks is ever gathered.
+    """
+    first = F.struct(
+        F.lit(True).alias("first"), F.col("owner.page").alias("page"), F.col("owner.block").alias("block"),
+        F.col("first_counts").alias("counts"), F.when(F.col("first_filled"), F.col("first_number")).alias("number"),
     )
+    last = F.struct(
+        F.lit(False).alias("first"), F.col("page_no").alias("page"), F.col("own_no").alias("block"),
+        (F.col("last_counts") & ~F.col("crosses")).alias("counts"), F.lit(None).cast("boolean").alias("number"),
+    )
+    ends = owned.select(*keys, "page_no", F.inline(F.when(F.col("own_no") > 0, F.array(first, last)).otherwise(F.array(first))))
+    block = [*keys, "page", "block"]
+    opening = F.min_by("number", F.when(F.col("number").isNotNull(), F.col("page_no")))
+    good = ends.groupBy(*block).agg(F.max("counts").alias("counts"), opening.alias("number"))
+    good = good.where(F.col("counts") & ((F.col("page") > 0) | F.coalesce("number", F.lit(False))))
+    wanted = ends.join(good.select(*block), block, "left_semi").groupBy(*keys, "page_no").agg(
+        F.max("first").alias("want_first"), F.max(~F.col("first")).alias("want_last")
+    )
+    return owned.select(*keys, "page_no", "crosses", "own_no", "owner").join(wanted, [*keys, "page_no"], "left")
 
 
-def paged_blocks(pages: DataFrame, keys: Sequence[str], span: int = SPAN) -> DataFrame:
-    """Blocks of paged attachments: ``keys``, ``block_pos``, ``block``, as if the pages were one text.
+def paged_blocks(pages: DataFrame, keys: Sequence[str], facts: DataFrame | None = None) -> DataFrame:
+    """Blocks of paged attachments that may be items: ``keys``, ``block_pos``, ``block``, as if the pages were one text.
 
-    ``pages`` holds ``keys``, ``page_no`` (unique, from 1), ``text``. Text before the first item
-    number belongs to no item and is left out. ``block_pos`` orders by page, then block.
+    ``pages`` holds ``keys``, ``page_no`` (unique, from 1), ``text``. ``block_pos`` orders by
+    page, then block; 0 is the text before the first item start. Blocks that don't say
+    "quantidade" are left out. ``facts`` are the numbered facts of the pages, if they are at hand.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    # Blanks at the very start of a document do not hide an item number.
-    text = F.when(F.col("page_no") == 1, F.ltrim(text, F.lit(P.BLANKS))).otherwise(text)
-    pages = pages.select(*keys, "page_no", text.alias("text"))
+    if facts is None:
+        facts = numbered(page_facts(pages, keys), [*keys, "page_no"])
+    wanted = _wanted_ends(page_owners(facts, keys), keys)
     # Both sides have a row per page, so neither is ever the small one.
-    owned = pages.join(_page_owners(pages, keys, span).hint("merge"), [*keys, "page_no"])
-    lead = F.concat(F.lit("\n"), F.col("text"))
-    cut = F.when(F.col("crosses"), F.split(lead, rf"{P.ITEM_START}|\n(?=\d+{P.WS}*\z)", -1)).otherwise(
-        F.split(lead, P.ITEM_START, -1)
+    owned = pages.select(*keys, "page_no", "text").join(wanted.hint("merge"), [*keys, "page_no"])
+    cut = _fragments(F.coalesce(F.col("text"), F.lit("")), F.col("crosses"))
+    fragments = owned.select(*keys, "page_no", "owner", "own_no", "want_first", "want_last", F.posexplode_outer(cut).alias("no", "fragment"))
+    want = (
+        F.when(F.col("no") == 0, F.col("want_first"))
+        .when(F.col("no") == F.col("own_no"), F.col("want_last"))
+        .otherwise(F.col("fragment").rlike(P.QUANTITY_WORD))
     )
-    fragments = owned.select(*keys, "page_no", "owner", F.posexplode_outer(cut).alias("no", "fragment"))
     own = F.col("no") > 0
-    fragments = fragments.select(
+    fragments = fragments.where(want & (F.col("fragment") != "")).select(
         *keys,
         "page_no",
         "fragment",
         F.when(own, F.col("page_no")).otherwise(F.col("owner.page")).alias("start_page"),
         F.when(own, F.col("no")).otherwise(F.col("owner.block")).alias("start_no"),
-    ).where(F.col("start_page").isNotNull() & (F.col("fragment") != ""))
+    )
     piece = F.struct("page_no", "fragment")
     return (
         fragments.groupBy(*keys, "start_page", "start_no")
@@ -124,20 +184,26 @@ def paged_blocks(pages: DataFrame, keys: Sequence[str], span: int = SPAN) -> Dat
     )
 
 
-def paged_group_mapping(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Group mapping of paged attachments: only the pages of the composition section are put together."""
+def paged_group_mapping(pages: DataFrame, keys: Sequence[str], facts: DataFrame | None = None) -> DataFrame:
+    """Group mapping of paged attachments. The pages of a section are known from the facts.
+
+    Of a section that no item ends, which is the rest of the document, only what can name a group or
+    an item of one is put together: runs of other lines are a single dot.
+    """
+    facts = page_facts(pages, keys) if facts is None else facts
+    heads = facts.where("heads").groupBy(*keys).agg(F.min(F.struct("page_no", "ends_own")).alias("first"))
+    heads = heads.select(*keys, F.col("first.page_no").alias("first_page"), F.col("first.ends_own").alias("ends_own"))
+    later = facts.where("ends_any").join(heads.where("NOT ends_own"), list(keys)).where("page_no > first_page")
+    ends = later.groupBy(*keys).agg(F.min("page_no").alias("last_page"))
+    last = F.when(F.col("ends_own"), F.col("first_page")).otherwise(F.col("last_page"))
+    spans = heads.join(ends, list(keys), "left").select(*keys, "first_page", last.alias("last_page"))
+    inside = (F.col("page_no") >= F.col("first_page")) & (F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
     text = F.coalesce(F.col("text"), F.lit(""))
-    ended = F.concat(text, F.lit("\n"))
-    pages = pages.select(*keys, "page_no", text.alias("text"))
-    heads = pages.where(ended.rlike(P.GROUP_HEADING)).groupBy(*keys).agg(F.min("page_no").alias("first_page"))
-    later = pages.join(heads, list(keys)).where(F.col("page_no") >= F.col("first_page"))
-    body = F.when(
-        F.col("page_no") == F.col("first_page"), F.regexp_extract(ended, rf"{P.GROUP_HEADING}((?s:.*))", 1)
-    ).otherwise(F.concat(F.lit("\n"), F.col("text")))  # the line break that joins it to the page before
-    ends = later.where(body.rlike(P.GROUP_SECTION_END)).groupBy(*keys).agg(F.min("page_no").alias("last_page"))
+    bare = F.regexp_replace(F.concat(F.lit("\n"), text), P.GROUP_IDLE_LINES, "\n.")
+    text = F.when((F.col("page_no") > F.col("first_page")) & F.col("last_page").isNull(), F.substr(bare, F.lit(2))).otherwise(text)
     sections = (
-        later.join(ends, list(keys), "left")
-        .where(F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
+        pages.select(*keys, "page_no", "text").join(spans, list(keys)).where(inside)
+        .select(*keys, "page_no", text.alias("text"))
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_list(F.struct("page_no", "text"))).alias("pieces"))
         .select(*keys, first_group(F.array_join("pieces.text", "\n"), P.GROUP_SECTION).alias("section"))
@@ -146,9 +212,14 @@ def paged_group_mapping(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def parse_paged_attachments(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Items of attachments held as pages, with their lots."""
-    items = items_of_attachment_blocks(paged_blocks(pages, keys), keys)
-    return with_group_mapping(items, paged_group_mapping(pages, keys), keys)
+    """Items of attachments held as pages, with their lots.
+
+    The pages are read three times: for their facts, for blocks that can be items, and for the
+    sections that name groups.
+    """
+    facts = numbered(page_facts(pages, keys), [*keys, "page_no"])
+    items = items_of_attachment_blocks(paged_blocks(pages, keys, facts), keys)
+    return with_group_mapping(items, paged_group_mapping(pages, keys, facts), keys)
 
 
 def parse_attachment_items(df: DataFrame, keys: Sequence[str], text_col: str = "text") -> DataFrame:

@@ -60,11 +60,15 @@ def rejects(df: DataFrame, with_items: bool = True) -> DataFrame:
 def validation_summary(df: DataFrame) -> DataFrame:
     """One row: notices, valid notices, their items and the items with a lot, and percentages.
 
-    Items count only where their notice is valid.
+    Items count only where their notice is valid. Rows with a ``parte`` are parts of notices: a
+    notice counts once, and is valid if all its parts are.
     """
     items = F.coalesce(F.size("itens_extraidos"), F.lit(0))
     lots = F.coalesce(F.size(F.filter("itens_extraidos", lambda i: i["lote"].isNotNull())), F.lit(0))
-    counted = df.select(valid_notice().alias("ok"), items.alias("n"), lots.alias("n_lot")).agg(
+    counted = df.select("arquivo_json", valid_notice().alias("ok"), items.alias("n"), lots.alias("n_lot"))
+    if "parte" in df.columns:
+        counted = counted.groupBy("arquivo_json").agg(F.min("ok").alias("ok"), F.sum("n").alias("n"), F.sum("n_lot").alias("n_lot"))
+    counted = counted.agg(
         F.count(F.lit(1)).alias("licitacoes"),
         F.count_if("ok").alias("licitacoes_validas"),
         F.coalesce(F.sum(F.when(F.col("ok"), F.col("n"))), F.lit(0)).cast("bigint").alias("itens"),

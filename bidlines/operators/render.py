@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_cell, strip
-from .nesting import GROUP_LIMIT, split_oversized
-from .ordered import SPAN, ordered_text
+from .ordered import PART_CHARS, ordered_text
 
 
 def _row_line(cells: Column) -> Column:
@@ -44,10 +43,10 @@ def table_lines(cells: DataFrame, keys: Sequence[str] = ("doc", "table_no")) ->
 
 
 def table_to_markdown(
-    cells: DataFrame, keys: Sequence[str] = ("doc", "table_no"), part_rows: int = SPAN
+    cells: DataFrame, keys: Sequence[str] = ("doc", "table_no"), part_chars: int = PART_CHARS
 ) -> DataFrame:
-    """Markdown tables (``keys, part_no, markdown``); a table of more rows comes in parts."""
-    return ordered_text(table_lines(cells, keys), keys, "row_no", "line", "\n", "markdown", part_rows)
+    """Markdown tables (``keys, part_no, markdown``); see ``ordered_text`` for parts."""
+    return ordered_text(table_lines(cells, keys), keys, ["row_no"], "line", "\n", "markdown", part_chars)
 
 
 def page_sections(pages: DataFrame, tables: DataFrame, keys: Sequence[str] = ("doc",)) -> DataFrame:
@@ -75,28 +74,17 @@ def page_sections(pages: DataFrame, tables: DataFrame, keys: Sequence[str] = ("d
 
 
 def assemble_pages(
-    pages: DataFrame, tables: DataFrame, keys: Sequence[str] = ("doc",), part_pages: int = SPAN
+    pages: DataFrame, tables: DataFrame, keys: Sequence[str] = ("doc",), part_chars: int = PART_CHARS
 ) -> DataFrame:
     """Markdown of a paged document (``keys, part_no, markdown``), sections parted by a blank line."""
     sections = page_sections(pages, tables, keys)
-    return ordered_text(sections, keys, "page_no", "section", "\n\n", "markdown", part_pages)
+    return ordered_text(sections, keys, ["page_no"], "section", "\n\n", "markdown", part_chars)
 
 
-def assemble_blocks(blocks: DataFrame, keys: Sequence[str] = ("doc",), part_blocks: int = SPAN) -> DataFrame:
+def assemble_blocks(blocks: DataFrame, keys: Sequence[str] = ("doc",), part_chars: int = PART_CHARS) -> DataFrame:
     """Paragraphs and Markdown tables in document order, blanks dropped, parted by a blank line."""
     kept = blocks.select(*keys, "block_no", strip(F.col("text")).alias("text")).where(F.col("text") != "")
-    return ordered_text(kept, keys, "block_no", "text", "\n\n", "markdown", part_blocks)
-
-
-def _joined_lines(lines: DataFrame, keys: Sequence[str], outer: str, limit: int) -> DataFrame:
-    """``keys, parte, text``: lines in order of ``outer, row_no``; ``parte`` is null but for huge documents."""
-    piece = F.struct(outer, "row_no", "line")
-    return (
-        split_oversized(lines, keys, outer, "row_no", limit)
-        .groupBy(*keys, "parte")
-        .agg(F.array_sort(F.collect_list(piece)).alias("_lines"))
-        .select(*keys, "parte", F.array_join("_lines.line", "\n").alias("text"))
-    )
+    return ordered_text(kept, keys, ["block_no"], "text", "\n\n", "markdown", part_chars)
 
 
 def sheet_lines(cells: DataFrame, sheets: DataFrame, keys: Sequence[str] = ("doc",)) -> DataFrame:
@@ -118,10 +106,10 @@ def sheet_lines(cells: DataFrame, sheets: DataFrame, keys: Sequence[str] = ("doc
 
 
 def sheets_to_text(
-    cells: DataFrame, sheets: DataFrame, keys: Sequence[str] = ("doc",), limit: int = GROUP_LIMIT
+    cells: DataFrame, sheets: DataFrame, keys: Sequence[str] = ("doc",), part_chars: int = PART_CHARS
 ) -> DataFrame:
-    """Text of spreadsheets: all sheets in order."""
-    return _joined_lines(sheet_lines(cells, sheets, keys), keys, "table_no", limit)
+    """Text of spreadsheets (``keys, part_no, text``): all sheets in order; see ``ordered_text`` for parts."""
+    return ordered_text(sheet_lines(cells, sheets, keys), keys, ["table_no", "row_no"], "line", "\n", "text", part_chars)
 
 
 def text_doc_lines(blocks: DataFrame, cells: DataFrame, keys: Sequence[str] = ("doc",)) -> DataFrame:
@@ -141,7 +129,7 @@ def text_doc_lines(blocks: DataFrame, cells: DataFrame, keys: Sequence[str] = ("
 
 
 def text_docs_to_text(
-    blocks: DataFrame, cells: DataFrame, keys: Sequence[str] = ("doc",), limit: int = GROUP_LIMIT
+    blocks: DataFrame, cells: DataFrame, keys: Sequence[str] = ("doc",), part_chars: int = PART_CHARS
 ) -> DataFrame:
-    """Text of text documents: all lines in order."""
-    return _joined_lines(text_doc_lines(blocks, cells, keys), keys, "block_no", limit)
+    """Text of text documents (``keys, part_no, text``): all lines in order; see ``ordered_text`` for parts."""
+    return ordered_text(text_doc_lines(blocks, cells, keys), keys, ["block_no", "row_no"], "line", "\n", "text", part_chars)

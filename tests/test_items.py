@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from bidlines.operators.groups import group_mapping
@@ -150,20 +152,76 @@ def test_pages_give_the_items_of_the_whole_text(spark, rows):
     assert paged(spark, rows, long) == whole
 
 
-def test_page_spans_do_not_change_the_blocks(spark, rows):
+def test_blank_pages_before_the_first_item(spark, rows):
+    for long in (["", " 1 - Pá\nQuantidade: 3"], [" \n", None, "\t1", "- Pá\nQuantidade: 3"], ["  12 - Pá", "Quantidade: 3"]):
+        whole = attachment(spark, rows, "\n".join(t or "" for t in long))
+        assert len(whole) == 1 and paged(spark, rows, long) == whole
+    for long in (["x", " 1 - Pá\nQuantidade: 3"], ["Quantidade: 3", "12"], ["12 Quantidade: 3", "- x"]):
+        assert paged(spark, rows, long) == attachment(spark, rows, "\n".join(long)) == []
+
+
+def test_random_cuts_of_a_text_give_its_items(spark, rows):
+    rng = random.Random(11)
+    lines = [
+        "1 - Mesa", "2", "- Cadeira", "Quantidade: 4", "Quantidade", "Total: 5", "texto livre", "", " ", "Grupo: 3", "Unidade de Fornecimento: Par", "7 - Banco alto",
+        "Composição dos Grupos", "G1", "Item 1", "Item", "7", "G2 ", "item 2 e Item 1", "fim G9", "8-", "  9 - Armário", "12\t",
+    ]
+    texts = {f"k{n}": [rng.choice(lines) for _ in range(rng.randrange(1, 40))] for n in range(200)}
+    pages = []
+    for k, whole in texts.items():
+        page = []
+        at = 0
+        while at < len(whole):
+            step = rng.randrange(1, 7)
+            page.append("\n".join(whole[at : at + step]))
+            at += step
+        pages += [(k, n, t or None) for n, t in enumerate(page, 1)]
+    keys = ["k"]
+    one = spark.createDataFrame([(k, "\n".join(t)) for k, t in texts.items()], "k string, text string")
+    cut = spark.createDataFrame(pages, "k string, page_no int, text string").repartition(5)
+    fields = ("k", "lote", "item", "objeto", "quantidade", "unidade_fornecimento")
+    whole = rows(parse_attachment_items(one, keys), *fields)
+    assert len(whole) > 40 and any(r[1] for r in whole)
+    assert rows(parse_paged_attachments(cut, keys), *fields) == whole
+
+
+def test_a_block_over_many_pages_and_tasks(spark, rows):
     pages = [("a", i, f"texto {i}" if i % 7 else f"{i} - Item {i}\nQuantidade: {i}") for i in range(1, 60)]
-    pages += [("b", i, "\n9" if i == 4 else "- resto" if i == 9 else "") for i in range(1, 12)]
+    pages += [("b", i, "\n9" if i == 4 else "- resto" if i == 9 else "Quantidade: 2" if i == 30 else "") for i in range(1, 32)]
+    pages += [("c", i, "1 - sem número" if i == 1 else "linha") for i in range(1, 40)]
     df = spark.createDataFrame(pages, "k string, page_no int, text string")
-    wide = rows(paged_blocks(df, ["k"]))
-    assert len([r for r in wide if r[0] == "a"]) == 8 and len([r for r in wide if r[0] == "b"]) == 1
-    for span in (1, 2, 5, 16):
-        assert rows(paged_blocks(df, ["k"], span=span)) == wide
+    found = {}
+    for tasks in (1, 3, 16):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            found[tasks] = rows(paged_blocks(df, ["k"]))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert found[1] == found[3] == found[16]
+    by_key = {k: [r for r in found[1] if r[0] == k] for k in "abc"}
+    assert len(by_key["a"]) == 8 and len(by_key["b"]) == 1
+    assert by_key["c"] == []  # no quantity: its text is not gathered
 
 
 def test_join_pages_in_order_and_in_parts(spark, rows):
-    df = spark.createDataFrame([("a", i, str(i) if i != 3 else None) for i in (4, 2, 3, 1, 10)], "k string, page_no int, text string")
-    assert rows(join_pages(df, ["k"])) == [("a", 0, "1\n2\n\n4\n10")]
-    assert rows(join_pages(df, ["k"], part_pages=3)) == [("a", 0, "1\n2"), ("a", 1, "\n4"), ("a", 3, "10")]
+    df = spark.createDataFrame([("a", i, str(i) if i != 3 else None) for i in (4, 2, 3, 1, 10)] + [("b", 1, None), (None, 2, "é" * 9)], "k string, page_no int, text string")
+    assert rows(join_pages(df, ["k"])) == [("a", 0, "1\n2\n\n4\n10"), ("b", 0, ""), (None, 0, "é" * 9)]
+    for size in (1, 2, 3, 4, 100):
+        parts = join_pages(df, ["k"], part_chars=size).orderBy("k", "part_no").collect()
+        for key, whole in (("a", "1\n2\n\n4\n10"), ("b", ""), (None, "é" * 9)):
+            mine = [p for p in parts if p["k"] == key]
+            assert "".join(p["text"] for p in mine) == whole
+            assert [p["part_no"] for p in mine] == list(range(max(1, -(-len(whole) // size))))
+            assert all(len(p["text"]) == size for p in mine[:-1]) and len(mine[-1]["text"]) <= size
+
+
+def test_long_pages_give_no_long_value(spark):
+    df = spark.createDataFrame([(1, n, f"{n:03d}" * 7000) for n in range(40)], "k int, page_no int, text string")
+    parts = join_pages(df, ["k"], part_chars=10_000).orderBy("part_no").collect()
+    assert max(len(p["text"]) for p in parts) == 10_000
+    assert "".join(p["text"] for p in parts) == "\n".join(f"{n:03d}" * 7000 for n in range(40))
 
 
 def test_items_are_cleaned_again(spark, rows):

@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bidlines.operators.answers import parse_rescue_answers
@@ -16,6 +17,7 @@ from bidlines.operators.attachments import (
 from bidlines.operators.calls import rate_limit_streaks
 from bidlines.operators.cascade import cascade, first_nonempty, pending, rescue_queue, tier_coverage
 from bidlines.operators.nesting import nest_items, nest_notices
+from bidlines.operators.ordered import dense_positions, numbered, running_totals, task_of
 from bidlines.operators.quality import rejects, validation_summary
 from bidlines.operators.render import (
     assemble_blocks,
@@ -24,8 +26,8 @@ from bidlines.operators.render import (
     table_to_markdown,
     text_docs_to_text,
 )
-from bidlines.operators.scoring import accuracy_summary, align_items, compare_items, dedupe_last
-from bidlines.plans.evaluate import evaluate
+from bidlines.operators.scoring import accuracy_summary, align_items, compare_items, dedupe_last, item_rows
+from bidlines.plans.evaluate import evaluate, evaluate_items
 from bidlines.schemas import PROCESSED_NOTICE
 
 FILES = "folder string, file_name string, path string, length bigint"
@@ -179,7 +181,7 @@ def test_table_to_markdown(spark, rows):
         ("d", 0, 0, "| Item | Descrição longa | Qtd |\n| --- | --- | --- |\n| 1 | Notebook | i7 | 5 |\n| fim |  |  |"),
         ("e", 0, 0, "| só |\n| --- |"),
     ]
-    assert rows(table_to_markdown(df, part_rows=3), "part_no") == [(0,), (0,), (1,)]
+    assert "".join(r["markdown"] for r in table_to_markdown(df, part_chars=9).where("table_no = 0 AND doc = 'd'").orderBy("part_no").collect()).endswith("|\n| fim |  |  |")
 
 
 def test_pages_and_blocks(spark, rows):
@@ -207,9 +209,9 @@ def test_sheets_and_text_documents(spark, rows):
     )
     sheets = spark.createDataFrame([("d", 0, "Plan1"), ("d", 1, ""), ("d", 2, "Vazia")], "doc string, table_no int, name string")
     text = "\n### Tabela: Plan1\n| a |  | b |\n| c |\n\n### Tabela: Vazia"
-    assert rows(sheets_to_text(cells, sheets), "parte", "text") == [(None, text)]
-    parts = sheets_to_text(cells, sheets, limit=1).orderBy("parte").collect()
-    assert len(parts) > 1 and "\n".join(p["text"] for p in parts) == text
+    assert rows(sheets_to_text(cells, sheets), "part_no", "text") == [(0, text)]
+    parts = sheets_to_text(cells, sheets, part_chars=10).orderBy("part_no").collect()
+    assert len(parts) == -(-len(text) // 10) and "".join(p["text"] for p in parts) == text
 
     blocks = spark.createDataFrame(
         [("d", 0, " título "), ("d", 2, "x"), ("d", 3, "y"), ("d", 4, " "), ("d", 5, "fim")], "doc string, block_no int, text string"
@@ -267,6 +269,39 @@ def test_scoring(spark, rows):
     assert all(r["pct"] == 0.0 for r in nothing.collect())
 
 
+def test_scoring_of_notices_in_parts_equals_that_of_whole_ones(spark, rows):
+    """Seven items in parts of three score as they do in one row."""
+    def item(n, lote=None):
+        return (lote, n, f"Mesa de madeira {n}", 2, "Par")
+
+    whole_gold = [("a", [item(n) for n in range(1, 9)], 4), ("b", [item(1)], 2), ("a", [item(9)], 1)]
+    whole_pred = [("a", [item(n, "G1" if n == 5 else None) for n in range(1, 8)]), ("b", [item(2)])]
+
+    def frame(lists, size, pos=False):
+        out = []
+        for name, items, *at in lists:
+            for k in range(0, max(1, len(items)), size):
+                out.append(notice(name, itens=items[k : k + size]) + (k // size, *at))
+        return spark.createDataFrame(out, f"{PROCESSED_NOTICE}, parte bigint{', pos int' if pos else ''}").repartition(3)
+
+    found = []
+    for size in (100, 3, 1):
+        result = evaluate(frame(whole_pred, size), frame(whole_gold, size, pos=True))
+        found.append((rows(result.accuracy), rows(result.summary), rows(result.compared, "arquivo_json", "pos", "ok_lote", "ok_todos")))
+    assert found[0] == found[1] == found[2]
+    assert ("todos", 6, 8, 75.0) in found[0][0] and found[0][1] == [(2, 2, 8, 1, 100.0, 12.5)]
+    flat = evaluate_items(*[df.select("arquivo_json", "att_pos", "block_pos", "lote", "item", "objeto", "quantidade", "unidade_fornecimento")
+                            for df in (item_rows(frame(whole_pred, 3)).withColumns({"att_pos": F.lit(0), "block_pos": F.col("pos") * 10}),
+                                       item_rows(frame([g[:2] for g in whole_gold[:2]], 3)).withColumns({"att_pos": F.lit(0), "block_pos": F.col("pos") * 7}))])
+    assert rows(flat[1]) == found[0][0]
+
+
+def test_an_invalid_part_makes_its_notice_invalid(spark, rows):
+    parts = [notice("a") + (0,), notice("a", itens=((None, 0, "x", 1, "y"),)) + (1,), notice("b") + (0,), notice("b") + (1,)]
+    df = spark.createDataFrame(parts, f"{PROCESSED_NOTICE}, parte bigint")
+    assert rows(validation_summary(df)) == [(2, 1, 2, 0, 50.0, 0.0)]
+
+
 def test_scoring_nulls(spark):
     side = "arquivo_json string, pos int, lote string, item bigint, objeto string, quantidade bigint, unidade_fornecimento string"
     pred = spark.createDataFrame([("a", 0, None, None, None, 1, None)], side)
@@ -287,10 +322,10 @@ def test_nesting(spark, rows):
     items = spark.createDataFrame(data, schema)
     whole = nest_items(items).where("arquivo_json = 'a'").collect()
     order = [0, 1, 2, 5, 10, 11, 12, 15]
-    assert [i["item"] for i in whole[0]["itens_extraidos"]] == order and whole[0]["parte"] is None
-    parts = nest_items(items, limit=3).where("arquivo_json = 'a'").orderBy("parte").collect()
-    assert [i["item"] for p in parts for i in p["itens_extraidos"]] == order
-    assert max(len(p["itens_extraidos"]) for p in parts) <= 3
+    assert [i["item"] for i in whole[0]["itens_extraidos"]] == order and whole[0]["parte"] == 0
+    parts = nest_items(items, part_rows=3).where("arquivo_json = 'a'").orderBy("parte").collect()
+    assert [[i["item"] for i in p["itens_extraidos"]] for p in parts] == [order[:3], order[3:6], order[6:]]
+    assert [p["parte"] for p in parts] == [0, 1, 2]
     headers = spark.createDataFrame([notice(n)[:5] for n in ("a", "b", "c")], ", ".join(PROCESSED_NOTICE.replace("\n", " ").split(", ")[:5]))
     attachments = spark.createDataFrame([("a", ["x", "y"])], "arquivo_json string, anexos_processados array<string>")
     nested = {r["arquivo_json"]: r for r in nest_notices(headers, attachments, items).collect()}
@@ -312,9 +347,33 @@ def test_rate_limit_streaks_equal_brute_force(spark):
             expected[session, call * 3] = (streak, limited and streak >= 2)
     rng.shuffle(log)
     df = spark.createDataFrame(log, "s string, call_id bigint, ok boolean, error string")
-    for span in (1, 7, 10_000):
-        got = {(r["s"], r["call_id"]): (r["sequencia"], r["disparo"]) for r in rate_limit_streaks(df, ["s"], span).collect()}
+    sparse = df.withColumn("call_id", F.struct("call_id", F.xxhash64("call_id").alias("h")))  # any type that has an order
+    hashed = df.withColumn("call_id", F.col("call_id") * 1_000_003 * 9_999_991)
+    for log_ids, back in ((df, F.col("call_id")), (sparse, F.col("call_id.call_id")), (hashed, (F.col("call_id") / 1_000_003 / 9_999_991).cast("bigint"))):
+        got = {(r["s"], r["id"]): (r["sequencia"], r["disparo"]) for r in rate_limit_streaks(log_ids.repartition(6), ["s"]).withColumn("id", back).collect()}
         assert got == expected
     one = df.where("s = 's'").drop("s")
-    got = {("s", r["call_id"]): (r["sequencia"], r["disparo"]) for r in rate_limit_streaks(one, span=64).collect()}
-    assert got == {k: v for k, v in expected.items() if k[0] == "s"}
+    for log_ids in (one, one.repartition(7)):
+        got = {("s", r["call_id"]): (r["sequencia"], r["disparo"]) for r in rate_limit_streaks(log_ids).collect()}
+        assert got == {k: v for k, v in expected.items() if k[0] == "s"}
+
+
+def test_streaks_and_positions_are_counted_in_tasks(spark):
+    """Ids with gaps of any width: every task numbers its own range, none gets all rows."""
+    ids = spark.range(0, 20_000, numPartitions=8).select(F.xxhash64("id").alias("call_id"), (F.col("id") % 97 == 0).alias("ok"), F.lit("429").alias("error"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows_of_task = numbered(ids, ["call_id"]).groupBy(task_of().alias("t")).count().collect()
+        assert len(rows_of_task) == 4 and max(r["count"] for r in rows_of_task) < 7_000
+        placed = dense_positions(ids, [], ["call_id"]).select("pos", F.rank().over(Window.orderBy("call_id")).alias("r"))
+        assert placed.where("pos <> r - 1").isEmpty() and placed.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_dense_positions_and_running_totals(spark, rows):
+    df = spark.createDataFrame([(k, v, w) for k in ("a", None, "b") for v, w in ((5, 2), (-9, 1), (5, 2), (None, 4), (10**15, 3))], "k string, v bigint, w int").repartition(4)
+    expected = {(k, 0, None) for k in ("a", "b", None)} | {(k, p, v) for k in ("a", "b", None) for p, v in ((1, -9), (2, 5), (3, 5), (4, 10**15))}
+    assert set(rows(dense_positions(df, ["k"], ["v"]), "k", "pos", "v")) == expected
+    totals = rows(running_totals(df, ["k"], ["v"], "w"), "k", "before")
+    assert sorted(b for k, b in totals if k is None) == sorted(b for k, b in totals if k == "a") == [0, 4, 5, 7, 9]
