@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cascade import pending
 from ..operators.quality import rejects
-from ..plans.extract import NOTICES, run_batch
+from ..plans.extract import NOTICES, QUEUE, run_batch
 from ..schemas import PROCESSED_NOTICE
 from ..sources.files import read_file_index
 from ..sources.notices import explode_attachments, notice_header, read_notices
@@ -27,8 +27,8 @@ def _order() -> tuple[Column, Column, Column]:
     return key, F.col("o_custkey"), text(key, ".json")
 
 
-def write_order_notices(t: Tables) -> str:
-    """One notice per order as JSON lines; returns their folder. Some header fields are absent."""
+def write_order_notices(t: Tables, which: str = "true") -> str:
+    """One notice per order (or per order of a kind) as JSON lines; returns their folder. Some header fields are absent."""
     path = new_path(t.spark, "notices")
     key, cust, name = _order()
     notice = text(
@@ -49,7 +49,7 @@ def write_order_notices(t: Tables) -> str:
         F.slice(refs, 1, (key % 4).cast("int")).alias("anexos"),
     )
     # JSON leaves out null fields, so they are absent in the file.
-    t.orders.select(name.alias("arquivo_json"), F.lit("editais").alias("type"), data.alias("data")).write.json(path)
+    t.orders.where(which).select(name.alias("arquivo_json"), F.lit("editais").alias("type"), data.alias("data")).write.json(path)
     return path
 
 
@@ -162,6 +162,58 @@ def incremental_run(t: Tables) -> DataFrame:
     return _items_written(t, out)
 
 
+@query(
+    """
+    WITH base AS (SELECT *, o_orderkey || '.json' AS arquivo_json FROM orders WHERE o_orderkey % 6 > 0)
+    SELECT arquivo_json, 1 AS item, 'MATERIAL ' || o_orderstatus AS objeto FROM base WHERE o_orderkey % 4 >= 1 AND o_orderkey % 5 < 2
+    UNION ALL
+    SELECT arquivo_json, 10 + i, 'linha ' || i || ' de ' || o_custkey FROM base, range(3) AS r(i)
+    WHERE o_orderkey % 4 = 3 AND o_orderkey % 5 >= 2 AND o_orderkey % 10 <> 7
+    UNION ALL
+    SELECT arquivo_json, 1, o_orderpriority FROM base WHERE NOT (o_orderkey % 4 >= 1 AND o_orderkey % 5 < 2) AND o_orderkey % 4 < 3
+    UNION ALL
+    SELECT arquivo_json, 2, 'MESA ' || o_orderstatus FROM base WHERE NOT (o_orderkey % 4 >= 1 AND o_orderkey % 5 < 2) AND o_orderkey % 4 < 3 AND o_orderkey % 5 > 0
+    """
+)
+def rescue_run(t: Tables) -> DataFrame:
+    """FI9, IT7, WI2 in a run: the first run writes the queue, its pieces are answered, the second takes the answers by piece.
+
+    Texts have three lines and a piece takes one; every tenth text is left unanswered in one piece, so its notice waits.
+    """
+    key, cust, name = _order()
+    inputs = run_inputs(t)
+    three = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: text("linha ", i, " de ", cust)), "\n")
+    texts = t.orders.select(name.alias("arquivo_json"), F.lit(2).alias("att_pos"), three.alias("text"))
+    nothing = t.spark.createDataFrame([], "arquivo_json string, att_pos int, trecho bigint, raw string")
+    notices, out = write_order_notices(t), new_path(t.spark, "out")
+
+    def go(run: str, answers: DataFrame) -> None:
+        run_batch(t.spark, notices, "downloads", inputs["pages"], answers, out, run, bundled=True, files=inputs["files"], texts=texts, piece_chars=21)
+
+    go("r1", nothing)
+    queue = t.spark.read.parquet(f"{out}/{QUEUE}")
+    asked = queue.where(~(F.col("arquivo_json").endswith("7.json") & (F.col("trecho") == 1)))
+    said = text('[{"item": ', F.col("trecho") + 10, ', "objeto": "', F.regexp_replace("text", "\\n", ""), '", "quantidade": 1, "unidade_fornecimento": "UN"}]')
+    go("r2", asked.select("arquivo_json", "att_pos", "trecho", said.alias("raw")))
+    return _items_written(t, out).select("arquivo_json", F.col("item").cast("int").alias("item"), "objeto")
+
+
+@query(
+    """
+    SELECT o_orderkey || '.json' AS arquivo_json, count(*) AS itens FROM (SELECT o_orderkey, unnest(range(1 + (o_orderkey % 5 > 0)::INT)) FROM orders
+      WHERE o_orderkey % 6 > 0) GROUP BY o_orderkey
+    """
+)
+def replayed_run(t: Tables) -> DataFrame:
+    """SC5, SE2: a run name used again on a folder that has lost half of its notices and got others; no result is lost."""
+    first, second = (write_order_notices(t, which) for which in ("o_orderkey % 3 < 2", "o_orderkey % 3 > 0"))
+    out = new_path(t.spark, "out")
+    none = {name: df.limit(0) for name, df in run_inputs(t).items()}
+    for path in (first, second, second):
+        run_batch(t.spark, path, "downloads", out=out, run="r1", bundled=True, **none)
+    return _items_written(t, out).groupBy("arquivo_json").agg(F.count("*").alias("itens"))
+
+
 @query(
     """
     SELECT c_custkey AS arquivo_json FROM customer

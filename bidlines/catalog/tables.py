@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import attachments as A
 from ..operators import cascade as C
+from ..operators import rescue as R
 from ..operators import nesting, quality, render, scoring
 from ..operators.calls import rate_limit_streaks as streaks
 from ..plans.evaluate import evaluate
@@ -122,6 +123,10 @@ def _tiers(t: Tables) -> list[DataFrame]:
     return [line.where(F.col("l_returnflag") == flag).drop("l_returnflag") for flag in "ANR"]
 
 
+def _order_keys(t: Tables) -> DataFrame:
+    return t.orders.select(F.col("o_orderkey").alias("arquivo_json"))
+
+
 TIER_SQL = """
     WITH tiers AS (
       SELECT *, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS tier FROM lineitem)
@@ -137,7 +142,7 @@ TIER_SQL = """
 )
 def tier_cascade(t: Tables) -> DataFrame:
     """WI3, SE1."""
-    return C.cascade(*_tiers(t)).select(
+    return C.cascade(_order_keys(t), *_tiers(t)).select(
         "arquivo_json", big("l_linenumber").alias("linha"), "l_partkey", "quantidade", big("tier").alias("tier")
     )
 
@@ -155,8 +160,8 @@ def tier_cascade(t: Tables) -> DataFrame:
 )
 def tier_coverage(t: Tables) -> DataFrame:
     """AG7, SF7."""
-    notices = t.orders.select(F.col("o_orderkey").alias("arquivo_json"))
-    covered = C.tier_coverage(C.cascade(*_tiers(t)), notices)
+    notices = _order_keys(t)
+    covered = C.tier_coverage(C.cascade(notices, *_tiers(t)), notices)
     return covered.select(big("tier").alias("tier"), "licitacoes", "itens", F.round("pct", 6).alias("pct"))
 
 
@@ -174,17 +179,36 @@ def first_nonempty_answer(t: Tables) -> DataFrame:
     return first.select("conv_id", "turn", F.md5("text").alias("hash"))
 
 
-@query(
-    """
-    SELECT doc_id AS arquivo_json, md5(substr(text, 1, 120000)) AS hash, CAST(length(substr(text, 1, 120000)) AS BIGINT) AS chars
-    FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND regexp_matches(text, '\\S')
+def pieces_sql(size: int) -> str:
+    """Documents without a label, cut at the last line end within ``size`` characters."""
+    return f"""
+    WITH RECURSIVE cut AS (
+      SELECT doc_id, -1 AS trecho, '' AS piece, text AS rest FROM documents
+      WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND regexp_matches(text, '\\S')
+      UNION ALL
+      SELECT doc_id, trecho + 1, substr(rest, 1, n), substr(rest, n + 1) FROM (
+        SELECT doc_id, trecho, rest, CASE WHEN length(rest) <= {size} THEN {size} WHEN lines > 0 THEN lines ELSE {size} END AS n FROM (
+          SELECT *, {size} - length(regexp_extract(substr(rest, 1, {size}), '[^\\n]*$')) AS lines FROM cut WHERE rest <> '')))
+    SELECT doc_id AS arquivo_json, CAST(trecho AS BIGINT) AS trecho, md5(piece) AS hash, CAST(length(piece) AS BIGINT) AS chars FROM cut WHERE trecho >= 0
     """
-)
-def rescue_queue(t: Tables) -> DataFrame:
-    """FI9, IT7: documents without a label; the cap is the model's input limit."""
+
+
+def _pieces(t: Tables, size: int) -> DataFrame:
     texts = t.documents.select(F.col("doc_id").alias("arquivo_json"), "text")
-    queue = C.rescue_queue(texts, t.labels.select(F.col("doc_id").alias("arquivo_json")))
-    return queue.select("arquivo_json", F.md5("text").alias("hash"), big(F.length("text")).alias("chars"))
+    queue = R.rescue_queue(texts, t.labels.select(F.col("doc_id").alias("arquivo_json")), size=size)
+    return queue.select("arquivo_json", "trecho", F.md5("text").alias("hash"), big(F.length("text")).alias("chars"))
+
+
+@query(pieces_sql(120_000))
+def rescue_queue(t: Tables) -> DataFrame:
+    """FI9, IT7: documents without a label, whole, in pieces of the model's input limit."""
+    return _pieces(t, 120_000)
+
+
+@query(pieces_sql(1_500))
+def rescue_pieces(t: Tables) -> DataFrame:
+    """IT7: the same for a model that takes 1,500 characters, so that most documents have several pieces."""
+    return _pieces(t, 1_500)
 
 
 @query(

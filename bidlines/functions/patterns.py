@@ -46,7 +46,7 @@ OVERRIDE_NAME_WORDS = ("edital", "termo", "relacao")
 
 # --- fixed values: limits --------------------------------------------------------------
 TITLE_WORDS = 10            # longest repeated title that is removed
-RESCUE_CHARS = 120_000      # longest text sent to a model
+RESCUE_CHARS = 120_000      # longest text sent to a model at once
 SIMILARITY_PASS = 0.85      # description similarity that counts as equal
 RATE_LIMIT_STREAK = 2       # rate limits in a row that open the breaker
 STRIPPED_PUNCTUATION = ".,/;-"

@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import patterns as P
-from ..functions.text import percentage, strip
+from ..functions.text import percentage
+from ..sources.shared import cut_lineage
 
 KEY = "arquivo_json"
 
 
-def cascade(*tiers: DataFrame) -> DataFrame:
-    """Rows of each notice's first tier that has any, with ``tier`` counted from 1.
+Source = DataFrame | Callable[[DataFrame], DataFrame]
 
-    Later tiers are anti-joined with the notices solved before them; the rows of the first
-    tier, mostly the largest, are not moved. All rows of a tier stay, duplicates too.
+
+def cascade(notices: DataFrame, *sources: Source, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Rows of each notice's first source that has any, with ``tier`` counted from 1.
+
+    A source is a frame, or a function of the notices that are left that gives their rows. Each is
+    evaluated once, for the notices the sources before it left without rows, and kept (written to
+    the shared folder, unless ``keep`` says otherwise). All rows of a tier stay, duplicates too.
     """
-    kept = [tiers[0].withColumn("tier", F.lit(1))]
-    solved = tiers[0].select(KEY)
-    for number, rows in enumerate(tiers[1:], 2):
-        kept.append(rows.join(solved.distinct(), KEY, "left_anti").withColumn("tier", F.lit(number)))
-        solved = solved.unionByName(rows.select(KEY))
-    return reduce(DataFrame.unionByName, kept)
+    keep = keep or cut_lineage
+    left, found = notices, []
+    for tier, source in enumerate(sources, 1):
+        rows = source(left) if callable(source) else source.join(left.select(KEY).distinct(), KEY, "left_semi")
+        found.append(keep(rows))
+        left = unsolved(left, found[-1])
+    return reduce(DataFrame.unionByName, [rows.withColumn("tier", F.lit(tier)) for tier, rows in enumerate(found, 1)])
 
 
 def unsolved(notices: DataFrame, *solved: DataFrame) -> DataFrame:
@@ -35,22 +40,11 @@ def unsolved(notices: DataFrame, *solved: DataFrame) -> DataFrame:
     return notices
 
 
-def rescue_text(c: Column) -> Column:
-    """The part of a text that is sent to a model."""
-    return F.substring(c, 1, P.RESCUE_CHARS)
-
-
-def rescue_queue(texts: DataFrame, solved: DataFrame) -> DataFrame:
-    """Non-blank attachment texts of notices without rule-based items, capped for the model."""
-    return (
-        unsolved(texts, solved)
-        .where(strip(F.col("text")) != "")
-        .withColumn("text", rescue_text(F.col("text")))
-    )
-
-
-def first_nonempty(rows: DataFrame, keys: Sequence[str] = (KEY,), pos: str = "att_pos") -> DataFrame:
-    """Rows of the first position that has any, per key."""
+def first_nonempty(
+    rows: DataFrame, keys: Sequence[str] = (KEY,), pos: str = "att_pos", keep: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Rows of the first position that has any, per key. The rows are evaluated once and kept."""
+    rows = (keep or cut_lineage)(rows)
     first = rows.groupBy(*keys).agg(F.min(pos).alias(pos))
     return rows.join(first, [*keys, pos], "left_semi")
 

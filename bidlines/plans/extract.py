@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.answers import parse_rescue_answers
+from ..functions import patterns as P
 from ..operators.attachments import (
     REF,
     attachment_failures,
@@ -18,27 +18,29 @@ from ..operators.attachments import (
     resolve_attachments,
     usable,
 )
-from ..operators.cascade import first_nonempty, pending, unsolved
+from ..operators.cascade import cascade, pending, unsolved
 from ..operators.items import clean_items, parse_notice_items
 from ..operators.nesting import nest_notices
 from ..operators.pages import parse_paged_attachments
 from ..operators.quality import reject_reasons, valid_notice
+from ..operators.rescue import PIECE, rescue_queue, rescued_items, unanswered
 from ..schemas import ITEM_FIELDS, NOTICE_FIELDS
 from ..sources.files import read_file_index
 from ..sources.notices import explode_attachments, notice_header, read_notices
-from ..sources.results import RUN, read_checkpoint, read_table, write_failures, write_results
+from ..sources.results import RUN, read_checkpoint, read_table, with_earlier_rows, write_results
 from ..sources.shared import cut_lineage
 
-ITEMS, NOTICES, FAILURES, REJECTS = "itens", "licitacoes", "falhas", "rejeitados"
+ITEMS, NOTICES, FAILURES, REJECTS, QUEUE = "itens", "licitacoes", "falhas", "rejeitados", "fila"
 
 
 class Extraction(NamedTuple):
-    """Flat items (with ``tier``), nested result rows, attachment failures, refused notices."""
+    """Flat items (with ``tier``), nested result rows, attachment failures, refused notices, pieces to be asked about."""
 
     items: DataFrame
     notices: DataFrame
     failures: DataFrame
     rejects: DataFrame
+    queue: DataFrame | None = None
 
 
 def extract(
@@ -48,12 +50,19 @@ def extract(
     answers: DataFrame,
     root: str = "downloads",
     keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    texts: DataFrame | None = None,
+    piece_chars: int = P.RESCUE_CHARS,
 ) -> Extraction:
     """Plan the extraction for a set of notices.
 
     ``files`` is a file index, or a function that lists the folders of the frame it is given.
     A source is parsed only for notices that the sources before it left without items. ``keep``
     is applied to what several branches read: pass ``cut_lineage`` to parse it only once.
+
+    ``answers`` may name the piece of the text they are to in ``trecho``. With ``texts`` (the
+    Markdown of attachments: ``arquivo_json, att_pos, text``), the pieces of usable attachments that
+    no answer row is there for are the ``queue``, and their notices have no result before all
+    their pieces are answered.
     """
     header = notice_header(notices)
     readable = header.where(F.size("ilegivel") == 0)
@@ -77,38 +86,54 @@ def extract(
     pdf_refs = pdf.select(*REF).join(wanted, "arquivo_json", "left_semi")
     pdf_pages = keep(pages.join(pdf_refs, list(REF), "left_semi"))
     fields = ("arquivo_json", "att_pos", "block_pos", *ITEM_FIELDS)
-    tier1 = keep(clean_items(parse_paged_attachments(pdf_pages, REF)).select(*fields))
-
-    asked = unsolved(answers.join(opened.select(*REF), list(REF), "left_semi"), tier1).join(
-        wanted, "arquivo_json", "left_semi"
-    )
-    tier2 = keep(clean_items(first_nonempty(parse_rescue_answers(asked, REF))).select(*fields))
-
-    left = unsolved(writable, tier1, tier2)
-    tier3 = parse_notice_items(left, ["arquivo_json"]).withColumn("att_pos", F.lit(0)).select(*fields)
 
-    items = keep(
-        tier1.withColumn("tier", F.lit(1))
-        .unionByName(tier2.withColumn("tier", F.lit(2)))
-        .unionByName(tier3.withColumn("tier", F.lit(3)))
-    )
+    def from_pages(left: DataFrame) -> DataFrame:
+        return clean_items(parse_paged_attachments(pdf_pages, REF)).select(*fields)
+
+    def from_answers(left: DataFrame) -> DataFrame:
+        asked = answers.join(opened.select(*REF), list(REF), "left_semi").join(left.select("arquivo_json"), "arquivo_json", "left_semi")
+        return clean_items(rescued_items(asked, REF, keep)).select(*fields)
+
+    def from_notice(left: DataFrame) -> DataFrame:
+        return parse_notice_items(left, ["arquivo_json"]).withColumn("att_pos", F.lit(0)).select(*fields)
+
+    queue = None
+    if texts is not None:
+        solved = keep(from_pages(writable))
+        usable_texts = texts.join(opened.select(*REF), list(REF), "left_semi").join(wanted, "arquivo_json", "left_semi")
+        queue = keep(unanswered(rescue_queue(usable_texts, solved, size=piece_chars), answers, REF))
+        writable = unsolved(writable, queue)
+        tier1 = solved
+    else:
+        tier1 = from_pages
+    items = keep(cascade(writable, tier1, from_answers, from_notice, keep=keep))
     return Extraction(
         items=items,
         notices=nest_notices(writable, processed_attachments(resolved), items),
         failures=attachment_failures(resolved, root),
         rejects=refused.select(*NOTICE_FIELDS, "motivos"),
+        queue=queue if queue is None else queue.select(*REF, PIECE, "text"),
     )
 
 
-def write_extraction(result: Extraction, out: str, run: str, reset: bool = False, anew: bool = False) -> None:
-    """Write the four tables of a run. The notice table comes last: it is what marks notices as done.
+def write_extraction(
+    result: Extraction, out: str, run: str, reset: bool = False, anew: bool = False, again: DataFrame | None = None
+) -> None:
+    """Write the tables of a run. The notice table comes last: it is what marks notices as done.
 
-    ``reset`` drops earlier results; earlier failures and refusals go only with ``anew``.
+    ``reset`` drops earlier results; earlier failures and refusals go only with ``anew``. Where the
+    run has written before, ``again`` names the notices that are done again: rows of others stay.
     """
-    write_results(result.items, f"{out}/{ITEMS}", run, reset)
-    write_failures(result.failures, f"{out}/{FAILURES}", run, anew)
-    write_results(result.rejects, f"{out}/{REJECTS}", run, anew)
-    write_results(result.notices, f"{out}/{NOTICES}", run, reset)
+    def rows(name: str, df: DataFrame, drop: bool) -> DataFrame:
+        return df if again is None or drop else with_earlier_rows(df, f"{out}/{name}", run, again)
+
+    write_results(rows(ITEMS, result.items, reset), f"{out}/{ITEMS}", run, reset)
+    failures = result.failures.select(F.current_timestamp().alias("ts"), "arquivo_json", "anexo", "motivo")
+    write_results(rows(FAILURES, failures, anew), f"{out}/{FAILURES}", run, anew)
+    write_results(rows(REJECTS, result.rejects, anew), f"{out}/{REJECTS}", run, anew)
+    if result.queue is not None:
+        write_results(result.queue, f"{out}/{QUEUE}", run, reset)
+    write_results(rows(NOTICES, result.notices, reset), f"{out}/{NOTICES}", run, reset)
 
 
 def read_items(spark: SparkSession, out: str, schema: str) -> DataFrame | None:
@@ -131,19 +156,26 @@ def run_batch(
     resume: bool = True,
     bundled: bool = False,
     files: DataFrame | None = None,
+    texts: DataFrame | None = None,
+    piece_chars: int = P.RESCUE_CHARS,
 ) -> None:
     """Process the notices that have no result yet; refused ones are tried again on every run.
 
     The folders under ``files_root`` are listed unless a file index is given as ``files``.
     ``resume=False`` drops earlier results, failures and refusals. An earlier result table with an
     invalid row in it drops the results only, as its notices are then all processed again. A run
-    name used before does that run's notices again together with new ones.
+    name used before does that run's notices again together with new ones; what it had written
+    about notices that are no longer in the folder stays.
+
+    With ``texts`` the run also writes the queue of pieces to be asked about, and leaves their notices
+    to a later run that has the answers.
     """
     done = read_checkpoint(spark, f"{out}/{NOTICES}", run_column=True)
     reset = not resume or done.isEmpty()
     notices = read_notices(spark, notices_path, bundled)
     if not reset:
         notices = pending(notices, done.where(F.col(RUN) != run))
+    again = cut_lineage(notices.select("arquivo_json").distinct())
     index = files if files is not None else partial(read_file_index, spark, files_root)
-    result = extract(notices, index, pages, answers, files_root, keep=cut_lineage)
-    write_extraction(result, out, run, reset, anew=not resume)
+    result = extract(notices, index, pages, answers, files_root, cut_lineage, texts, piece_chars)
+    write_extraction(result, out, run, reset, anew=not resume, again=again)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import valid_notice
 from ..schemas import PROCESSED_NOTICE
+from .shared import cut_lineage
 
 
 RUN = "execucao"
@@ -28,6 +29,19 @@ def write_results(df: DataFrame, path: str, run: str, reset: bool = False) -> No
     )
 
 
+def with_earlier_rows(df: DataFrame, path: str, run: str, again: DataFrame) -> DataFrame:
+    """Rows to be written for a run, with those it wrote before about notices that are not done ``again``.
+
+    The earlier rows are set aside first, as writing replaces the run's partition.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    earlier = read_table(df.sparkSession, path, f"{schema}, {RUN} string")
+    if earlier is None:
+        return df
+    mine = earlier.where(F.col(RUN) == run).drop(RUN)
+    return df.unionByName(cut_lineage(mine.join(again.select("arquivo_json"), "arquivo_json", "left_anti")))
+
+
 def write_failures(df: DataFrame, path: str, run: str, reset: bool = False) -> None:
     """Write failure rows ``arquivo_json, anexo, motivo``, stamped with the time of writing."""
     stamped = df.select(F.current_timestamp().alias("ts"), "arquivo_json", "anexo", "motivo")

@@ -166,6 +166,14 @@ def test_used_run_name_keeps_its_notices(spark, folder, pages, answers, tmp_path
     run_batch(spark, str(kept), str(folder), pages, answers, out, "r1")
     done = spark.read.parquet(f"{out}/licitacoes")
     assert sorted(r["arquivo_json"] for r in done.collect()) == ["a.json", "c.json"]
+    # What the run wrote about notices that left the folder stays; the others are done again.
+    failures, refusals = (spark.read.parquet(f"{out}/{t}").count() for t in ("falhas", "rejeitados"))
+    (kept / "a.json").unlink()
+    (kept / "h.json").unlink()
+    run_batch(spark, str(kept), str(folder), pages, answers, out, "r1")
+    assert sorted(r["arquivo_json"] for r in spark.read.parquet(f"{out}/licitacoes").collect()) == ["a.json", "c.json"]
+    assert {r["arquivo_json"] for r in spark.read.parquet(f"{out}/itens").collect()} == {"a.json", "c.json"}
+    assert (failures, refusals) == tuple(spark.read.parquet(f"{out}/{t}").count() for t in ("falhas", "rejeitados")) and refusals == 1
 
 
 def test_void_checkpoint_keeps_failures_and_refusals(spark, folder, pages, answers, tmp_path):

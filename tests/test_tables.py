@@ -15,7 +15,7 @@ from bidlines.operators.attachments import (
     resolve_attachments,
 )
 from bidlines.operators.calls import rate_limit_streaks
-from bidlines.operators.cascade import cascade, first_nonempty, pending, rescue_queue, tier_coverage
+from bidlines.operators.cascade import cascade, first_nonempty, pending, tier_coverage
 from bidlines.operators.nesting import nest_items, nest_notices
 from bidlines.operators.ordered import dense_positions, numbered, running_totals, task_of
 from bidlines.operators.quality import rejects, validation_summary
@@ -26,6 +26,7 @@ from bidlines.operators.render import (
     table_to_markdown,
     text_docs_to_text,
 )
+from bidlines.operators.rescue import cut_text, rescue_pieces, rescue_queue, rescued_items, unanswered
 from bidlines.operators.scoring import accuracy_summary, align_items, compare_items, dedupe_last, item_rows
 from bidlines.plans.evaluate import evaluate, evaluate_items
 from bidlines.schemas import PROCESSED_NOTICE
@@ -112,9 +113,16 @@ def test_cascade_and_coverage(spark, rows):
     def tier(*names):
         return spark.createDataFrame([(n, i) for i, n in enumerate(names)], "arquivo_json string, block_pos int")
 
-    items = cascade(tier("a", "a"), tier("a", "b"), tier("a", "b", "c", "c"))
-    assert rows(items, "arquivo_json", "tier") == [("a", 1), ("a", 1), ("b", 2), ("c", 3), ("c", 3)]
     notices = spark.createDataFrame([(n,) for n in "abcd"], "arquivo_json string")
+    asked = []
+
+    def last(left):
+        asked.append(rows(left))
+        return tier("a", "b", "c", "c").join(left, "arquivo_json", "left_semi")
+
+    items = cascade(notices, tier("a", "a", "x"), tier("a", "b"), last)
+    assert rows(items, "arquivo_json", "tier") == [("a", 1), ("a", 1), ("b", 2), ("c", 3), ("c", 3)]
+    assert asked == [[("c",), ("d",)]]  # a later source is asked for what is left only
     assert rows(tier_coverage(items, notices)) == [
         (0, 1, 0, 25.0), (1, 1, 2, 25.0), (2, 1, 1, 25.0), (3, 1, 2, 25.0)
     ]
@@ -122,12 +130,45 @@ def test_cascade_and_coverage(spark, rows):
 
 
 def test_rescue_queue(spark, rows):
+    long = "é" * 130_000 + "\n" + "fim"
     texts = spark.createDataFrame(
-        [("a", "x"), ("b", " \t\n"), ("c", "é" * 130_000), ("d", "y")], "arquivo_json string, text string"
+        [("a", "x"), ("b", " \t\n"), ("c", long), ("d", "y"), ("e", None)], "arquivo_json string, text string"
     )
     solved = spark.createDataFrame([("a",), ("a",)], "arquivo_json string")
-    got = rows(rescue_queue(texts, solved).select("arquivo_json", F.length("text")))
-    assert got == [("c", 120_000), ("d", 1)]
+    queue = rescue_queue(texts, solved)
+    assert rows(queue.select("arquivo_json", "trecho", F.length("text"))) == [("c", 0, 120_000), ("c", 1, 10_004), ("d", 0, 1)]
+    assert "".join(r["text"] for r in queue.where("arquivo_json = 'c'").orderBy("trecho").collect()) == long
+    answers = spark.createDataFrame([("c", None, None), ("d", 1, "x")], "arquivo_json string, trecho int, raw string")
+    assert rows(unanswered(queue, answers, ["arquivo_json"]), "arquivo_json", "trecho") == [("c", 1), ("d", 0)]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 50])
+def test_pieces_lose_nothing(spark, size):
+    rng = random.Random(size)
+    texts = ["".join(rng.choice("ab é🙂\n\r") for _ in range(rng.randrange(0, 40))) for _ in range(60)] + ["\n" * 9, "x" * 9, "\n", ""]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    for k, pieces in df.select("k", cut_text(F.col("t"), size)).collect():
+        assert "".join(pieces) == texts[k] and all(0 < len(p) <= size for p in pieces)
+        for piece, after in zip(pieces, pieces[1:]):
+            assert piece.endswith("\n") or "\n" not in piece and len(piece) == size
+            assert len(piece) + len(after) > size or "\n" in after or len(after) == size or after == pieces[-1]
+    parts = spark.createDataFrame([("a", 1, "c\nd"), ("a", 0, "a\nb")], "k string, part_no int, text string")
+    found = rescue_pieces(parts, 2).orderBy("trecho").collect()
+    assert "".join(r["text"] for r in found) == "a\nbc\nd"
+
+
+def test_answers_to_pieces_are_one_list(spark, rows):
+    def said(*items):
+        return json.dumps([{"item": i, "objeto": f"o{i}", "quantidade": 1, "unidade_fornecimento": "UN"} for i in items])
+
+    answers = spark.createDataFrame(
+        [("a", 0, 0, said()), ("a", 1, 2, said(1)), ("a", 1, 0, said(5, 3)), ("a", 1, 1, said(0)), ("a", 1, 10, said(2)), ("a", 2, 0, said(9)), ("b", 0, None, said(4)), ("c", 0, 0, None)],
+        "arquivo_json string, att_pos int, trecho bigint, raw string",
+    )
+    items = rescued_items(answers, ["arquivo_json", "att_pos"]).orderBy("arquivo_json", "block_pos").collect()
+    assert [(r["arquivo_json"], r["item"]) for r in items] == [("a", 5), ("a", 3), ("a", 1), ("a", 2), ("b", 4)]
+    whole = rescued_items(answers.drop("trecho").where("att_pos = 2"), ["arquivo_json", "att_pos"])
+    assert rows(whole, "item", "block_pos") == [(9, 0)]
 
 
 def test_first_nonempty(spark, rows):
