@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.names import base_name, file_stem, is_relevant_attachment
+from ..sources.shared import cut_lineage
 
 REF = ("arquivo_json", "att_pos")
+#: Characters of a gram that file names are indexed by.
+GRAM = 3
 
 
 def relevant_attachments(refs: DataFrame) -> DataFrame:
@@ -27,30 +30,39 @@ def _by_exact_name(refs: DataFrame, files: DataFrame) -> DataFrame:
     return found.groupBy(*REF).agg(F.min(F.struct("rank", "file_name", "path", "length")).alias("file"))
 
 
+def grams(c: Column, size: int = GRAM) -> Column:
+    """The different substrings of ``size`` characters of a text; none of a shorter one."""
+    starts = F.when(F.length(c) >= size, F.sequence(F.lit(1), F.length(c) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda at: F.substr(c, at, F.lit(size))))
+
+
 def _by_stem(refs: DataFrame, files: DataFrame) -> DataFrame:
     """Rank 3: first file by name whose lower-case name holds the lower-case stem of ``nome``.
 
     (A name equal but for case holds the stem too, so that needs no test of its own.)
-    Substring search without pairing every reference with every file of its folder: a file
-    gives its substrings of the lengths asked for in its folder, which are then matched
-    by equality, and each wanted stem keeps one file before references come in.
+    A folder's file names are indexed by their grams, of which only those that a stem asks for
+    are kept. A stem is looked up under its rarest gram alone, not at all if one of its grams is in
+    no name of the folder, and the names found are tested. Stems too short for a gram stand
+    under the empty one, as all names do. Each wanted stem keeps one file before references come in.
     """
     stem = F.lower(file_stem(F.col("nome")))
     asked = refs.select(*REF, "folder", stem.alias("stem")).where(F.col("stem") != "")
-    stems = asked.select("folder", "stem").distinct()
-    lengths = stems.groupBy("folder").agg(F.collect_set(F.length("stem")).alias("lengths"))
+    wanted = F.when(F.length("stem") < GRAM, F.array(F.lit(""))).otherwise(grams(F.col("stem")))
+    stems = asked.select("folder", "stem").distinct().select("folder", "stem", F.size(wanted).alias("n"), F.explode(wanted).alias("gram"))
     low = F.lower(F.col("file_name"))
-    sized = (
-        files.join(lengths, "folder")
-        .select("folder", "file_name", "path", "length", low.alias("low"), F.explode("lengths").alias("n"))
-        .where(F.col("n") <= F.length("low"))
-    )
-    starts = F.explode(F.sequence(F.lit(1), F.length("low") - F.col("n") + 1))
-    grams = sized.select("*", starts.alias("at")).select(
-        "folder", F.substring("low", F.col("at"), F.col("n")).alias("stem"), "file_name", "path", "length"
+    index = files.select("folder", "file_name", "path", "length", low.alias("low"), F.explode(F.concat(grams(low), F.array(F.lit("")))).alias("gram"))
+    index = cut_lineage(index.join(stems.select("folder", "gram").distinct(), ["folder", "gram"], "left_semi"))
+    counts = index.groupBy("folder", "gram").agg(F.count(F.lit(1)).alias("files"))
+    rarest = (
+        stems.join(counts, ["folder", "gram"])
+        .groupBy("folder", "stem", "n")
+        .agg(F.count(F.lit(1)).alias("found"), F.min(F.struct("files", "gram")).alias("rarest"))
+        .where("found = n")
+        .select("folder", "stem", F.col("rarest.gram").alias("gram"))
     )
     best = (
-        grams.join(stems, ["folder", "stem"], "left_semi")
+        index.join(rarest, ["folder", "gram"])
+        .where(F.contains("low", "stem"))
         .groupBy("folder", "stem")
         .agg(F.min(F.struct(F.lit(3).alias("rank"), "file_name", "path", "length")).alias("file"))
     )
@@ -63,7 +75,7 @@ def resolve_attachments(refs: DataFrame, files: DataFrame) -> DataFrame:
     ``pasta_existe`` tells whether the folder of an unresolved reference holds any file.
     """
     files = files.select("folder", "file_name", "path", "length")
-    exact = _by_exact_name(refs, files)
+    exact = cut_lineage(_by_exact_name(refs, files))
     open_refs = refs.join(exact, list(REF), "left_anti")
     by_stem = _by_stem(open_refs, files)
     found = exact.unionByName(by_stem)

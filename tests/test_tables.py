@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -104,6 +105,30 @@ def test_resolution_by_stem_equals_brute_force(spark, rows):
     assert got == sorted(((i, brute(f, n)) for _, i, f, n, _ in refs), key=repr)
 
 
+def test_stems_equal_a_search_of_all_names(spark, rows):
+    rng = random.Random(8)
+    letters = "abÁ é_1🙂"
+    names = [("".join(rng.choice(letters) for _ in range(rng.randrange(1, 14))) + rng.choice([".pdf", ".PDF", ".odt", ""])) for _ in range(150)]
+    files = [(f"f{rng.randrange(3)}", n) for n in names] + [("f0", "abababab.pdf"), ("f0", None)]
+    index = spark.createDataFrame(
+        [(f, n, f"/{f}/{k}", k % 3) for k, (f, n) in enumerate(dict.fromkeys(files))], FILES)
+    refs = []
+    for k in range(200):
+        base = rng.choice(names)
+        at = rng.randrange(len(base))
+        wanted = base[at : at + rng.randrange(1, 8)] if k % 2 else "".join(rng.choice(letters) for _ in range(rng.randrange(1, 5)))
+        refs.append(("n", k, f"f{rng.randrange(4)}", wanted + rng.choice([".pdf", ""]), None))
+    refs.append(("n", 999, "f0", "ababab.pdf", None))
+    got = {r["att_pos"]: (r["rank"], r["file_name"]) for r in resolve_attachments(spark.createDataFrame(refs, REFS), index).collect()}
+    by_folder = {f: sorted(n for g, n in files if g == f and n is not None) for f in ("f0", "f1", "f2", "f3")}
+    for _, k, folder, nome, _ in refs:
+        stem = re.sub(r"(?<=[^/])\.[^./]+$", "", nome).lower()
+        exact = nome if nome in by_folder[folder] else None
+        held = [n for n in by_folder[folder] if stem and stem in n.lower()]
+        assert got[k] == ((2, exact) if exact else (3, held[0]) if held else (None, None)), (nome, folder)
+    assert len({v[0] for v in got.values()}) == 3
+
+
 def test_relevant(spark, rows):
     refs = spark.createDataFrame([("edital.pdf",), ("foto.png",), ("contrato.pdf",)], "nome string")
     assert rows(relevant_attachments(refs)) == [("edital.pdf",)]
