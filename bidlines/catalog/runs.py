@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ..operators.cascade import pending
 from ..operators.quality import rejects
-from ..plans.extract import NOTICES, QUEUE, run_batch
-from ..schemas import PROCESSED_NOTICE
+from ..plans.extract import MANIFEST, NOTICES, QUEUE, read_finished, run_batch
+from ..schemas import ANSWERS, ITEM, PAGES, PROCESSED_NOTICE
 from ..sources.files import read_file_index
+from ..sources.layout import by_notice, write_by_notice
 from ..sources.notices import explode_attachments, notice_header, read_notices
-from ..sources.results import RUN, read_checkpoint, read_table, write_failures, write_results
+from ..sources.results import RUN, export_json, read_checkpoint, read_export, read_table, write_failures, write_manifest, write_results
 from ..sources.shared import new_path
 from ..streaming.incremental import run_incremental
 from .registry import Tables, big, query, text
@@ -141,7 +142,7 @@ def run_inputs(t: Tables) -> dict[str, DataFrame]:
 
 
 def _items_written(t: Tables, out: str) -> DataFrame:
-    results = read_table(t.spark, f"{out}/{NOTICES}", PROCESSED_NOTICE)
+    results = read_finished(t.spark, out, NOTICES, PROCESSED_NOTICE)
     return results.select("arquivo_json", F.inline("itens_extraidos"))
 
 
@@ -156,9 +157,14 @@ def batch_run(t: Tables) -> DataFrame:
 
 @query(RUN_SQL)
 def incremental_run(t: Tables) -> DataFrame:
-    """ST1: the same as a stream of files."""
+    """ST1: the same as a stream of files, with pages and answers laid out by notice."""
     notices, out, ckpt = write_order_notices(t), new_path(t.spark, "out"), new_path(t.spark, "stream")
-    run_incremental(t.spark, notices, None, out=out, checkpoint=ckpt, bundled=True, **run_inputs(t)).awaitTermination()
+    inputs = run_inputs(t)
+    for name, schema in (("pages", PAGES), ("answers", ANSWERS)):
+        path = new_path(t.spark, name)
+        write_by_notice(inputs[name], path, buckets=8)
+        inputs[name] = by_notice(t.spark, path, schema, buckets=8)
+    run_incremental(t.spark, notices, None, out=out, checkpoint=ckpt, bundled=True, **inputs).awaitTermination()
     return _items_written(t, out)
 
 
@@ -214,6 +220,25 @@ def replayed_run(t: Tables) -> DataFrame:
     return _items_written(t, out).groupBy("arquivo_json").agg(F.count("*").alias("itens"))
 
 
+@query(
+    """
+    SELECT o_orderkey || '.json' AS arquivo_json, 'r2' AS execucao FROM orders WHERE o_orderkey % 6 > 0
+    """
+)
+def void_checkpoint(t: Tables) -> DataFrame:
+    """SC9: one invalid row among the results, and the next run does all notices again and drops what was there."""
+    notices, out = write_order_notices(t), new_path(t.spark, "out")
+    none = {name: df.limit(0) for name, df in run_inputs(t).items()}
+    bad = t.orders.select(F.min("o_orderkey").alias("k")).select(
+        text(F.col("k"), ".json").alias("arquivo_json"), F.lit("PE").alias("numero_pregao"), F.lit("o").alias("orgao"), F.lit("c").alias("cidade"),
+        F.lit("pr").alias("estado"), F.array().cast("array<string>").alias("anexos_processados"), F.array().cast(f"array<{ITEM}>").alias("itens_extraidos"),
+    )
+    write_results(bad.withColumn("parte", F.lit(0).cast("bigint")), f"{out}/{NOTICES}", "r1")
+    write_manifest(t.spark, f"{out}/{NOTICES}", f"{out}/{MANIFEST}", "r1")
+    run_batch(t.spark, notices, "downloads", out=out, run="r2", bundled=True, **none)
+    return read_table(t.spark, f"{out}/{NOTICES}", f"arquivo_json string, {RUN} string")
+
+
 @query(
     """
     SELECT c_custkey AS arquivo_json FROM customer
@@ -230,6 +255,19 @@ def checkpoint_read(t: Tables) -> DataFrame:
     return pending(notices.select("arquivo_json"), read_checkpoint(t.spark, path)).select(big("arquivo_json").alias("arquivo_json"))
 
 
+@query(
+    """
+    SELECT CAST(row_number() OVER (ORDER BY c_name || c_custkey) - 1 AS BIGINT) AS pos, c_name || c_custkey AS arquivo_json FROM customer
+    """
+)
+def ordered_export(t: Tables) -> DataFrame:
+    """SO1: results exported as JSON lines by file name and read back in the order of their files."""
+    path = new_path(t.spark, "export")
+    notices = t.customer.select(text(F.col("c_name"), F.col("c_custkey")).alias("arquivo_json"), F.lit(None).cast("string").alias("orgao"))
+    export_json(notices, path)
+    return read_export(t.spark, path, "arquivo_json string, orgao string").select("pos", "arquivo_json")
+
+
 @query(
     """
     SELECT user_id || '.json' AS arquivo_json, 'anexo_' || event_id AS anexo, 'r3' AS execucao FROM events WHERE event_type = 'error'

@@ -27,10 +27,14 @@ from ..operators.rescue import PIECE, rescue_queue, rescued_items, unanswered
 from ..schemas import ITEM_FIELDS, NOTICE_FIELDS
 from ..sources.files import read_file_index
 from ..sources.notices import explode_attachments, notice_header, read_notices
-from ..sources.results import RUN, read_checkpoint, read_table, with_earlier_rows, write_results
+from ..sources.results import RUN, read_checkpoint, read_manifest, read_table, with_earlier_rows, write_manifest, write_results
 from ..sources.shared import cut_lineage
 
-ITEMS, NOTICES, FAILURES, REJECTS, QUEUE = "itens", "licitacoes", "falhas", "rejeitados", "fila"
+ITEMS, NOTICES, FAILURES, REJECTS, QUEUE, MANIFEST = "itens", "licitacoes", "falhas", "rejeitados", "fila", "manifesto"
+
+
+#: A table, or a function that gives its rows for a frame of notices (``sources.layout.by_notice``).
+Table = DataFrame | Callable[[DataFrame], DataFrame]
 
 
 class Extraction(NamedTuple):
@@ -46,8 +50,8 @@ class Extraction(NamedTuple):
 def extract(
     notices: DataFrame,
     files: DataFrame | Callable[[DataFrame], DataFrame],
-    pages: DataFrame,
-    answers: DataFrame,
+    pages: Table,
+    answers: Table,
     root: str = "downloads",
     keep: Callable[[DataFrame], DataFrame] = lambda df: df,
     texts: DataFrame | None = None,
@@ -55,7 +59,8 @@ def extract(
 ) -> Extraction:
     """Plan the extraction for a set of notices.
 
-    ``files`` is a file index, or a function that lists the folders of the frame it is given.
+    ``files`` is a file index, or a function that lists the folders of the frame it is given;
+    ``pages`` and ``answers`` are tables, or functions that read them for the notices they are given.
     A source is parsed only for notices that the sources before it left without items. ``keep``
     is applied to what several branches read: pass ``cut_lineage`` to parse it only once.
 
@@ -84,6 +89,8 @@ def extract(
     wanted = writable.select("arquivo_json")
     # The parser reads the pages several times; this way they are picked and moved only once.
     pdf_refs = pdf.select(*REF).join(wanted, "arquivo_json", "left_semi")
+    pages = pages(pdf_refs) if callable(pages) else pages
+    answers = answers(opened) if callable(answers) else answers
     pdf_pages = keep(pages.join(pdf_refs, list(REF), "left_semi"))
     fields = ("arquivo_json", "att_pos", "block_pos", *ITEM_FIELDS)
 
@@ -119,7 +126,7 @@ def extract(
 def write_extraction(
     result: Extraction, out: str, run: str, reset: bool = False, anew: bool = False, again: DataFrame | None = None
 ) -> None:
-    """Write the tables of a run. The notice table comes last: it is what marks notices as done.
+    """Write the tables of a run. The manifest comes last: it is what marks notices as done.
 
     ``reset`` drops earlier results; earlier failures and refusals go only with ``anew``. Where the
     run has written before, ``again`` names the notices that are done again: rows of others stay.
@@ -134,23 +141,29 @@ def write_extraction(
     if result.queue is not None:
         write_results(result.queue, f"{out}/{QUEUE}", run, reset)
     write_results(rows(NOTICES, result.notices, reset), f"{out}/{NOTICES}", run, reset)
+    write_manifest(result.items.sparkSession, f"{out}/{NOTICES}", f"{out}/{MANIFEST}", run, reset)
+
+
+def done_before(spark: SparkSession, out: str) -> DataFrame:
+    """``arquivo_json, execucao`` of the notices that have a result. Results from before there was a manifest are validated once."""
+    done = read_manifest(spark, f"{out}/{MANIFEST}")
+    if done is not None:
+        return done
+    return read_checkpoint(spark, f"{out}/{NOTICES}", run_column=True).select("arquivo_json", RUN)
 
 
-def read_items(spark: SparkSession, out: str, schema: str) -> DataFrame | None:
-    """Flat items of the runs that were finished."""
-    items = read_table(spark, f"{out}/{ITEMS}", f"{schema}, execucao string")
-    if items is None:
-        return None
-    finished = spark.read.parquet(f"{out}/{NOTICES}").select("arquivo_json", F.col("execucao").cast("string"))
-    return items.join(finished.distinct(), ["arquivo_json", "execucao"], "left_semi")
+def read_finished(spark: SparkSession, out: str, name: str, schema: str) -> DataFrame | None:
+    """The rows of a result table that finished runs have written; null if there is no such table."""
+    rows = read_table(spark, f"{out}/{name}", f"{schema}, {RUN} string")
+    return None if rows is None else rows.join(done_before(spark, out), ["arquivo_json", RUN], "left_semi")
 
 
 def run_batch(
     spark: SparkSession,
     notices_path: str,
     files_root: str,
-    pages: DataFrame,
-    answers: DataFrame,
+    pages: Table,
+    answers: Table,
     out: str,
     run: str,
     resume: bool = True,
@@ -162,15 +175,15 @@ def run_batch(
     """Process the notices that have no result yet; refused ones are tried again on every run.
 
     The folders under ``files_root`` are listed unless a file index is given as ``files``.
-    ``resume=False`` drops earlier results, failures and refusals. An earlier result table with an
-    invalid row in it drops the results only, as its notices are then all processed again. A run
+    ``resume=False`` drops earlier results, failures and refusals. An invalid row among the results,
+    which the manifest tells, drops the results only, as its notices are then all processed again. A run
     name used before does that run's notices again together with new ones; what it had written
     about notices that are no longer in the folder stays.
 
     With ``texts`` the run also writes the queue of pieces to be asked about, and leaves their notices
     to a later run that has the answers.
     """
-    done = read_checkpoint(spark, f"{out}/{NOTICES}", run_column=True)
+    done = done_before(spark, out)
     reset = not resume or done.isEmpty()
     notices = read_notices(spark, notices_path, bundled)
     if not reset:

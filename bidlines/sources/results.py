@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import dense_positions
 from ..operators.quality import valid_notice
 from ..schemas import PROCESSED_NOTICE
 from .shared import cut_lineage
@@ -49,9 +50,20 @@ def write_failures(df: DataFrame, path: str, run: str, reset: bool = False) -> N
 
 
 def export_json(df: DataFrame, path: str, reset: bool = True) -> None:
-    """Result rows as JSON lines, nulls written, in file order by ``arquivo_json``."""
-    ordered = df.orderBy("arquivo_json")
-    ordered.write.mode("overwrite" if reset else "append").option("ignoreNullFields", "false").json(path)
+    """Result rows as JSON lines, nulls written, in order by ``arquivo_json`` (and ``parte``).
+
+    Rows are dealt out by range and the files are numbered in that order, so reading them one
+    after the other (``read_export``) gives the whole order.
+    """
+    order = [c for c in ("arquivo_json", "parte") if c in df.columns]
+    df.orderBy(*order).write.mode("overwrite" if reset else "append").option("ignoreNullFields", "false").json(path)
+
+
+def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """An export with ``pos``, the place of each row in it, by file and line."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    placed = dense_positions(lines, [], ["file", "block", "line"])
+    return placed.select("pos", F.from_json("value", schema).alias("v")).select("pos", "v.*")
 
 
 def failure_report_lines(df: DataFrame) -> DataFrame:
@@ -82,6 +94,28 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet"
         raise
 
 
+def write_manifest(spark: SparkSession, results: str, path: str, run: str, reset: bool = False) -> None:
+    """What a run has done: ``arquivo_json, valido`` for each notice it wrote under ``results``, in one row.
+
+    Written last, from what the run wrote and nothing older. A run without this has not ended.
+    """
+    written = spark.read.schema(f"{PROCESSED_NOTICE}, {RUN} string").parquet(results).where(F.col(RUN) == run)
+    done = written.groupBy("arquivo_json").agg(F.min(valid_notice()).alias("valido"))
+    write_results(done, path, run, reset)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """``arquivo_json, execucao`` of all notices done; null if there is no manifest, no rows if one of them is invalid.
+
+    That is what makes a checkpoint void, told from one small column instead of all results.
+    """
+    done = read_table(spark, path, f"arquivo_json string, valido boolean, {RUN} string")
+    if done is None:
+        return None
+    valid = done.where("NOT valido").isEmpty()
+    return done.select("arquivo_json", RUN) if valid else done.select("arquivo_json", RUN).limit(0)
+
+
 def read_checkpoint(spark: SparkSession, path: str, fmt: str = "parquet", run_column: bool = False) -> DataFrame:
     """Previous results, or no rows at all if there are none or if any row is invalid.
 

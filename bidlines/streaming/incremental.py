@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cascade import pending
-from ..plans.extract import NOTICES, extract, write_extraction
-from ..schemas import PROCESSED_NOTICE
+from ..plans.extract import MANIFEST, Table, extract, write_extraction
 from ..sources.files import read_file_index
 from ..sources.notices import stream_notices
-from ..sources.results import RUN, read_table
+from ..sources.results import RUN, read_manifest
 from ..sources.shared import cut_lineage
 
 
@@ -21,8 +20,8 @@ def run_incremental(
     spark: SparkSession,
     notices_path: str,
     files_root: str | None,
-    pages: DataFrame,
-    answers: DataFrame,
+    pages: Table,
+    answers: Table,
     out: str,
     checkpoint: str,
     files: DataFrame | None = None,
@@ -34,12 +33,13 @@ def run_incremental(
 
     A micro-batch writes under its own run name, so a batch that is repeated after a crash
     replaces what it had written. Notices with a result of another run are left alone.
-    Refused notices are in the reject table; ``run_batch`` on the same folder tries them again.
+    Give ``pages`` and ``answers`` as functions (``by_notice``), and a micro-batch reads only the
+    folders its notices lie in. Refused notices are in the reject table; ``run_batch`` on the same folder tries them again.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         run = f"{prefix}-{batch_id}"
-        done = read_table(batch.sparkSession, f"{out}/{NOTICES}", f"{PROCESSED_NOTICE}, {RUN} string")
+        done = read_manifest(batch.sparkSession, f"{out}/{MANIFEST}")
         notices = batch if done is None else pending(batch, done.where(F.col(RUN) != run))
         index = files if files is not None else partial(read_file_index, batch.sparkSession, files_root)
         result = extract(notices, index, pages, answers, files_root or "downloads", keep=cut_lineage)

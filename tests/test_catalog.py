@@ -14,7 +14,7 @@ from bidlines.catalog.registry import Tables
 from bidlines.operators.items import parse_notice_items
 
 SF = Path("/root/testdata/sf0.001")
-WRITING = ("notice_scan", "attachment_refs", "file_index", "batch_run", "incremental_run", "checkpoint_read", "reset_run", "rescue_run", "replayed_run")
+WRITING = ("notice_scan", "attachment_refs", "file_index", "batch_run", "incremental_run", "checkpoint_read", "reset_run", "rescue_run", "replayed_run", "void_checkpoint", "ordered_export")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="no driver tables here")
 
 

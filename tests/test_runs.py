@@ -1,13 +1,17 @@
 """Sources, sinks, the batch run with resume, and the stream."""
 
+import contextlib
+import io
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from bidlines.plans.extract import run_batch, read_items
+from bidlines.plans.extract import ITEMS, read_finished, run_batch
 from bidlines.schemas import ANSWERS, FAILURE, ITEM_ROWS, PAGES, PROCESSED_NOTICE
 from bidlines.sources.files import read_file_index
+from bidlines.sources.layout import by_notice, write_by_notice
 from bidlines.sources.notices import explode_attachments, notice_header, read_notices
 from bidlines.sources.results import (
     export_json,
@@ -16,6 +20,7 @@ from bidlines.sources.results import (
     read_table,
     write_failures,
     write_failure_report,
+    write_manifest,
     write_results,
 )
 from bidlines.sources.shared import cut_lineage, new_path, shared_dir
@@ -134,7 +139,7 @@ def test_batch_run(spark, rows, folder, pages, answers, tmp_path):
     refused = {r["arquivo_json"]: r["motivos"] for r in spark.read.parquet(f"{out}/rejeitados").collect()}
     assert sorted(refused) == ["e.json", "f.json", "g.json", "h.json", "j.json"]
     assert "arquivo: JSON inválido" in refused["h.json"]
-    items = read_items(spark, out, ITEM_ROWS)
+    items = read_finished(spark, out, ITEMS, ITEM_ROWS)
     assert rows(items.groupBy("tier").count()) == [(1, 1), (2, 1), (3, 2)]
 
     # A second run only takes what is new or was refused.
@@ -148,7 +153,7 @@ def test_batch_run(spark, rows, folder, pages, answers, tmp_path):
     # Writing a run again leaves nothing twice.
     run_batch(spark, str(folder), str(folder), pages, answers, out, "r3")
     assert table.count() == spark.read.parquet(f"{out}/licitacoes").count() == 7
-    assert read_items(spark, out, ITEM_ROWS).count() == 8
+    assert read_finished(spark, out, ITEMS, ITEM_ROWS).count() == 8
     # Reset drops earlier runs.
     run_batch(spark, str(folder), str(folder), pages, answers, out, "r4", resume=False)
     assert {r["execucao"] for r in spark.read.parquet(f"{out}/licitacoes").select("execucao").distinct().collect()} == {"r4"}
@@ -176,12 +181,32 @@ def test_used_run_name_keeps_its_notices(spark, folder, pages, answers, tmp_path
     assert (failures, refusals) == tuple(spark.read.parquet(f"{out}/{t}").count() for t in ("falhas", "rejeitados")) and refusals == 1
 
 
+def results_of_finished_runs(spark, out):
+    return {r["arquivo_json"] for r in read_finished(spark, out, "licitacoes", PROCESSED_NOTICE).collect()}
+
+
+def test_only_buckets_of_the_notices_are_read(spark, rows, pages, tmp_path):
+    many = pages.unionByName(spark.range(400).selectExpr("concat(id, '.json') AS arquivo_json", "0 AS att_pos", "1 AS page_no", "'x' AS text"))
+    write_by_notice(many, str(tmp_path / "p"), buckets=32)
+    wanted = spark.createDataFrame([("a.json",), ("zz.json",)], "arquivo_json string")
+    some = by_notice(spark, str(tmp_path / "p"), PAGES, buckets=32)(wanted)
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        some.explain()
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan.getvalue())[1]
+    assert "balde" in filters and filters.count(",") <= 3
+    keys = rows(some.join(wanted, "arquivo_json", "left_semi"), "arquivo_json", "att_pos", "page_no")
+    assert keys == [("a.json", 0, 1), ("a.json", 0, 2), ("a.json", 2, 1)]
+    assert some.count() < 60
+
+
 def test_void_checkpoint_keeps_failures_and_refusals(spark, folder, pages, answers, tmp_path):
     out = str(tmp_path / "out")
     run_batch(spark, str(folder), str(folder), pages, answers, out, "r1")
     before = {t: spark.read.parquet(f"{out}/{t}").count() for t in ("falhas", "rejeitados")}
     bad = spark.createDataFrame([(None, "1", "o", "c", "PR", [], [])], PROCESSED_NOTICE)
     write_results(bad, f"{out}/licitacoes", "bad")
+    assert results_of_finished_runs(spark, out) == set(EXPECTED)  # a run without a manifest has not ended
+    write_manifest(spark, f"{out}/licitacoes", f"{out}/manifesto", "bad")
     run_batch(spark, str(folder), str(folder), pages, answers, out, "r2")
     assert min(before.values()) > 0
     for t, n in before.items():
