@@ -24,6 +24,7 @@ from ..operators.answers import parse_rescue_answers
 from ..operators.groups import group_mapping
 from ..operators.items import parse_notice_items
 from ..operators.pages import join_pages, parse_attachment_items, parse_paged_attachments
+from ..sources.shared import cut_lineage
 from .registry import Tables, big, query, text
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -125,7 +126,7 @@ _ITEM = ("lote", "item", "objeto", "quantidade", "unidade_fornecimento")
 @query(ORDER_ITEMS)
 def attachment_items(t: Tables) -> DataFrame:
     """IT2-IT5, FI7, JO2, AG6 on attachments held page by page."""
-    return parse_paged_attachments(order_pages(t), ["o_orderkey"]).select("o_orderkey", *_ITEM)
+    return parse_paged_attachments(cut_lineage(order_pages(t)), ["o_orderkey"]).select("o_orderkey", *_ITEM)
 
 
 @query(ORDER_ITEMS)

@@ -13,6 +13,7 @@ from ..operators.calls import rate_limit_streaks as streaks
 from ..plans.evaluate import evaluate
 from ..schemas import ITEM
 from ..sources.results import failure_report_lines
+from ..sources.shared import cut_lineage
 from .items import CLASS_SQL, ERROR_SQL, ORDER_COLUMNS, call_error
 from .registry import Tables, big, query, text
 
@@ -77,7 +78,8 @@ RESOLVED_SQL = """
 
 
 def _resolved(t: Tables) -> DataFrame:
-    return A.resolve_attachments(order_refs(t), file_index_of(t))
+    # Written once, as a run does: references and files are read three times.
+    return A.resolve_attachments(cut_lineage(order_refs(t)), cut_lineage(file_index_of(t)))
 
 
 @query(RESOLVED_SQL + "SELECT arquivo_json, CAST(att_pos AS BIGINT) AS att_pos, CAST(rank AS BIGINT) AS rank, file_name, length FROM resolved")

@@ -48,9 +48,9 @@ def _by_stem(refs: DataFrame, files: DataFrame) -> DataFrame:
     stem = F.lower(file_stem(F.col("nome")))
     asked = refs.select(*REF, "folder", stem.alias("stem")).where(F.col("stem") != "")
     wanted = F.when(F.length("stem") < GRAM, F.array(F.lit(""))).otherwise(grams(F.col("stem")))
-    stems = asked.select("folder", "stem").distinct().select("folder", "stem", F.size(wanted).alias("n"), F.explode(wanted).alias("gram"))
+    stems = cut_lineage(asked.select("folder", "stem").distinct()).select("folder", "stem", F.size(wanted).alias("n"), F.explode(wanted).alias("gram"))
     low = F.lower(F.col("file_name"))
-    index = files.select("folder", "file_name", "path", "length", low.alias("low"), F.explode(F.concat(grams(low), F.array(F.lit("")))).alias("gram"))
+    index = files.join(stems.select("folder").distinct(), "folder", "left_semi").select("folder", "file_name", "path", "length", low.alias("low"), F.explode(F.concat(grams(low), F.array(F.lit("")))).alias("gram"))
     index = cut_lineage(index.join(stems.select("folder", "gram").distinct(), ["folder", "gram"], "left_semi"))
     counts = index.groupBy("folder", "gram").agg(F.count(F.lit(1)).alias("files"))
     rarest = (
