@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,9 +38,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and go on from there.
 
     It is computed once, later branches read only the columns they need, and nothing of it is
-    lost with an executor.
+    lost with an executor. The shuffle files it took are no longer needed then, and are deleted.
     """
     spark = df.sparkSession
     path = new_path(spark, "kept")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(kept: DataFrame) -> None:
+    """Delete what ``cut_lineage`` wrote for this frame, once no frame that reads it is needed any more."""
+    spark = kept.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in kept.inputFiles()}:
+        if not re.search(r"/kept-[0-9a-f]{32}$", folder):
+            raise ValueError(f"{folder} is not a folder of a kept frame")
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
