@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, fresh, query, table
+from .common import cut_lineage, discard, fresh, query, table
 
 SIMILAR = 0.8
 #: Counters of token frequency: a token's rarity is that of its counter. Their number is fixed.
@@ -16,25 +16,24 @@ _HASH_BITS = 56
 
 
 def _tokens(line: Column) -> Column:
-    return F.filter(F.split(line, " "), lambda t: t != "")
+    return F.array_remove(F.split(line, " "), "")
 
 
-def token_levels(docs: DataFrame, text: str = "text") -> bytes:
+def token_levels(docs: DataFrame, text: str = "text") -> list[int]:
     """Rarity of each counter by the tokens it has counted in all documents: quarters of the count's binary logarithm, 127 at most."""
-    tokens = docs.select(F.explode(F.split(F.col(text), "[ \n]")).alias("t")).where("t != ''")
+    tokens = docs.select(F.explode(F.split(text, "\n")).alias("l")).select(F.explode(F.split("l", " ")).alias("t")).where("t != ''")
     counted = tokens.groupBy(F.pmod(F.xxhash64("t"), F.lit(COUNTERS)).cast("int").alias("c")).count()
     n = {r["c"]: r["count"] for r in counted.collect()}  # as many rows as counters at most
-    return bytes(min(127, int(4 * math.log2(1 + n.get(c, 0)))) for c in range(COUNTERS))
+    return [min(127, int(4 * math.log2(1 + n.get(c, 0)))) for c in range(COUNTERS)]
 
 
-def _keys(tokens: Column, levels: Column) -> Column:
+def _keys(line: Column, levels: Column) -> Column:
     """Different tokens as numbers, the rarest first: the counter's level above 56 bits of the token's hash."""
-    def key(t: Column) -> Column:
-        h = F.xxhash64(t)
-        level = F.ascii(F.substring(levels, F.pmod(h, F.lit(COUNTERS)).cast("int") + 1, 1).cast("string"))
-        return F.shiftleft(level.cast("bigint"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
+    def key(h: Column) -> Column:
+        level = F.coalesce(F.element_at(levels, F.pmod(h, F.lit(COUNTERS)).cast("int") + 1), F.lit(0).cast("bigint"))
+        return F.shiftleft(level, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(tokens, key)))
+    return F.sort_array(F.transform(F.array_distinct(F.transform(_tokens(line), lambda t: F.xxhash64(t))), key))
 
 
 def _parity(keys: Column) -> Column:
@@ -59,17 +58,17 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     with the rest, so a large group of like lines does not meet in pairs. Every candidate is
     verified on the whole sets.
     """
-    levels = F.lit(token_levels(docs, text))
+    levels = F.split(F.lit(",".join(map(str, token_levels(docs, text)))), ",").cast("array<bigint>")
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
-    lines = rows.select("k", "h", F.posexplode(F.split("t", "\n")).alias("line", "l"))
-    sets = lines.select("k", "h", "line", _keys(_tokens(F.col("l")), levels).alias("keys")).where(F.size("keys") > 0)
+    # Texts in the order of places, so the numbers of their lines are in that order too.
+    lines = rows.orderBy(F.col("k").isNull(), "k", "h").select("k", "h", F.posexplode(F.split("t", "\n")).alias("line", "l"))
+    sets = lines.withColumn("id", F.monotonically_increasing_id()).where(F.trim("l") != "").select("id", "k", "h", "line", _keys(F.col("l"), levels).alias("keys"))
     n = F.size("keys")
     reach = n - F.ceil(n * similar - 1e-9).cast("int") + 1
-    place = F.struct(F.col("k").isNull().alias("z"), "k", "h", "line")
-    each = sets.select(F.xxhash64("keys").alias("s"), place.alias("at"), n.alias("n"), _parity(F.col("keys")).alias("u"), F.slice("keys", 1, reach).alias("prefix"))
-    # A set is known by a number that follows the order of the first places.
-    first = each.groupBy("s").agg(F.min(F.struct("at", "n", "u", "prefix")).alias("e")).select("e.at.*", "e.n", "e.u", "e.prefix")
-    first = cut_lineage(first.orderBy("z", "k", "h", "line").drop("z").withColumn("id", F.monotonically_increasing_id()))
+    known = [F.xxhash64("keys").alias("s"), n.alias("n"), _parity(F.col("keys")).alias("u"), F.slice("keys", 1, reach).alias("prefix")]
+    places = cut_lineage(sets.select("id", "k", "h", "line", *known))
+    # A set is known by the number of its first line.
+    first = cut_lineage(places.groupBy("s", "n", "u", "prefix").agg(F.min("id").alias("id")).drop("s"))
 
     def spread(of: DataFrame) -> DataFrame:
         return of.select("id", "n", "u", F.posexplode("prefix").alias("pos", "key"))
@@ -86,26 +85,31 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     pair = [F.col("a.id").alias("id"), F.col("b.id").alias("o"), F.col("a.n").alias("n"), F.col("b.n").alias("m")]
     # The same plan at every size.
     one = cut_lineage(words.alias("a").hint("merge").join(head.alias("b"), "key").where(may("a", "b")).select(*pair).distinct())
-    matched = cut_lineage(_verified(rows, first, one, similar, levels))
+    matched = _verified(rows, places, one, similar, levels)
     rest = spread(first.join(matched, "id", "left_anti"))
     two = rest.alias("a").hint("merge").join(words.alias("b"), "key").where(may("a", "b")).select(*pair).distinct()
     two = cut_lineage(two.join(one.select("id", "o"), ["id", "o"], "left_anti"))
-    matched = matched.unionByName(_verified(rows, first, two, similar, levels)).distinct()
-    kept = first.join(matched, "id", "left_anti")
-    return kept.groupBy("k", "h").agg(F.collect_set("line").alias("kept"))
+    more = _verified(rows, places, two, similar, levels)
+    kept = cut_lineage(first.select("id").join(matched.unionByName(more), "id", "left_anti"))
+    out = cut_lineage(places.select("id", "k", "h", "line").join(kept, "id").groupBy("k", "h").agg(F.collect_set("line").alias("kept")))
+    for read in (places, first, one, matched, two, more, kept):
+        discard(read)
+    return out
 
 
-def _verified(rows: DataFrame, first: DataFrame, pairs: DataFrame, similar: float, levels: Column) -> DataFrame:
+def _verified(rows: DataFrame, places: DataFrame, pairs: DataFrame, similar: float, levels: Column) -> DataFrame:
     """Sets ``id`` of the candidate pairs (id, o, n, m) that are as similar as asked, by their whole words."""
-    wanted = first.select("id", "k", "h", "line").join(pairs.select("id").union(pairs.select("o")).distinct(), "id")
+    wanted = places.select("id", "k", "h", "line").join(pairs.select("id").union(pairs.select("o")).distinct(), "id")
     of = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("id", "line")).alias("lines")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "lines")
     # Rows that repeat key and text are one document here.
-    texts = rows.join(of, (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
+    texts = rows.join(of.hint("shuffle_hash"), (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
     each = texts.select(F.split("t", "\n").alias("all"), F.explode("lines").alias("x")).select("x.id", F.element_at("all", F.col("x.line") + 1).alias("l"))
-    whole = cut_lineage(each.select("id", _keys(_tokens(F.col("l")), levels).alias("keys")).dropDuplicates(["id"]))
+    whole = cut_lineage(each.select("id", _keys(F.col("l"), levels).alias("keys")).dropDuplicates(["id"]))
     left, right = whole.withColumnRenamed("keys", "x"), whole.select(F.col("id").alias("o"), F.col("keys").alias("y"))
     both = pairs.join(left, "id").join(right, "o")
-    return both.where(F.size(F.array_intersect("x", "y")) >= _least_overlap(F.col("n"), F.col("m"), similar)).select("id").distinct()
+    found = cut_lineage(both.where(F.size(F.array_intersect("x", "y")) >= _least_overlap(F.col("n"), F.col("m"), similar)).select("id").distinct())
+    discard(whole)
+    return found
 
 
 def dedup_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", text: str = "text") -> DataFrame:
