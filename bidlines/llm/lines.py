@@ -66,9 +66,11 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     n = F.size("keys")
     reach = n - F.ceil(n * similar - 1e-9).cast("int") + 1
     known = [F.xxhash64("keys").alias("s"), n.alias("n"), _parity(F.col("keys")).alias("u"), F.slice("keys", 1, reach).alias("prefix")]
-    places = cut_lineage(sets.select("id", "k", "h", "line", *known))
+    every = cut_lineage(sets.select("id", "k", "h", "line", *known))
     # A set is known by the number of its first line.
-    first = cut_lineage(places.groupBy("s", "n", "u", "prefix").agg(F.min("id").alias("id")).drop("s"))
+    first = cut_lineage(every.groupBy("s", "n", "u", "prefix").agg(F.min("id").alias("id")).drop("s"))
+    places = cut_lineage(every.select("id", "k", "h", "line"))
+    discard(every)
 
     def spread(of: DataFrame) -> DataFrame:
         return of.select("id", "n", "u", F.posexplode("prefix").alias("pos", "key"))
@@ -81,18 +83,23 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
         return (F.col(f"{b}.id") < F.col(f"{a}.id")) & (apart <= x + y - 2 * least) & (F.least(x, y) >= F.greatest(x, y) * similar - 1e-9) & (left >= least)
 
     words = spread(first)
-    head = words.groupBy("key").agg(F.min(F.struct("id", "n", "pos", "u")).alias("e"), F.count("*").alias("c")).where("c > 1").select("key", "e.*")
+    head = words.groupBy("key").agg(F.min(F.struct("id", "n", "pos", "u")).alias("e"), F.count("*").alias("c")).where("c > 1").select("key", "e.*", "c")
     pair = [F.col("a.id").alias("id"), F.col("b.id").alias("o"), F.col("a.n").alias("n"), F.col("b.n").alias("m")]
-    # The same plan at every size.
-    one = cut_lineage(words.alias("a").hint("merge").join(head.alias("b"), "key").where(may("a", "b")).select(*pair).distinct())
+    # The same plan at every size. A word of two sets has done its work when the second has met the first.
+    met = words.alias("a").hint("merge").join(head.alias("b"), "key")
+    met = met.select("a.id", "key", "a.n", "a.u", "a.pos", (F.col("c") > 2).alias("more"), F.when(may("a", "b"), F.struct(*pair)).alias("pair"))
+    met = cut_lineage(met.where("more or pair is not null"))
+    one = cut_lineage(met.where("pair is not null").select("pair.*").distinct())
     matched = _verified(rows, places, one, similar, levels)
-    rest = spread(first.join(matched, "id", "left_anti"))
+    words = met.where("more").select("id", "n", "u", "pos", "key")
+    rest = words.join(matched, "id", "left_anti")
     two = rest.alias("a").hint("merge").join(words.alias("b"), "key").where(may("a", "b")).select(*pair).distinct()
     two = cut_lineage(two.join(one.select("id", "o"), ["id", "o"], "left_anti"))
+    discard(met)
     more = _verified(rows, places, two, similar, levels)
     kept = cut_lineage(first.select("id").join(matched.unionByName(more), "id", "left_anti"))
     out = cut_lineage(places.select("id", "k", "h", "line").join(kept, "id").groupBy("k", "h").agg(F.collect_set("line").alias("kept")))
-    for read in (places, first, one, matched, two, more, kept):
+    for read in (first, places, one, matched, two, more, kept):
         discard(read)
     return out
 
@@ -127,10 +134,10 @@ def dedup_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id",
 
 def lined(docs: DataFrame, similar: float, key: str, text: str) -> tuple[DataFrame, Column]:
     """The documents joined with the numbers of the lines they keep, and the column of these."""
-    (h,) = fresh(docs, "h")
-    kept = kept_lines(docs, similar, key, text).select(F.col("k").alias("_kept_k"), F.col("h").alias("_kept_h"), F.col("kept").alias("_kept"))
-    out = docs.withColumn(h, F.xxhash64(text)).join(kept, (F.col(h) == F.col("_kept_h")) & F.col(key).eqNullSafe(F.col("_kept_k")), "left")
-    return out, F.coalesce("_kept", F.array().cast("array<int>"))
+    h, of_k, of_h, numbers = fresh(docs, "h", "of_k", "of_h", "numbers")
+    kept = kept_lines(docs, similar, key, text).toDF(of_k, of_h, numbers)
+    out = docs.withColumn(h, F.xxhash64(text)).join(kept, (F.col(h) == F.col(of_h)) & F.col(key).eqNullSafe(F.col(of_k)), "left")
+    return out, F.coalesce(numbers, F.array().cast("array<int>"))
 
 
 @query()
