@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import query, table
+from .common import fresh, query, table
 
 #: Fixed patterns by kind, the group that must be long enough, and its least length.
 PATTERNS = {
@@ -95,7 +95,7 @@ def scan_secrets(docs: DataFrame, ratios: list[float], text: str = "text", name:
     """The documents with their secrets: an array of (start, kind, end) in the order of start and kind.
 
     The kinds are those of PATTERNS, in their order, and then ``random``: a run of key characters,
-    apart from all other spans, that the Markov model of random strings makes likelier than that of
+    inside no other span, that the Markov model of random strings makes likelier than that of
     ordinary identifiers by RATIO or more. One narrow pass, all in the JVM; a text is never shortened.
     Null texts are empty; repeated rows stay; an empty table gives an empty one.
     """
@@ -108,11 +108,12 @@ def scan_secrets(docs: DataFrame, ratios: list[float], text: str = "text", name:
         return F.transform(_found(t, *PATTERNS[k]), lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end"), F.lit(None).cast("double").alias("score")))
 
     base = F.flatten(F.array(*[of_kind(i, k) for i, k in enumerate(kinds)]))
-    kept = docs.select("*", base.cast(span).alias("_base"), _found(t, CANDIDATE, 0, 16).alias("_more"))
-    apart = F.filter("_more", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    judged = F.transform(apart, lambda m: F.struct(m["start"].alias("start"), F.lit(len(kinds)).alias("kind"), m["end"].alias("end"), _ratio(m["hit"], bounded).alias("score")))
+    own, more = fresh(docs, "own", "more")
+    kept = docs.select("*", base.cast(span).alias(own), _found(t, CANDIDATE, 0, 16).alias(more))
+    beside = F.filter(more, lambda m: ~F.exists(own, lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])))
+    judged = F.transform(beside, lambda m: F.struct(m["start"].alias("start"), F.lit(len(kinds)).alias("kind"), m["end"].alias("end"), _ratio(m["hit"], bounded).alias("score")))
     random = F.filter(judged, lambda m: m["score"] >= RATIO)
-    return kept.select(*docs.columns, F.array_sort(F.concat("_base", random.cast(span))).alias(name))
+    return kept.select(*docs.columns, F.array_sort(F.concat(own, random.cast(span))).alias(name))
 
 
 def spans_text(spans: Column) -> Column:
