@@ -46,3 +46,13 @@ def test_models_tell_random_from_ordinary(spark):
     assert sum(score(k) >= RATIO for k in keys) >= 0.97 * len(keys)
     long = [w for r in docs.collect() for w in re.findall(r"[A-Za-z0-9+/_-]{16,}", r["text"]) if w.isalpha()]
     assert sum(score(w) >= RATIO for w in long) <= 0.01 * len(long)
+
+
+def test_candidate_around_a_base_span(spark, docs_of):
+    ratios = train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    key = "qZ7Kp2XvB9sWm4TgR8yL" + "0123456789abcdef01234567" + "XkQ3vZ8LpM5tYw2RbN7G"
+    docs = docs_of([(1, f"see {key} here"), (2, f"token={key}")]).withColumnsRenamed({"lang": "own", "source": "_base"})
+    got = scan_secrets(docs, ratios)
+    assert got.columns == [*docs.columns, "secrets"]
+    spans = {r["doc_id"]: r["s"] for r in got.select("doc_id", spans_text("secrets").alias("s")).collect()}
+    assert spans == {1: "random:4:68,hex:24:48", 2: "assign:0:70,hex:26:50"}
