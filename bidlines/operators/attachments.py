@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.names import base_name, file_stem, is_relevant_attachment
-from ..sources.shared import cut_lineage
+from ..sources.shared import cut_lineage, keyed
 
 REF = ("arquivo_json", "att_pos")
 #: Characters of a gram that file names are indexed by.
@@ -26,7 +26,7 @@ def _by_exact_name(refs: DataFrame, files: DataFrame) -> DataFrame:
         F.struct(F.lit(2).alias("rank"), F.col("nome").alias("file_name")),
     )
     asked = refs.select(*REF, "folder", F.inline(wanted)).where(F.col("file_name") != "")
-    found = asked.join(files, ["folder", "file_name"])
+    found = asked.join(keyed(files), ["folder", "file_name"])
     return found.groupBy(*REF).agg(F.min(F.struct("rank", "file_name", "path", "length")).alias("file"))
 
 
@@ -50,23 +50,23 @@ def _by_stem(refs: DataFrame, files: DataFrame) -> DataFrame:
     wanted = F.when(F.length("stem") < GRAM, F.array(F.lit(""))).otherwise(grams(F.col("stem")))
     stems = cut_lineage(asked.select("folder", "stem").distinct()).select("folder", "stem", F.size(wanted).alias("n"), F.explode(wanted).alias("gram"))
     low = F.lower(F.col("file_name"))
-    index = files.join(stems.select("folder").distinct(), "folder", "left_semi").select("folder", "file_name", "path", "length", low.alias("low"), F.explode(F.concat(grams(low), F.array(F.lit("")))).alias("gram"))
-    index = cut_lineage(index.join(stems.select("folder", "gram").distinct(), ["folder", "gram"], "left_semi"))
+    index = files.join(keyed(stems.select("folder").distinct()), "folder", "left_semi").select("folder", "file_name", "path", "length", low.alias("low"), F.explode(F.concat(grams(low), F.array(F.lit("")))).alias("gram"))
+    index = cut_lineage(index.join(keyed(stems.select("folder", "gram").distinct()), ["folder", "gram"], "left_semi"))
     counts = index.groupBy("folder", "gram").agg(F.count(F.lit(1)).alias("files"))
     rarest = (
-        stems.join(counts, ["folder", "gram"])
+        stems.join(keyed(counts), ["folder", "gram"])
         .groupBy("folder", "stem", "n")
         .agg(F.count(F.lit(1)).alias("found"), F.min(F.struct("files", "gram")).alias("rarest"))
         .where("found = n")
         .select("folder", "stem", F.col("rarest.gram").alias("gram"))
     )
     best = (
-        index.join(rarest, ["folder", "gram"])
+        index.join(keyed(rarest), ["folder", "gram"])
         .where(F.contains("low", "stem"))
         .groupBy("folder", "stem")
         .agg(F.min(F.struct(F.lit(3).alias("rank"), "file_name", "path", "length")).alias("file"))
     )
-    return asked.join(best, ["folder", "stem"]).select(*REF, "file")
+    return asked.join(keyed(best), ["folder", "stem"]).select(*REF, "file")
 
 
 def resolve_attachments(refs: DataFrame, files: DataFrame) -> DataFrame:
@@ -76,13 +76,13 @@ def resolve_attachments(refs: DataFrame, files: DataFrame) -> DataFrame:
     """
     files = files.select("folder", "file_name", "path", "length")
     exact = cut_lineage(_by_exact_name(refs, files))
-    open_refs = refs.join(exact, list(REF), "left_anti")
+    open_refs = refs.join(keyed(exact), list(REF), "left_anti")
     by_stem = _by_stem(open_refs, files)
     found = exact.unionByName(by_stem)
     folders = files.select("folder").distinct().withColumn("pasta_existe", F.lit(True))
     return (
-        refs.join(found, list(REF), "left")
-        .join(folders, "folder", "left")
+        refs.join(keyed(found), list(REF), "left")
+        .join(keyed(folders), "folder", "left")
         .select(
             *refs.columns,
             "file.rank",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import percentage
-from ..sources.shared import cut_lineage
+from ..sources.shared import cut_lineage, keyed
 
 KEY = "arquivo_json"
 
@@ -27,7 +27,7 @@ def cascade(notices: DataFrame, *sources: Source, keep: Callable[[DataFrame], Da
     keep = keep or cut_lineage
     left, found = notices, []
     for tier, source in enumerate(sources, 1):
-        rows = source(left) if callable(source) else source.join(left.select(KEY).distinct(), KEY, "left_semi")
+        rows = source(left) if callable(source) else source.join(keyed(left.select(KEY).distinct()), KEY, "left_semi")
         found.append(keep(rows))
         left = unsolved(left, found[-1])
     return reduce(DataFrame.unionByName, [rows.withColumn("tier", F.lit(tier)) for tier, rows in enumerate(found, 1)])
@@ -36,7 +36,7 @@ def cascade(notices: DataFrame, *sources: Source, keep: Callable[[DataFrame], Da
 def unsolved(notices: DataFrame, *solved: DataFrame) -> DataFrame:
     """Notices without a row in any of ``solved``."""
     for rows in solved:
-        notices = notices.join(rows.select(KEY).distinct(), KEY, "left_anti")
+        notices = notices.join(keyed(rows.select(KEY).distinct()), KEY, "left_anti")
     return notices
 
 
@@ -46,7 +46,7 @@ def first_nonempty(
     """Rows of the first position that has any, per key. The rows are evaluated once and kept."""
     rows = (keep or cut_lineage)(rows)
     first = rows.groupBy(*keys).agg(F.min(pos).alias(pos))
-    return rows.join(first, [*keys, pos], "left_semi")
+    return rows.join(keyed(first), [*keys, pos], "left_semi")
 
 
 def tier_coverage(items: DataFrame, notices: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def tier_coverage(items: DataFrame, notices: DataFrame) -> DataFrame:
     per_notice = items.groupBy(KEY).agg(F.min("tier").alias("tier"), F.count(F.lit(1)).alias("n"))
     per_tier = (
         notices.select(KEY)
-        .join(per_notice, KEY, "left")
+        .join(keyed(per_notice), KEY, "left")
         .groupBy(F.coalesce("tier", F.lit(0)).alias("tier"))
         .agg(F.count(F.lit(1)).alias("licitacoes"), F.coalesce(F.sum("n"), F.lit(0)).alias("itens"))
     )
@@ -65,4 +65,4 @@ def tier_coverage(items: DataFrame, notices: DataFrame) -> DataFrame:
 
 def pending(notices: DataFrame, done: DataFrame) -> DataFrame:
     """Notices that have no result yet."""
-    return notices.join(done.select(KEY).distinct(), KEY, "left_anti")
+    return notices.join(keyed(done.select(KEY).distinct()), KEY, "left_anti")

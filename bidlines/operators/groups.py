@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import first_group
+from ..sources.shared import keyed
 
 
 def group_entries(section: Column) -> Column:
@@ -48,7 +49,7 @@ def resolve_lote(inline: Column, mapped: Column) -> Column:
 def with_group_mapping(items: DataFrame, mapping: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fill ``lote`` from the mapping. Joined on text and item number, so one text spreads over tasks."""
     known = mapping.withColumnRenamed("lote", "mapped_lote")
-    return items.join(known, [*keys, "item"], "left").select(
+    return items.join(keyed(known), [*keys, "item"], "left").select(
         *keys,
         "block_pos",
         resolve_lote(F.col("lote"), F.col("mapped_lote")).alias("lote"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ITEM_FIELDS, NOTICE_FIELDS
+from ..sources.shared import keyed
 from .ordered import dense_positions
 
 #: Items of one nested row; a notice of more has several rows.
@@ -37,8 +38,8 @@ def nest_notices(headers: DataFrame, attachments: DataFrame, items: DataFrame, p
     empty_items = F.array().cast(nested.schema["itens_extraidos"].dataType)
     return (
         headers.select(*NOTICE_FIELDS)
-        .join(attachments, "arquivo_json", "left")
-        .join(nested, "arquivo_json", "left")
+        .join(keyed(attachments), "arquivo_json", "left")
+        .join(keyed(nested), "arquivo_json", "left")
         .select(
             *NOTICE_FIELDS,
             F.coalesce("anexos_processados", empty_names).alias("anexos_processados"),

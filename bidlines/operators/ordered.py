@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import cut_lineage
+from ..sources.shared import cut_lineage, keyed
 
 #: Characters of one joined text at most; longer texts come in parts.
 PART_CHARS = 1 << 24
@@ -50,7 +50,7 @@ def with_summary(rows: DataFrame, pieces: DataFrame, keys: Sequence[str]) -> Dat
     """Rows with the summary of their group and task. Without keys there is one summary row per task."""
     at = {c: f"_of_{c}" for c in (*keys, "_task")}
     pieces = pieces.withColumnsRenamed(at)
-    found = rows.join(pieces if keys else F.broadcast(pieces), same(at))
+    found = rows.join(keyed(pieces) if keys else F.broadcast(pieces), same(at))
     return found.drop(*at.values())
 
 
@@ -102,7 +102,7 @@ def ordered_text(
     of = {c: f"_of_{c}" for c in at}
     placed = placed.select(*[F.col(c).alias(o) for c, o in of.items()], begin.alias("_begin"))
     # Both sides have a row per text, so neither is ever the small one.
-    met = rows.join(placed.hint("merge"), same(of))
+    met = rows.join(keyed(placed), same(of))
     first = F.greatest(F.col("_begin"), F.lit(0))
     last = F.greatest(F.col("_begin") + F.length("_text") - 1, first)
     parts = F.sequence(F.floor(first / part_chars), F.floor(last / part_chars))

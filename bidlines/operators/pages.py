@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import first_group, strip
+from ..sources.shared import keyed
 from .groups import group_mapping, group_mapping_of_sections, with_group_mapping
 from .items import attachment_blocks, items_of_attachment_blocks
 from .ordered import PART_CHARS, numbered, ordered_text, task_of, with_summary
@@ -139,10 +140,10 @@ def _wanted_ends(owned: DataFrame, keys: Sequence[str]) -> DataFrame:
     opening = F.min_by("number", F.when(F.col("number").isNotNull(), F.col("page_no")))
     good = ends.groupBy(*block).agg(F.max("counts").alias("counts"), opening.alias("number"))
     good = good.where(F.col("counts") & ((F.col("page") > 0) | F.coalesce("number", F.lit(False))))
-    wanted = ends.join(good.select(*block), block, "left_semi").groupBy(*keys, "page_no").agg(
+    wanted = ends.join(keyed(good.select(*block)), block, "left_semi").groupBy(*keys, "page_no").agg(
         F.max("first").alias("want_first"), F.max(~F.col("first")).alias("want_last")
     )
-    return owned.select(*keys, "page_no", "crosses", "own_no", "owner").join(wanted, [*keys, "page_no"], "left")
+    return owned.select(*keys, "page_no", "crosses", "own_no", "owner").join(keyed(wanted), [*keys, "page_no"], "left")
 
 
 def paged_blocks(pages: DataFrame, keys: Sequence[str], facts: DataFrame | None = None) -> DataFrame:
@@ -156,7 +157,7 @@ def paged_blocks(pages: DataFrame, keys: Sequence[str], facts: DataFrame | None
         facts = numbered(page_facts(pages, keys), [*keys, "page_no"])
     wanted = _wanted_ends(page_owners(facts, keys), keys)
     # Both sides have a row per page, so neither is ever the small one.
-    owned = pages.select(*keys, "page_no", "text").join(wanted.hint("merge"), [*keys, "page_no"])
+    owned = pages.select(*keys, "page_no", "text").join(keyed(wanted), [*keys, "page_no"])
     cut = _fragments(F.coalesce(F.col("text"), F.lit("")), F.col("crosses"))
     fragments = owned.select(*keys, "page_no", "owner", "own_no", "want_first", "want_last", F.posexplode_outer(cut).alias("no", "fragment"))
     want = (
@@ -193,16 +194,16 @@ def paged_group_mapping(pages: DataFrame, keys: Sequence[str], facts: DataFrame
     facts = page_facts(pages, keys) if facts is None else facts
     heads = facts.where("heads").groupBy(*keys).agg(F.min(F.struct("page_no", "ends_own")).alias("first"))
     heads = heads.select(*keys, F.col("first.page_no").alias("first_page"), F.col("first.ends_own").alias("ends_own"))
-    later = facts.where("ends_any").join(heads.where("NOT ends_own"), list(keys)).where("page_no > first_page")
+    later = facts.where("ends_any").join(keyed(heads.where("NOT ends_own")), list(keys)).where("page_no > first_page")
     ends = later.groupBy(*keys).agg(F.min("page_no").alias("last_page"))
     last = F.when(F.col("ends_own"), F.col("first_page")).otherwise(F.col("last_page"))
-    spans = heads.join(ends, list(keys), "left").select(*keys, "first_page", last.alias("last_page"))
+    spans = heads.join(keyed(ends), list(keys), "left").select(*keys, "first_page", last.alias("last_page"))
     inside = (F.col("page_no") >= F.col("first_page")) & (F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
     text = F.coalesce(F.col("text"), F.lit(""))
     bare = F.regexp_replace(F.concat(F.lit("\n"), text), P.GROUP_IDLE_LINES, "\n.")
     text = F.when((F.col("page_no") > F.col("first_page")) & F.col("last_page").isNull(), F.substr(bare, F.lit(2))).otherwise(text)
     sections = (
-        pages.select(*keys, "page_no", "text").join(spans, list(keys)).where(inside)
+        pages.select(*keys, "page_no", "text").join(keyed(spans), list(keys)).where(inside)
         .select(*keys, "page_no", text.alias("text"))
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_list(F.struct("page_no", "text"))).alias("pieces"))

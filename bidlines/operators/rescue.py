@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.text import strip
+from ..sources.shared import keyed
 from .answers import parse_rescue_answers
 from .cascade import first_nonempty, unsolved
 
@@ -45,7 +46,7 @@ def rescue_queue(texts: DataFrame, *solved: DataFrame, size: int = P.RESCUE_CHAR
 
 def unanswered(queue: DataFrame, answers: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The pieces that have no answer row yet; an answer without content is an answer."""
-    return queue.join(with_piece(answers).select(*keys, PIECE).distinct(), [*keys, PIECE], "left_anti")
+    return queue.join(keyed(with_piece(answers).select(*keys, PIECE).distinct()), [*keys, PIECE], "left_anti")
 
 
 def with_piece(answers: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from ..schemas import ITEM_FIELDS, NOTICE_FIELDS
 from ..sources.files import read_file_index
 from ..sources.notices import explode_attachments, notice_header, read_notices
 from ..sources.results import RUN, read_checkpoint, read_manifest, read_table, with_earlier_rows, write_manifest, write_results
-from ..sources.shared import cut_lineage
+from ..sources.shared import cut_lineage, keyed
 
 ITEMS, NOTICES, FAILURES, REJECTS, QUEUE, MANIFEST = "itens", "licitacoes", "falhas", "rejeitados", "fila", "manifesto"
 
@@ -69,7 +69,7 @@ def extract(
     no answer row is there for are the ``queue``, and their notices have no result before all
     their pieces are answered.
     """
-    header = notice_header(notices)
+    header = keep(notice_header(notices))
     readable = header.where(F.size("ilegivel") == 0)
     writable = readable.where(valid_notice(with_items=False))
     refused = header.withColumn("motivos", F.concat("ilegivel", reject_reasons(with_items=False))).where(
@@ -77,7 +77,7 @@ def extract(
     )
 
     refs = relevant_attachments(explode_attachments(notices)).join(
-        readable.select("arquivo_json"), "arquivo_json", "left_semi"
+        keyed(readable.select("arquivo_json")), "arquivo_json", "left_semi"
     )
     if callable(files):
         refs = keep(refs)
@@ -88,17 +88,17 @@ def extract(
 
     wanted = writable.select("arquivo_json")
     # The parser reads the pages several times; this way they are picked and moved only once.
-    pdf_refs = pdf.select(*REF).join(wanted, "arquivo_json", "left_semi")
+    pdf_refs = pdf.select(*REF).join(keyed(wanted), "arquivo_json", "left_semi")
     pages = pages(pdf_refs) if callable(pages) else pages
     answers = answers(opened) if callable(answers) else answers
-    pdf_pages = keep(pages.join(pdf_refs, list(REF), "left_semi"))
+    pdf_pages = keep(pages.join(keyed(pdf_refs), list(REF), "left_semi"))
     fields = ("arquivo_json", "att_pos", "block_pos", *ITEM_FIELDS)
 
     def from_pages(left: DataFrame) -> DataFrame:
         return clean_items(parse_paged_attachments(pdf_pages, REF)).select(*fields)
 
     def from_answers(left: DataFrame) -> DataFrame:
-        asked = answers.join(opened.select(*REF), list(REF), "left_semi").join(left.select("arquivo_json"), "arquivo_json", "left_semi")
+        asked = answers.join(keyed(opened.select(*REF)), list(REF), "left_semi").join(keyed(left.select("arquivo_json")), "arquivo_json", "left_semi")
         return clean_items(rescued_items(asked, REF, keep)).select(*fields)
 
     def from_notice(left: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def extract(
     queue = None
     if texts is not None:
         solved = keep(from_pages(writable))
-        usable_texts = texts.join(opened.select(*REF), list(REF), "left_semi").join(wanted, "arquivo_json", "left_semi")
+        usable_texts = texts.join(keyed(opened.select(*REF)), list(REF), "left_semi").join(keyed(wanted), "arquivo_json", "left_semi")
         queue = keep(unanswered(rescue_queue(usable_texts, solved, size=piece_chars), answers, REF))
         writable = unsolved(writable, queue)
         tier1 = solved
@@ -155,7 +155,7 @@ def done_before(spark: SparkSession, out: str) -> DataFrame:
 def read_finished(spark: SparkSession, out: str, name: str, schema: str) -> DataFrame | None:
     """The rows of a result table that finished runs have written; null if there is no such table."""
     rows = read_table(spark, f"{out}/{name}", f"{schema}, {RUN} string")
-    return None if rows is None else rows.join(done_before(spark, out), ["arquivo_json", RUN], "left_semi")
+    return None if rows is None else rows.join(keyed(done_before(spark, out)), ["arquivo_json", RUN], "left_semi")
 
 
 def run_batch(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.ordered import dense_positions
 from ..operators.quality import valid_notice
 from ..schemas import PROCESSED_NOTICE
-from .shared import cut_lineage
+from .shared import cut_lineage, keyed
 
 
 RUN = "execucao"
@@ -40,7 +40,7 @@ def with_earlier_rows(df: DataFrame, path: str, run: str, again: DataFrame) -> D
     if earlier is None:
         return df
     mine = earlier.where(F.col(RUN) == run).drop(RUN)
-    return df.unionByName(cut_lineage(mine.join(again.select("arquivo_json"), "arquivo_json", "left_anti")))
+    return df.unionByName(cut_lineage(mine.join(keyed(again.select("arquivo_json")), "arquivo_json", "left_anti")))
 
 
 def write_failures(df: DataFrame, path: str, run: str, reset: bool = False) -> None:

@@ -8,6 +8,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from bidlines.operators.attachments import resolve_attachments
+from bidlines.operators.cascade import first_nonempty, pending, unsolved
 from bidlines.plans.extract import ITEMS, read_finished, run_batch
 from bidlines.schemas import ANSWERS, FAILURE, ITEM_ROWS, PAGES, PROCESSED_NOTICE
 from bidlines.sources.files import read_file_index
@@ -214,6 +216,16 @@ def test_void_checkpoint_keeps_failures_and_refusals(spark, folder, pages, answe
     assert spark.read.parquet(f"{out}/licitacoes").where("execucao <> 'r2'").isEmpty()
 
 
+def test_sides_of_a_row_per_notice_are_not_broadcast(spark):
+    refs = spark.range(9).selectExpr("id || '.json' AS arquivo_json", "0 AS att_pos", "string(id) AS folder", "'a.pdf' AS nome", "'x' AS caminho")
+    files = spark.range(9).selectExpr("string(id) AS folder", "'a.pdf' AS file_name", "'p' AS path", "1L AS length")
+    resolved = resolve_attachments(refs, files)
+    for df in (resolved, pending(refs, refs), first_nonempty(refs), unsolved(refs, resolved)):
+        with contextlib.redirect_stdout(io.StringIO()) as out:
+            df.explain()
+        assert "Join" in out.getvalue() and "Broadcast" not in out.getvalue()
+
+
 def test_unread_fields_may_hold_anything(spark, rows, tmp_path):
     odd = {"numero_habitantes": "1000", "orgao_sites": "www.x", "boletim_id": "7"}
     notices = {"a": data(**odd), "b": data(anexos={"nome": "x.pdf"}), "c": data(anexos=[None]), "d": data(anexos=["x.pdf"]), "e": data(anexos={}), "f": data(anexos=3)}
