@@ -5,6 +5,9 @@ Files go to a new path in the shared folder (``spark.checkpoint.dir``) on every
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from ..operators.cascade import pending
 from ..operators.quality import rejects
 from ..plans.extract import MANIFEST, NOTICES, QUEUE, read_finished, run_batch
 from ..schemas import ANSWERS, ITEM, PAGES, PROCESSED_NOTICE
-from ..sources.files import read_file_index
+from ..sources.files import open_root, read_file_index
 from ..sources.layout import by_notice, write_by_notice
 from ..sources.notices import explode_attachments, notice_header, read_notices
 from ..sources.results import RUN, export_json, read_checkpoint, read_export, read_table, write_failures, write_manifest, write_results
@@ -84,15 +87,41 @@ def attachment_refs(t: Tables) -> DataFrame:
     return refs.select("arquivo_json", big("att_pos").alias("att_pos"), "folder", "nome")
 
 
+def _folder_writer(root: str):
+    """Writes the lines of each ``s``, rows of which come one after the other, as one file in a folder ``s=...`` under ``root``.
+
+    Spark's own writer starts a process or two for every folder and file of a local disk, and its driver moves them one by one.
+    """
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, base = open_root(root)
+        done, now, out = 0, None, None
+        for batch in batches:
+            for s, group in batch.groupby(batch["s"].fillna("__HIVE_DEFAULT_PARTITION__"), sort=False):
+                if s != now:
+                    if out is not None:
+                        out.close()
+                    system.create_dir(f"{base}/s={s}")
+                    now, out, done = s, system.open_output_stream(f"{base}/s={s}/part-0.txt"), done + 1
+                out.write("".join(f"{line}\n" for line in group["s_name"].fillna("")).encode())
+        if out is not None:
+            out.close()
+        yield pd.DataFrame({"folders": [done]})
+
+    return write
+
+
 @query(
     """
     SELECT 's=' || s_suppkey AS folder, CAST(length(s_name) + 1 AS BIGINT) AS length FROM supplier
     """
 )
 def file_index(t: Tables) -> DataFrame:
-    """SC4: one folder with one file per supplier. Spark names the files, so only their sizes are compared."""
+    """SC4: one folder with one file per supplier, written by tasks; sizes are compared."""
     path = new_path(t.spark, "files")
-    t.supplier.select("s_name", F.col("s_suppkey").alias("s")).repartition("s").write.partitionBy("s").text(path)
+    lines = t.supplier.select(text(F.col("s_suppkey")).alias("s"), "s_name").repartition(4 * t.spark.sparkContext.defaultParallelism, "s").sortWithinPartitions("s")
+    system, base = open_root(path)
+    system.create_dir(base)
+    lines.mapInPandas(_folder_writer(path), "folders bigint").write.format("noop").mode("overwrite").save()
     return read_file_index(t.spark, path).where(F.col("file_name").startswith("part-")).select("folder", "length")
 
 

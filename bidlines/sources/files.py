@@ -15,7 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import FILES
 
 
-def _open(root: str):
+#: Files found in small folders that go on in one piece.
+FILES_AT_ONCE = 4096
+
+
+def open_root(root: str):
+    """The file system of a root, and the root's path in it."""
     from pyarrow import fs
 
     uri = root.replace("s3a://", "s3://", 1)
@@ -27,30 +32,33 @@ def _subfolders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for root in batch["root"]:
-            system, path = _open(root)
+            system, path = open_root(root)
             names = [i.base_name for i in system.get_file_info(fs.FileSelector(path)) if i.type == fs.FileType.Directory]
             yield pd.DataFrame({"folder": names})
 
 
+def _listed(found: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(found, columns=["folder", "file_name", "path", "length"]).astype({"length": "Int64"})
+
+
 def _lister(root: str):
     def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        system, base = _open(root)
+        system, base = open_root(root)
         for batch in batches:
+            found = []
             for folder in batch["folder"]:
                 place = f"{base}/{folder}"
                 if system.get_file_info(place).type != fs.FileType.Directory:
                     continue
                 files = [i for i in system.get_file_info(fs.FileSelector(place)) if i.type == fs.FileType.File]
-                yield pd.DataFrame(
-                    {
-                        "folder": folder,
-                        "file_name": [i.base_name for i in files] or [None],
-                        "path": [f"{root}/{folder}/{i.base_name}" for i in files] or [f"{root}/{folder}"],
-                        "length": pd.array([i.size for i in files] or [None], dtype="Int64"),
-                    }
-                )
+                found += [(folder, i.base_name, f"{root}/{folder}/{i.base_name}", i.size) for i in files] or [(folder, None, f"{root}/{folder}", None)]
+                if len(found) >= FILES_AT_ONCE:
+                    yield _listed(found)
+                    found = []
+            if found:
+                yield _listed(found)
 
     return list_folders
 

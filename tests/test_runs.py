@@ -5,6 +5,7 @@ import io
 import json
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from bidlines.operators.attachments import resolve_attachments
 from bidlines.operators.cascade import first_nonempty, pending, unsolved
 from bidlines.plans.extract import ITEMS, read_finished, run_batch
 from bidlines.schemas import ANSWERS, FAILURE, ITEM_ROWS, PAGES, PROCESSED_NOTICE
-from bidlines.sources.files import read_file_index
+from bidlines.sources.files import _lister, read_file_index
 from bidlines.sources.layout import by_notice, write_by_notice
 from bidlines.sources.notices import explode_attachments, notice_header, read_notices
 from bidlines.sources.results import (
@@ -130,6 +131,16 @@ def results(spark, out):
     return {r["arquivo_json"]: (r["estado"], r["anexos_processados"], [tuple(i) for i in r["itens_extraidos"]]) for r in df.collect()}
 
 
+def test_small_folders_are_listed_in_one_piece(tmp_path):
+    for k in range(5):
+        (tmp_path / f"s={k}").mkdir()
+        (tmp_path / f"s={k}" / "part-0.txt").write_bytes(b"x" * k)
+    (tmp_path / "s=0" / "part-0.txt").unlink()
+    (found,) = _lister(str(tmp_path))(iter([pd.DataFrame({"folder": [f"s={k}" for k in range(6)]})]))
+    assert found["folder"].tolist() == [f"s={k}" for k in range(5)]
+    assert found["length"].isna().tolist() == [True] + [False] * 4 and found["length"].sum() == 10
+
+
 def test_batch_run(spark, rows, folder, pages, answers, tmp_path):
     out = str(tmp_path / "out")
     run_batch(spark, str(folder), str(folder), pages, answers, out, "r1")
