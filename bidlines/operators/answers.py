@@ -23,36 +23,42 @@ def strip_fences(c: Column) -> Column:
     return F.when(bare.contains("```"), unfenced).otherwise(bare)
 
 
-def _kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
+_FIELDS = ("lote", "item", "objeto", "quantidade", "unidade_fornecimento")
+_ITEMS = f"array<struct<{','.join(f'{name}:variant' for name in _FIELDS)}>>"
 
 
-def _text(v: Column) -> Column:
-    """A JSON string; null for any other type."""
-    return F.when(_kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
+def _read(v: Column) -> Column:
+    """Type and value of each field. An element that is no object has none."""
+    kinds = [F.schema_of_variant(v[name]).alias(f"{name}_is") for name in _FIELDS]
+    texts = [F.try_variant_get(v[name], "$", "string").alias(name) for name in ("lote", "objeto", "unidade_fornecimento")]
+    return F.struct(*kinds, *texts, v["item"].alias("item"), v["quantidade"].alias("quantidade"))
 
 
-def _whole(v: Column) -> Column:
-    """A whole number, also as text or with a zero fraction; true counts as 1."""
-    digits = F.regexp_extract(F.try_variant_get(v, "$", "string"), _WHOLE_NUMBER, 1)
-    return F.when(_kind(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("bigint")).otherwise(
-        F.nullif(digits, F.lit("")).try_cast("bigint")
+def _text(v: Column, name: str) -> Column:
+    """A JSON string; null for any other type."""
+    return F.when(v[f"{name}_is"] == "STRING", v[name])
+
+
+def _whole(v: Column, name: str) -> Column:
+    """A whole number, also as text or with a zero fraction; true counts as 1. Plain numbers need no pattern."""
+    kind = v[f"{name}_is"]
+    # Null without a match, by one evaluation.
+    digits = F.get(F.regexp_extract_all(F.try_variant_get(v[name], "$", "string"), F.lit(_WHOLE_NUMBER), F.lit(1)), F.lit(0))
+    return (
+        F.when(kind == "BIGINT", F.try_variant_get(v[name], "$", "bigint"))
+        .when(kind == "BOOLEAN", F.try_variant_get(v[name], "$", "boolean").cast("bigint"))
+        .otherwise(digits.try_cast("bigint"))
     )
 
 
-def _field(v: Column, name: str) -> Column:
-    return F.try_variant_get(v, f"$.{name}", "variant")
-
-
 def _item(v: Column) -> Column:
-    lote = _field(v, "lote")
     return F.struct(
-        _text(lote).alias("lote"),
-        _whole(_field(v, "item")).alias("item"),
-        _text(_field(v, "objeto")).alias("objeto"),
-        _whole(_field(v, "quantidade")).alias("quantidade"),
-        _text(_field(v, "unidade_fornecimento")).alias("unidade_fornecimento"),
-        (lote.isNull() | F.is_variant_null(lote) | (_kind(lote) == "STRING")).alias("lote_ok"),
+        _text(v, "lote").alias("lote"),
+        _whole(v, "item").alias("item"),
+        _text(v, "objeto").alias("objeto"),
+        _whole(v, "quantidade").alias("quantidade"),
+        _text(v, "unidade_fornecimento").alias("unidade_fornecimento"),
+        F.coalesce(v["lote_is"].isin("VOID", "STRING"), F.lit(True)).alias("lote_ok"),
     )
 
 
@@ -64,9 +70,10 @@ def parse_rescue_answers(df: DataFrame, keys: Sequence[str], raw_col: str = "raw
     down, and an answer would be parsed again for each.
     """
     parsed = df.select(*keys, F.try_parse_json(strip_fences(F.col(raw_col))).alias("answer"))
-    is_list = F.schema_of_variant("answer").startswith("ARRAY")
-    listed = F.when(is_list, F.col("answer")).otherwise(F.try_variant_get("answer", "$.itens", "variant"))
-    items = parsed.select(*keys, F.transform(F.try_variant_get(listed, "$", "array<variant>"), _item).alias("items"))
+    # A list has no field, and an object is no list.
+    listed = F.coalesce(F.try_variant_get("answer", "$.itens", _ITEMS), F.try_variant_get("answer", "$", _ITEMS))
+    # Types and values are read once, then combined: inside a lambda nothing is evaluated in common.
+    items = parsed.select(*keys, F.transform(F.transform(listed, _read), _item).alias("items"))
     sound = F.forall("items", lambda i: valid_item(i) & F.coalesce(i["lote_ok"], F.lit(False)))
     kept = items.select(*keys, F.when(sound, F.col("items")).alias("items"))
     return kept.select(*keys, F.posexplode_outer("items").alias("block_pos", "i")).where("i IS NOT NULL").select(
