@@ -26,8 +26,13 @@ _REPEATED_TITLE = rf"\A([^ ]*+(?: [^ ]*+){{1,{P.TITLE_WORDS - 1}}}|[^ ]++) (?iu:
 
 
 def strip(c: Column) -> Column:
-    """Remove blank characters (all Unicode blanks) from both ends."""
-    return F.btrim(c, F.lit(P.BLANKS))
+    """Remove blank characters (all Unicode blanks) from both ends.
+
+    Trimming with a set goes through the whole text, so it is left to texts that have a blank at an end.
+    """
+    blanks = F.lit(P.BLANKS)
+    at_end = F.contains(blanks, F.substring(c, 1, 1)) | F.contains(blanks, F.substring(c, -1, 1))
+    return F.when(at_end, F.btrim(c, blanks)).otherwise(c)
 
 
 def collapse(c: Column) -> Column:
@@ -40,6 +45,16 @@ def first_group(c: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
+def split_at(c: Column, pattern: str) -> Column:
+    """``split`` at every match of ``pattern``, which never matches the empty text.
+
+    ``split`` compiles a pattern anew for each text unless it is one character, so the matches are
+    made one character first; a text that has this character is split by the pattern.
+    """
+    mark = "\0"
+    return F.when(c.contains(mark), F.split(c, pattern, -1)).otherwise(F.split(F.regexp_replace(c, pattern, mark), mark, -1))
+
+
 def clean_unit(c: Column) -> Column:
     """Unit of supply: cut trailing metadata, trim, strip '.' then ','; never empty."""
     cut = strip(F.regexp_replace(c, _UNIT_CUT, ""))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import clean_description, clean_unit, drop_lines, first_group, keep_label_value, strip
+from ..functions.text import clean_description, clean_unit, drop_lines, first_group, keep_label_value, split_at
 
 ITEM_COLUMNS = ("block_pos", "lote", "item", "objeto", "quantidade", "unidade_fornecimento")
 
@@ -23,13 +23,22 @@ def split_blocks(df: DataFrame, keys: Sequence[str], text: Column, pattern: str)
     Blank blocks go later with all others that have no item header. (The outer form of the
     generator keeps the planner from adding a filter that would split each text once more.)
     """
-    return df.select(*keys, F.posexplode_outer(F.split(text, pattern, -1)).alias("block_pos", "block")).select(
+    return df.select(*keys, F.posexplode_outer(split_at(text, pattern)).alias("block_pos", "block")).select(
         *keys,
         F.col("block_pos").cast("bigint").alias("block_pos"),
         F.ltrim(F.col("block"), F.lit(P.BLANKS)).alias("block"),
     )
 
 
+def _once(df: DataFrame, kept: Sequence[str], **columns: Column) -> DataFrame:
+    """``kept`` and ``columns``, which are evaluated once per row.
+
+    As columns of a projection they would be evaluated again in each filter on them, since filters
+    are pushed down; a filter does not pass the outer form of a generator.
+    """
+    return df.select(*kept, F.inline_outer(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def notice_blocks(df: DataFrame, keys: Sequence[str], itens_col: str = "itens") -> DataFrame:
     """Blocks of a notice's own item text (array of strings), split at rules and item numbers."""
     return split_blocks(df, keys, F.array_join(itens_col, "\n"), P.NOTICE_SPLIT)
@@ -44,23 +53,21 @@ def _block_items(
     blocks: DataFrame, keys: Sequence[str], header: str, quantity: str, description: Column, lote: Column
 ) -> DataFrame:
     """Blocks with a header and a quantity, both at least 1, as items; other blocks are dropped."""
-    block = F.col("block")
+    block, head = F.col("block"), F.col("head")
+    of_block = [*keys, "block_pos", "block"]
     # Numbers are tested as text first: a failing cast costs far more than a pattern.
-    found = blocks.select(
-        *keys,
-        "block_pos",
-        "block",
-        F.regexp_extract(block, header, 1).alias("number"),
-        F.regexp_extract(block, quantity, 1).alias("quantity"),
-    ).where(F.col("number").rlike(P.POSITIVE) & F.col("quantity").rlike(P.POSITIVE))
-    items = found.select(
+    headed = _once(blocks, of_block, head=F.regexp_extract(block, header, 0)).where(head.rlike(P.POSITIVE_HEAD))
+    number = F.regexp_extract(head, P.ATTACHMENT_HEADER, 1)
+    found = _once(headed, [*of_block, "head"], number=number, quantity=F.regexp_extract(block, quantity, 1))
+    title = F.regexp_extract(head, P.ATTACHMENT_HEADER, 2)
+    items = found.where(F.col("quantity").rlike(P.POSITIVE)).select(
         *keys,
         "block_pos",
         lote.alias("lote"),
         F.col("number").try_cast("bigint").alias("item"),
-        clean_description(F.concat(F.regexp_extract(block, header, 2), F.lit(" "), description)).alias("objeto"),
+        clean_description(F.concat(title, F.lit(" "), description)).alias("objeto"),
         F.col("quantity").try_cast("bigint").alias("quantidade"),
-        clean_unit(strip(F.regexp_extract(block, P.SUPPLY_UNIT, 1))).alias("unidade_fornecimento"),
+        clean_unit(F.regexp_extract(block, P.SUPPLY_UNIT, 1)).alias("unidade_fornecimento"),
     )
     # Only numbers too large for bigint are left to refuse here.
     return items.where(F.col("item").isNotNull() & F.col("quantidade").isNotNull())
