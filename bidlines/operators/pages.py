@@ -1,7 +1,7 @@
 """Attachments held page by page.
 
-An attachment may have any number of pages, so its text is never put together as a whole to be
-parsed. One pass leaves a few facts of each page; a scan over the facts tells in which page each
+An attachment may have any number of pages. One that is short, in characters and in pages, is put together
+and parsed as one text. The text of any other is never put together as a whole: one pass leaves a few facts of each page; a scan over the facts tells in which page each
 page's first block began and which blocks can be items at all; then only the fragments of one
 such block, or of one composition section, meet.
 """
@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import first_group, strip
-from ..sources.shared import keyed
+from ..functions.text import first_group, split_at, strip
+from ..sources.shared import cut_lineage, keyed
 from .groups import group_mapping, group_mapping_of_sections, with_group_mapping
 from .items import attachment_blocks, items_of_attachment_blocks
 from .ordered import PART_CHARS, numbered, ordered_text, task_of, with_summary
 
+#: Characters of an attachment that is put together, at most; and words of 64 bits that hold its page numbers, each as one bit.
+WHOLE_CHARS = 1 << 20
+PAGE_WORDS = 4
+
 
 def join_pages(
     pages: DataFrame, keys: Sequence[str], page_col: str = "page_no", text_col: str = "text", part_chars: int = PART_CHARS
@@ -34,10 +38,10 @@ def _fragments(text: Column, crosses: Column | None = None) -> Column:
     ``crosses`` tells that the number at the page's end goes on with a dash on a later page.
     """
     lead = F.concat(F.lit("\n"), text)
-    plain = F.split(lead, P.ITEM_START, -1)
+    plain = split_at(lead, P.ITEM_START)
     if crosses is None:
         return plain
-    return F.when(crosses, F.split(lead, rf"{P.ITEM_START}|\n(?=\d+{P.WS}*\z)", -1)).otherwise(plain)
+    return F.when(crosses, split_at(lead, rf"{P.ITEM_START}|\n(?=\d+{P.WS}*\z)")).otherwise(plain)
 
 
 def page_facts(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -212,12 +216,49 @@ def paged_group_mapping(pages: DataFrame, keys: Sequence[str], facts: DataFrame
     return group_mapping_of_sections(sections.where("section IS NOT NULL"), keys)
 
 
-def parse_paged_attachments(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Items of attachments held as pages, with their lots.
+def long_attachments(pages: DataFrame, keys: Sequence[str], whole_chars: int = WHOLE_CHARS) -> DataFrame:
+    """``keys`` of the attachments that are not put together: too long, too many pages, or page numbers that are null or repeated."""
+    no = F.col("page_no")
+
+    def bits(word: int) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (no - 64 * word).cast("int"))
+        return F.bit_or(F.when(no.between(64 * word, 64 * word + 63), bit))
+
+    words = [f"_w{i}" for i in range(PAGE_WORDS)]
+    sizes = pages.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.length(F.coalesce("text", F.lit(""))) + F.lit(1)).alias("_chars"),
+        *[bits(i).alias(w) for i, w in enumerate(words)],
+    )
+    numbers = sum((F.bit_count(F.coalesce(w, F.lit(0).cast("bigint"))) for w in words), F.lit(0))
+    return sizes.where((numbers != F.col("_n")) | (F.col("_chars") > whole_chars)).select(*keys)
+
+
+def whole_texts(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys``, ``text``: attachments put together, one row each. For short ones only."""
+    page = F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))
+    met = pages.groupBy(*keys).agg(F.sort_array(F.collect_list(page)).alias("pages"))
+    return met.select(*keys, F.array_join("pages.text", "\n").alias("text"))
 
-    The pages are read three times: for their facts, for blocks that can be items, and for the
-    sections that name groups.
+
+def parse_paged_attachments(pages: DataFrame, keys: Sequence[str], whole_chars: int = WHOLE_CHARS) -> DataFrame:
+    """Items of attachments held as pages, with their lots; none of null keys.
+
+    The pages are read once for the sizes of attachments. Short attachments are parsed as one text; the pages of
+    long ones are read three times: for their facts, for blocks that can be items, and for the
+    sections that name groups. ``block_pos`` orders the blocks of one attachment.
     """
+    pages = pages.dropna(subset=list(keys))
+    far = cut_lineage(long_attachments(pages, keys, whole_chars))
+    if far.isEmpty():
+        return parse_attachment_items(whole_texts(pages, keys), keys)
+    near = pages.join(keyed(far), list(keys), "left_anti")
+    return parse_attachment_items(whole_texts(near, keys), keys).unionByName(
+        _parse_by_page(pages.join(keyed(far), list(keys), "left_semi"), keys)
+    )
+
+
+def _parse_by_page(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
     facts = numbered(page_facts(pages, keys), [*keys, "page_no"])
     items = items_of_attachment_blocks(paged_blocks(pages, keys, facts), keys)
     return with_group_mapping(items, paged_group_mapping(pages, keys, facts), keys)
