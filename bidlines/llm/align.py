@@ -106,6 +106,9 @@ class _Tokenizers:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)
         ]
+        # Ids as they are written in a group: before another one, as the last of A, as the last of a group, as the last of all.
+        self.said_a = [np.array([f"{k}{mark}" for k in range(size)], object) for mark in (",", "|")]
+        self.said_b = [np.array([f"{k}{mark}" for k in range(len(pieces))], object) for mark in (",", ";", "")]
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("a piece goes on over a blank: texts cannot be cut there")
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
@@ -114,13 +117,28 @@ class _Tokenizers:
         """[A ids, B ids, tokens of each unit by A and by B] of units that begin with a blank, and which units' bytes come back."""
         good = np.ones(len(units), bool)
         both = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)], self.b.encode([u[1:] for u in units], num_threads=1)
-        for n, (unit, a, b) in enumerate(zip(units, *both)):
-            raw = unit.encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-                good[n] = False
-                both[0][n], both[1][n] = [], []
+        raw = list(map(str.encode, units))
+        flat, counts = self._flat(both)
+        if not self._same_bytes(raw, flat, counts):
+            for n, (unit, a, b) in enumerate(zip(raw, *both)):
+                if b"".join(map(self.bytes_a.__getitem__, a)) != unit or b"".join(map(self.bytes_b.__getitem__, b)) != unit:
+                    good[n] = False
+                    both[0][n], both[1][n] = [], []
+            flat, counts = self._flat(both)
+        return flat + counts, good
+
+    def _flat(self, both) -> tuple[list[np.ndarray], list[np.ndarray]]:
         counts = [np.fromiter(map(len, ids), np.int64, len(ids)) for ids in both]
-        return [np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in zip(both, counts)] + counts, good
+        return [np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in zip(both, counts)], counts
+
+    def _same_bytes(self, raw: list[bytes], flat: list[np.ndarray], counts: list[np.ndarray]) -> bool:
+        """Whether the bytes of all units come back: as many for each unit, and the same behind one another."""
+        whole, lengths = b"".join(raw), np.fromiter(map(len, raw), np.int64, len(raw))
+        for ids, n, sizes, of in zip(flat, counts, (self.size_a, self.size_b), (self.bytes_a, self.bytes_b)):
+            ends = np.r_[0, np.cumsum(sizes[ids])][np.r_[0, np.cumsum(n)]]
+            if not np.array_equal(np.diff(ends), lengths) or b"".join(map(of.__getitem__, ids.tolist())) != whole:
+                return False
+        return True
 
 
 class _Codes(dict):
@@ -166,10 +184,18 @@ class _Units:
         n_groups = np.bincount(unit_of, minlength=len(units))
         n_links = _sums((groups[:, 1] - groups[:, 0]) * (groups[:, 3] - groups[:, 2]), unit_of, len(units))
         owner, pairs, links = _group_pairs(ids_a, ids_b, groups)
-        said_a, said_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        said = [f"{','.join(said_a[a:b])}|{','.join(said_b[c:d])}" for a, b, c, d in groups.tolist()]
-        at = [0, *np.cumsum(n_groups).tolist()]
-        self.said += [";".join(said[a:b]) for a, b in zip(at, at[1:])]
+        # All ids in the order they are written, each with the mark behind it.
+        commas_a, bars = self.tokenizers.said_a
+        commas_b, semicolons, plain = self.tokenizers.said_b
+        said_a, said_b = commas_a[ids_a], commas_b[ids_b]
+        last_a, last_b, ends = groups[:, 1] - 1, groups[:, 3] - 1, first_b[1:][n_b > 0] - 1
+        said_a[last_a], said_b[last_b] = bars[ids_a[last_a]], semicolons[ids_b[last_b]]
+        said_b[ends] = plain[ids_b[ends]]
+        said = np.empty(len(ids_a) + len(ids_b), object)
+        said[np.arange(len(ids_a)) + np.repeat(groups[:, 2], groups[:, 1] - groups[:, 0])] = said_a
+        said[np.arange(len(ids_b)) + np.repeat(groups[:, 1], groups[:, 3] - groups[:, 2])] = said_b
+        said, at = said.tolist(), (first_a + first_b).tolist()
+        self.said += ["".join(said[a:b]) for a, b in zip(at, at[1:])]
         sizes = np.bincount(unit_of[owner], minlength=len(units))
         return good, dict(zip(_DOC, (n_a, n_b, n_groups, n_links))), sizes, pairs, links
 

@@ -109,3 +109,14 @@ def test_large_groups_by_their_ids(monkeypatch):
     whole = all_links()
     monkeypatch.setattr(align, "SPREAD", 10)
     assert all_links() == whole and sum(whole.values()) == 6 + 30 * 40 + 7 * 8
+
+
+def test_bytes_are_compared_by_unit_and_as_a_whole(both):
+    """A batch is good at one look; where a unit's bytes don't come back, it alone is left out."""
+    plain, odd = [" one", " two three", " é\U0001f600"], " a▁b"
+    flat, good = both.encode(plain)
+    assert good.all() and both._same_bytes([u.encode() for u in plain], flat[:2], flat[2:])
+    assert not both._same_bytes([u.encode() for u in [*plain[1:], plain[0]]], flat[:2], flat[2:])
+    more, good = both.encode([plain[0], odd, *plain[1:]])
+    assert good.tolist() == [True, False, True, True]
+    assert [x.tolist() for x in more[:2]] == [x.tolist() for x in flat[:2]]
