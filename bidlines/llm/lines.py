@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +10,10 @@ from .common import cut_lineage, discard, fresh, query, table
 SIMILAR = 0.8
 #: Counters of token frequency: a token's rarity is that of its counter. Their number is fixed.
 COUNTERS = 1 << 18
+#: A word whose counter is above this may stand in a large group of like lines, which is not met in pairs.
+FREQUENT = 512
+#: Sets of so many words have a parity code of 128 bits, smaller ones one of 64.
+LARGE = 48
 _HASH_BITS = 56
 
 
@@ -19,21 +21,35 @@ def _tokens(line: Column) -> Column:
     return F.array_remove(F.split(line, " "), "")
 
 
-def token_levels(docs: DataFrame, text: str = "text") -> list[int]:
-    """Rarity of each counter by the tokens it has counted in all documents: quarters of the count's binary logarithm, 127 at most."""
-    tokens = docs.select(F.explode(F.split(text, "\n")).alias("l")).select(F.explode(F.split("l", " ")).alias("t")).where("t != ''")
-    counted = tokens.groupBy(F.pmod(F.xxhash64("t"), F.lit(COUNTERS)).cast("int").alias("c")).count()
-    n = {r["c"]: r["count"] for r in counted.collect()}  # as many rows as counters at most
-    return [min(127, int(4 * math.log2(1 + n.get(c, 0)))) for c in range(COUNTERS)]
+def _level(count: Column) -> Column:
+    return F.least(F.lit(127), (4 * F.log2(1 + count)).cast("int"))
+
+
+def token_levels(docs: DataFrame, text: str = "text") -> str:
+    """Rarity of each counter, comma-joined, by the different tokens of each document: quarters of the count's binary logarithm, 127 at most."""
+    tokens = docs.select(F.explode(_hashes(F.translate(text, "\n", " "))).alias("t"))
+    counted = tokens.groupBy(_counter(F.col("t")).alias("c")).count()
+    every = docs.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("c")).join(counted, "c", "left")
+    levels = every.select(F.struct("c", _level(F.coalesce("count", F.lit(0))).alias("level")).alias("x"))
+    # One string: the driver holds no row per counter.
+    return levels.agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["level"].cast("string")), ",")).first()[0]
+
+
+def _counter(h: Column) -> Column:
+    return h.bitwiseAND(COUNTERS - 1).cast("int")
+
+
+def _hashes(line: Column) -> Column:
+    """Different tokens as numbers."""
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda t: F.xxhash64(t))), F.xxhash64(F.lit("")))
 
 
 def _keys(line: Column, levels: Column) -> Column:
     """Different tokens as numbers, the rarest first: the counter's level above 56 bits of the token's hash."""
     def key(h: Column) -> Column:
-        level = F.coalesce(F.element_at(levels, F.pmod(h, F.lit(COUNTERS)).cast("int") + 1), F.lit(0).cast("bigint"))
-        return F.shiftleft(level, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
+        return F.shiftleft(F.get(levels, _counter(h)), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
-    return F.sort_array(F.transform(F.array_distinct(F.transform(_tokens(line), lambda t: F.xxhash64(t))), key))
+    return F.sort_array(F.transform(_hashes(line), key))
 
 
 def _parity(keys: Column) -> Column:
@@ -41,6 +57,19 @@ def _parity(keys: Column) -> Column:
     return F.aggregate(keys, F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(63).cast("int"))))
 
 
+def _half(keys: Column) -> Column:
+    """The parity of one half of the words of a large set: with that of all it gives both halves, 128 bits."""
+    return F.when(F.size(keys) >= LARGE, _parity(F.filter(keys, lambda k: k.bitwiseAND(64) != 0))).otherwise(F.lit(0).cast("bigint"))
+
+
+def _apart(a: str, b: str) -> Column:
+    """Bits in which the parity codes of two sets differ."""
+    u = F.col(f"{a}.u").bitwiseXOR(F.col(f"{b}.u"))
+    v = F.col(f"{a}.v").bitwiseXOR(F.col(f"{b}.v"))
+    large = F.least(F.abs(F.col(f"{a}.n")), F.abs(F.col(f"{b}.n"))) >= LARGE
+    return F.bit_count(F.when(large, u.bitwiseXOR(v)).otherwise(u)) + F.when(large, F.bit_count(v)).otherwise(0)
+
+
 def _least_overlap(n: Column, m: Column, similar: float) -> Column:
     return F.ceil((n + m) * (similar / (1 + similar)) - 1e-9)
 
@@ -54,49 +83,48 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     documents; matching sets share a word among their rarest few (prefix), differ little in size
     (length), have enough words left behind the shared one (position), and differ in few bits of a
     parity code of their words, which can never be more than the words they differ in. Each set is first
-    compared with the earliest one of each of its rare words, and only those without a match there
-    with the rest, so a large group of like lines does not meet in pairs. Every candidate is
-    verified on the whole sets.
+    compared with the earliest one of each of its rare words that are frequent. Where these make groups of
+    many, only sets without a match there look for one among all sets, so that a large group of like lines
+    does not meet in pairs. Every candidate is verified on the whole sets.
     """
-    levels = F.split(F.lit(",".join(map(str, token_levels(docs, text)))), ",").cast("array<bigint>")
+    levels = F.split(F.lit(token_levels(docs, text)), ",").cast("array<bigint>")
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
     # Texts in the order of places, so the numbers of their lines are in that order too.
     lines = rows.orderBy(F.col("k").isNull(), "k", "h").select("k", "h", F.posexplode(F.split("t", "\n")).alias("line", "l"))
     sets = lines.withColumn("id", F.monotonically_increasing_id()).where(F.trim("l") != "").select("id", "k", "h", "line", _keys(F.col("l"), levels).alias("keys"))
     n = F.size("keys")
     reach = n - F.ceil(n * similar - 1e-9).cast("int") + 1
-    known = [F.xxhash64("keys").alias("s"), n.alias("n"), _parity(F.col("keys")).alias("u"), F.slice("keys", 1, reach).alias("prefix")]
+    known = [F.xxhash64("keys").alias("s"), n.alias("n"), _parity(F.col("keys")).alias("u"), _half(F.col("keys")).alias("v"), F.slice("keys", 1, reach).alias("prefix")]
     every = cut_lineage(sets.select("id", "k", "h", "line", *known))
     # A set is known by the number of its first line.
-    first = cut_lineage(every.groupBy("s", "n", "u", "prefix").agg(F.min("id").alias("id")).drop("s"))
+    first = cut_lineage(every.groupBy("s", "n", "u", "v", "prefix").agg(F.min("id").alias("id")).drop("s"))
     places = cut_lineage(every.select("id", "k", "h", "line"))
     discard(every)
 
     def spread(of: DataFrame) -> DataFrame:
-        return of.select("id", "n", "u", F.posexplode("prefix").alias("pos", "key"))
+        return of.select("id", "n", "u", "v", F.posexplode("prefix").alias("pos", "key"))
 
     def may(a: str, b: str) -> Column:
-        x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
+        # A size below 0 is that of a set known to match, which looks for no other.
+        x, y = F.col(f"{a}.n"), F.abs(F.col(f"{b}.n"))
         left = F.least(x - F.col(f"{a}.pos"), y - F.col(f"{b}.pos"))
         least = _least_overlap(x, y, similar)
-        apart = F.bit_count(F.col(f"{a}.u").bitwiseXOR(F.col(f"{b}.u")))
-        return (F.col(f"{b}.id") < F.col(f"{a}.id")) & (apart <= x + y - 2 * least) & (F.least(x, y) >= F.greatest(x, y) * similar - 1e-9) & (left >= least)
-
-    words = spread(first)
-    head = words.groupBy("key").agg(F.min(F.struct("id", "n", "pos", "u")).alias("e"), F.count("*").alias("c")).where("c > 1").select("key", "e.*", "c")
-    pair = [F.col("a.id").alias("id"), F.col("b.id").alias("o"), F.col("a.n").alias("n"), F.col("b.n").alias("m")]
-    # The same plan at every size. A word of two sets has done its work when the second has met the first.
-    met = words.alias("a").hint("merge").join(head.alias("b"), "key")
-    met = met.select("a.id", "key", "a.n", "a.u", "a.pos", (F.col("c") > 2).alias("more"), F.when(may("a", "b"), F.struct(*pair)).alias("pair"))
-    met = cut_lineage(met.where("more or pair is not null"))
-    one = cut_lineage(met.where("pair is not null").select("pair.*").distinct())
-    matched = _verified(rows, places, one, similar, levels)
-    words = met.where("more").select("id", "n", "u", "pos", "key")
-    rest = words.join(matched, "id", "left_anti")
-    two = rest.alias("a").hint("merge").join(words.alias("b"), "key").where(may("a", "b")).select(*pair).distinct()
-    two = cut_lineage(two.join(one.select("id", "o"), ["id", "o"], "left_anti"))
-    discard(met)
-    more = _verified(rows, places, two, similar, levels)
+        return (F.col(f"{b}.id") < F.col(f"{a}.id")) & (F.least(x, y) >= F.greatest(x, y) * similar - 1e-9) & (_apart(a, b) <= x + y - 2 * least) & (left >= least)
+
+    pair = [F.col("a.id").alias("id"), F.col("b.id").alias("o"), F.col("a.n").alias("n"), F.abs(F.col("b.n")).alias("m")]
+    often = spread(first).where(F.shiftrightunsigned("key", _HASH_BITS) > _level(F.lit(FREQUENT)))
+    head = often.groupBy("key").agg(F.min(F.struct("id", "n", "pos", "u", "v")).alias("e")).select("key", "e.*")
+    one = cut_lineage(often.alias("a").hint("merge").join(head.alias("b"), "key").where(may("a", "b")).select(*pair).distinct())
+    # As many pairs as the groups around the earliest ones would make; if fewer than sets, they do no harm.
+    pairs = one.groupBy("o").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0]
+    asked = one if (pairs or 0) > first.count() else one.where("false")
+    matched = _verified(rows, places, asked, similar) if asked is one else asked.select("id")
+    known = first.join(matched.select("id", F.lit(True).alias("met")).hint("merge"), "id", "left")
+    # Both sides of the join are the same rows, so they are moved and written once.
+    words = spread(known.withColumn("n", F.when(F.col("met"), -F.col("n")).otherwise(F.col("n"))))
+    two = words.alias("a").hint("merge").join(words.alias("b"), "key").where(may("a", "b")).select(*pair).distinct()
+    two = cut_lineage(two.join(asked.select("id", "o"), ["id", "o"], "left_anti"))
+    more = _verified(rows, places, two, similar)
     kept = cut_lineage(first.select("id").join(matched.unionByName(more), "id", "left_anti"))
     out = cut_lineage(places.select("id", "k", "h", "line").join(kept, "id").groupBy("k", "h").agg(F.collect_set("line").alias("kept")))
     for read in (first, places, one, matched, two, more, kept):
@@ -104,14 +132,14 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     return out
 
 
-def _verified(rows: DataFrame, places: DataFrame, pairs: DataFrame, similar: float, levels: Column) -> DataFrame:
+def _verified(rows: DataFrame, places: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
     """Sets ``id`` of the candidate pairs (id, o, n, m) that are as similar as asked, by their whole words."""
     wanted = places.select("id", "k", "h", "line").join(pairs.select("id").union(pairs.select("o")).distinct(), "id")
     of = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("id", "line")).alias("lines")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "lines")
     # Rows that repeat key and text are one document here.
     texts = rows.join(of.hint("shuffle_hash"), (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
     each = texts.select(F.split("t", "\n").alias("all"), F.explode("lines").alias("x")).select("x.id", F.element_at("all", F.col("x.line") + 1).alias("l"))
-    whole = cut_lineage(each.select("id", _keys(F.col("l"), levels).alias("keys")).dropDuplicates(["id"]))
+    whole = cut_lineage(each.select("id", _hashes(F.col("l")).alias("keys")).dropDuplicates(["id"]))
     left, right = whole.withColumnRenamed("keys", "x"), whole.select(F.col("id").alias("o"), F.col("keys").alias("y"))
     both = pairs.join(left, "id").join(right, "o")
     found = cut_lineage(both.where(F.size(F.array_intersect("x", "y")) >= _least_overlap(F.col("n"), F.col("m"), similar)).select("id").distinct())

@@ -1,5 +1,8 @@
 import random
 
+import pytest
+
+from bidlines.llm import lines as lines_of
 from bidlines.llm.lines import dedup_lines, op8_line_dedup
 
 
@@ -57,3 +60,38 @@ def test_null_keys_repeated_rows_and_empty_table(spark, docs_of):
     assert rows == [(0, "q r"), (1, "x y\nz"), (2, "a b c"), (2, "a b c")]
     assert dedup_lines(docs).columns == docs.columns
     assert dedup_lines(docs_of([])).count() == 0
+
+
+@pytest.mark.parametrize("frequent", [0, 3, 512])
+def test_large_sets_and_groups_of_like_lines_equal_brute_force(spark, docs_of, monkeypatch, frequent):
+    monkeypatch.setattr(lines_of, "FREQUENT", frequent)
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = [rng.sample(vocabulary, k) for k in (6, 40, 47, 48, 49, 58, 60, 75, 150, 300)]
+    texts = []
+    for i in range(90):
+        line = list(base[0] if i % 3 else rng.choice(base))  # one group is large
+        for _ in range(rng.choice([0, 1, 2, 4, len(line) // 9, len(line) // 5])):
+            line[rng.randrange(len(line))] = rng.choice(vocabulary)
+        texts.append(" ".join(line[: len(line) - rng.randrange(1 + len(line) // 6)]))
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(docs_of(list(enumerate(texts))).repartition(3)).collect()}
+    want = {i: t for i, (t, g) in enumerate(zip(texts, brute(texts))) for t in [rebuilt(t, g)] if t != "gone"}
+    assert got == want
+
+
+def test_rows_of_words_are_not_written_and_large_random_sets_are_no_candidates(spark, docs_of, monkeypatch):
+    kept, keep = [], lines_of.cut_lineage
+    monkeypatch.setattr(lines_of, "cut_lineage", lambda df: kept.append(keep(df)) or kept[-1])
+    pairs, verified = [], lines_of._verified
+    monkeypatch.setattr(lines_of, "_verified", lambda rows, places, two, *more: pairs.append(two.count()) or verified(rows, places, two, *more))
+    rng = random.Random(10)
+    texts = [" ".join(["rare"] + rng.sample([f"w{i}" for i in range(2000)], 199)) for _ in range(200)]
+    assert dedup_lines(docs_of(list(enumerate(texts)))).count() == 200
+    assert not [k.columns for k in kept if "key" in k.columns]
+    assert sum(pairs) < 200
+
+
+def test_levels_reach_the_driver_as_one_string(spark, docs_of):
+    levels = lines_of.token_levels(docs_of([(1, "a a b\nb c"), (2, "a\n"), (3, None)]))
+    assert isinstance(levels, str) and levels.count(",") == lines_of.COUNTERS - 1
+    assert sorted(levels.split(","))[-3:] == ["4", "4", "6"]
