@@ -76,11 +76,11 @@ def extract(
         F.size("motivos") > 0
     )
 
-    refs = relevant_attachments(explode_attachments(notices)).join(
+    # Several joins read the references.
+    refs = keep(relevant_attachments(explode_attachments(notices)).join(
         keyed(readable.select("arquivo_json")), "arquivo_json", "left_semi"
-    )
+    ))
     if callable(files):
-        refs = keep(refs)
         files = keep(files(refs.select("folder")))
     resolved = keep(resolve_attachments(refs, files))
     opened = usable(resolved)
@@ -188,6 +188,8 @@ def run_batch(
     notices = read_notices(spark, notices_path, bundled)
     if not reset:
         notices = pending(notices, done.where(F.col(RUN) != run))
+    # Names, headers and references are read from it, so the JSON is parsed, and met with what is done, only once.
+    notices = cut_lineage(notices)
     again = cut_lineage(notices.select("arquivo_json").distinct())
     index = files if files is not None else partial(read_file_index, spark, files_root)
     result = extract(notices, index, pages, answers, files_root, cut_lineage, texts, piece_chars)

@@ -237,6 +237,18 @@ def test_sides_of_a_row_per_notice_are_not_broadcast(spark):
         assert "Join" in out.getvalue() and "Broadcast" not in out.getvalue()
 
 
+def test_json_of_a_run_is_parsed_once(spark, folder, pages, answers, tmp_path, monkeypatch):
+    from bidlines.plans import extract as plan
+
+    seen, extract = [], plan.extract
+    monkeypatch.setattr(plan, "extract", lambda notices, *more: seen.append(notices) or extract(notices, *more))
+    for _ in range(2):
+        plan.run_batch(spark, str(folder), str(folder), pages, answers, str(tmp_path / "out"), "r1")
+    for notices in seen:
+        read = notices._jdf.queryExecution().executedPlan().toString().lower()
+        assert "scan parquet" in read and "scan json" not in read
+
+
 def test_unread_fields_may_hold_anything(spark, rows, tmp_path):
     odd = {"numero_habitantes": "1000", "orgao_sites": "www.x", "boletim_id": "7"}
     notices = {"a": data(**odd), "b": data(anexos={"nome": "x.pdf"}), "c": data(anexos=[None]), "d": data(anexos=["x.pdf"]), "e": data(anexos={}), "f": data(anexos=3)}
