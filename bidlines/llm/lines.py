@@ -13,12 +13,14 @@ COUNTERS = 1 << 18
 #: A word whose counter is above this may stand in a large group of like lines, which is not met in pairs.
 FREQUENT = 512
 #: Sets of so many words have a parity code of 128 bits, smaller ones one of 64.
-LARGE = 48
+LARGE = 72
 _HASH_BITS = 56
+#: Size of the hash table in which a task counts first. At Spark's own size most counters miss it.
+_FAST_MAP = "spark.sql.codegen.aggregate.fastHashMap.capacityBit"
 
 
-def _tokens(line: Column) -> Column:
-    return F.array_remove(F.split(line, " "), "")
+def _blank(line: Column) -> Column:
+    return F.trim(line) == ""
 
 
 def _level(count: Column) -> Column:
@@ -27,27 +29,34 @@ def _level(count: Column) -> Column:
 
 def token_levels(docs: DataFrame, text: str = "text") -> str:
     """Rarity of each counter, comma-joined, by the different tokens of each document: quarters of the count's binary logarithm, 127 at most."""
-    tokens = docs.select(F.explode(_hashes(F.translate(text, "\n", " "))).alias("t"))
+    spark = docs.sparkSession
+    tokens = docs.select(F.explode(_hashes(F.col(text), "[ \n]")).alias("t"))
     counted = tokens.groupBy(_counter(F.col("t")).alias("c")).count()
-    every = docs.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("c")).join(counted, "c", "left")
+    every = spark.range(COUNTERS).select(F.col("id").cast("int").alias("c")).join(counted, "c", "left")
     levels = every.select(F.struct("c", _level(F.coalesce("count", F.lit(0))).alias("level")).alias("x"))
     # One string: the driver holds no row per counter.
-    return levels.agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["level"].cast("string")), ",")).first()[0]
+    joined = levels.agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["level"].cast("string")), ","))
+    before = spark.conf.get(_FAST_MAP, None)
+    spark.conf.set(_FAST_MAP, str(COUNTERS.bit_length()))
+    try:
+        return joined.first()[0]
+    finally:
+        spark.conf.unset(_FAST_MAP) if before is None else spark.conf.set(_FAST_MAP, before)
 
 
 def _counter(h: Column) -> Column:
     return h.bitwiseAND(COUNTERS - 1).cast("int")
 
 
-def _hashes(line: Column) -> Column:
+def _hashes(line: Column, gap: str = " ") -> Column:
     """Different tokens as numbers."""
-    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda t: F.xxhash64(t))), F.xxhash64(F.lit("")))
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, gap), lambda t: F.xxhash64(t))), F.xxhash64(F.lit("")))
 
 
 def _keys(line: Column, levels: Column) -> Column:
     """Different tokens as numbers, the rarest first: the counter's level above 56 bits of the token's hash."""
     def key(h: Column) -> Column:
-        return F.shiftleft(F.get(levels, _counter(h)), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
+        return F.shiftleft(F.get(levels, h.bitwiseAND(COUNTERS - 1)), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
     return F.sort_array(F.transform(_hashes(line), key))
 
@@ -91,7 +100,7 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
     # Texts in the order of places, so the numbers of their lines are in that order too.
     lines = rows.orderBy(F.col("k").isNull(), "k", "h").select("k", "h", F.posexplode(F.split("t", "\n")).alias("line", "l"))
-    sets = lines.withColumn("id", F.monotonically_increasing_id()).where(F.trim("l") != "").select("id", "k", "h", "line", _keys(F.col("l"), levels).alias("keys"))
+    sets = lines.withColumn("id", F.monotonically_increasing_id()).where(~_blank(F.col("l"))).select("id", "k", "h", "line", _keys(F.col("l"), levels).alias("keys"))
     n = F.size("keys")
     reach = n - F.ceil(n * similar - 1e-9).cast("int") + 1
     known = [F.xxhash64("keys").alias("s"), n.alias("n"), _parity(F.col("keys")).alias("u"), _half(F.col("keys")).alias("v"), F.slice("keys", 1, reach).alias("prefix")]
@@ -111,8 +120,12 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
         least = _least_overlap(x, y, similar)
         return (F.col(f"{b}.id") < F.col(f"{a}.id")) & (F.least(x, y) >= F.greatest(x, y) * similar - 1e-9) & (_apart(a, b) <= x + y - 2 * least) & (left >= least)
 
-    pair = [F.col("a.id").alias("id"), F.col("b.id").alias("o"), F.col("a.n").alias("n"), F.abs(F.col("b.n")).alias("m")]
-    often = spread(first).where(F.shiftrightunsigned("key", _HASH_BITS) > _level(F.lit(FREQUENT)))
+    def frequent(key: Column) -> Column:
+        return F.shiftrightunsigned(key, _HASH_BITS) > _level(F.lit(FREQUENT))
+
+    pair = [F.col("a.id").alias("id"), F.col("b.id").alias("o")]
+    # The last word of a prefix is its most frequent one.
+    often = spread(first.where(frequent(F.element_at("prefix", -1)))).where(frequent(F.col("key")))
     head = often.groupBy("key").agg(F.min(F.struct("id", "n", "pos", "u", "v")).alias("e")).select("key", "e.*")
     one = cut_lineage(often.alias("a").hint("merge").join(head.alias("b"), "key").where(may("a", "b")).select(*pair).distinct())
     # As many pairs as the groups around the earliest ones would make; if fewer than sets, they do no harm.
@@ -133,18 +146,31 @@ def kept_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", t
 
 
 def _verified(rows: DataFrame, places: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
-    """Sets ``id`` of the candidate pairs (id, o, n, m) that are as similar as asked, by their whole words."""
+    """Sets ``id`` of the candidate pairs (id, o) that are as similar as asked, by their whole words.
+
+    A set needs one match only: the last of its candidates is tested first, and the others
+    only where that one fails, so that whole sets do not travel with every pair.
+    """
     wanted = places.select("id", "k", "h", "line").join(pairs.select("id").union(pairs.select("o")).distinct(), "id")
     of = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("id", "line")).alias("lines")).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "lines")
     # Rows that repeat key and text are one document here.
     texts = rows.join(of.hint("shuffle_hash"), (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
     each = texts.select(F.split("t", "\n").alias("all"), F.explode("lines").alias("x")).select("x.id", F.element_at("all", F.col("x.line") + 1).alias("l"))
     whole = cut_lineage(each.select("id", _hashes(F.col("l")).alias("keys")).dropDuplicates(["id"]))
+    # The last candidates of a group of like lines differ, the first is the same for all: no key is hot.
+    begun = cut_lineage(_alike(pairs.groupBy("id").agg(F.max("o").alias("o")), whole, similar))
+    rest = pairs.join(begun.hint("merge"), "id", "left_anti")
+    found = cut_lineage(begun.unionByName(_alike(rest, whole, similar).distinct()))
+    for read in (whole, begun):
+        discard(read)
+    return found
+
+
+def _alike(pairs: DataFrame, whole: DataFrame, similar: float) -> DataFrame:
+    """``id`` of each pair (id, o) whose sets in ``whole`` (id, keys) are as similar as asked."""
     left, right = whole.withColumnRenamed("keys", "x"), whole.select(F.col("id").alias("o"), F.col("keys").alias("y"))
     both = pairs.join(left, "id").join(right, "o")
-    found = cut_lineage(both.where(F.size(F.array_intersect("x", "y")) >= _least_overlap(F.col("n"), F.col("m"), similar)).select("id").distinct())
-    discard(whole)
-    return found
+    return both.where(F.size(F.array_intersect("x", "y")) >= _least_overlap(F.size("x"), F.size("y"), similar)).select("id")
 
 
 def dedup_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -155,7 +181,7 @@ def dedup_lines(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id",
     keep their names; an empty table gives an empty one.
     """
     lines, left = lined(docs, similar, key, text)
-    rebuilt = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda l, i: (F.size(_tokens(l)) == 0) | F.array_contains(left, i)), "\n")
+    rebuilt = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda l, i: _blank(l) | F.array_contains(left, i)), "\n")
     gone = (F.size(left) == 0) & F.rlike(F.col(text), F.lit("[^ \n]"))
     return lines.where(~F.coalesce(gone, F.lit(False))).select(*[rebuilt.alias(c) if c == text else F.col(c) for c in docs.columns])
 
@@ -172,7 +198,7 @@ def lined(docs: DataFrame, similar: float, key: str, text: str) -> tuple[DataFra
 def op8_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     kept = kept_lines(docs).select(F.col("k").alias("_k"), F.col("h").alias("_h"), "kept")
-    numbers = F.filter(F.transform(F.split("text", "\n"), lambda l, i: F.when(F.size(_tokens(l)) > 0, i)), lambda i: i.isNotNull())
+    numbers = F.filter(F.transform(F.split("text", "\n"), lambda l, i: F.when(~_blank(l), i)), lambda i: i.isNotNull())
     mine = docs.select("doc_id", F.xxhash64("text").alias("h"), F.coalesce(numbers, F.array().cast("array<int>")).alias("lines"))
     out = mine.join(kept, (F.col("h") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_k")), "left")
     removed = F.array_except("lines", F.coalesce("kept", F.array().cast("array<int>")))

@@ -95,3 +95,20 @@ def test_levels_reach_the_driver_as_one_string(spark, docs_of):
     levels = lines_of.token_levels(docs_of([(1, "a a b\nb c"), (2, "a\n"), (3, None)]))
     assert isinstance(levels, str) and levels.count(",") == lines_of.COUNTERS - 1
     assert sorted(levels.split(","))[-3:] == ["4", "4", "6"]
+    assert spark.conf.get("spark.sql.codegen.aggregate.fastHashMap.capacityBit", None) in (None, "16")
+
+
+def test_whole_sets_meet_one_candidate_each_and_the_others_only_where_it_fails(spark, docs_of, monkeypatch):
+    met, alike = [], lines_of._alike
+    monkeypatch.setattr(lines_of, "_alike", lambda pairs, *more: met.append(pairs.count()) or alike(pairs, *more))
+    like = [(i, " ".join(f"w{j}" for j in range(40) if j != i)) for i in range(30)]  # each matches each
+    assert [r["doc_id"] for r in dedup_lines(docs_of(like)).collect()] == [0]
+    assert met == [29, 0]
+
+
+def test_a_set_matches_by_any_of_its_candidates(spark, docs_of):
+    texts = ["a b c d e", "p q r s t", "a b c d e f", "p q r s u"]
+    rows = docs_of(list(enumerate(texts))).selectExpr("doc_id k", "xxhash64(text) h", "text t")
+    places = rows.selectExpr("k id", "k", "h", "0 line")
+    pairs = spark.createDataFrame([(2, 0), (2, 1), (3, 1), (3, 2)], "id bigint, o bigint")
+    assert [r["id"] for r in lines_of._verified(rows, places, pairs, 0.8).collect()] == [2]
